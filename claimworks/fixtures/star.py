@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks.operators import adjudicate as adj
+from claimworks.operators import fhir
 
 DIAGNOSES = ["I21.09", "M79.3", "J06.9", "M54.5", "Z00.00"]
 PROCEDURES = [
@@ -95,9 +96,10 @@ def diagnosis_list(dx_first: Column, dx_count: Column) -> Column:
     )
 
 
-def parsed_claims(claims_df: DataFrame) -> DataFrame:
+def parsed_claims(claims_df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Claims in the shape of a parsed X12 claim."""
     return claims_df.select(
+        *keep,
         F.col("claim_id").alias("transaction_id"),
         F.coalesce("billing_npi", F.lit("")).alias("billing_npi"),
         F.lit("").alias("rendering_npi"),
@@ -170,3 +172,55 @@ def orphan_remittance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adj.remittance_record(
         rows.where(F.col("order_status") != "P")
     ).unionByName(adj.remittance_record(orphans))
+
+
+def fhir_claims(claims_df: DataFrame) -> DataFrame:
+    """``claim_id, fhir_json`` of every claim, with the keys later steps need."""
+    keys = ("order_key", "service_date", "filed_date")
+    return fhir.map_to_fhir(parsed_claims(claims_df, keys), PAYER, keep=keys)
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Bronze row per claim, and a later one with a higher amount for every tenth."""
+    base = claims(spark, sf_dir)
+    later = base.where(F.col("order_key") % 10 == 0).withColumns(
+        {
+            "billed_amount": (F.col("billed_amount") + 1).cast(MONEY),
+            "received_ts": F.date_add("service_date", 1).cast("timestamp"),
+        }
+    )
+    both = base.withColumn("received_ts", F.col("service_date").cast("timestamp")).unionByName(later)
+    return fhir.map_to_fhir(
+        parsed_claims(both, ("received_ts",)), PAYER, keep=["received_ts"]
+    ).select("claim_id", "fhir_json", F.col("received_ts").alias("ingest_ts"), "received_ts")
+
+
+def spoiled(claims_df: DataFrame) -> DataFrame:
+    """Every claim's JSON damaged in one of sixteen ways, by order key."""
+    def swap(pattern: str, replacement: str) -> Column:
+        return F.regexp_replace("fhir_json", pattern, replacement)
+
+    total = r'"total":\{"value":[^,]*'
+    ways = [
+        F.substring("fhir_json", 1, 40),
+        F.lit("{}"),
+        swap(r'"patient":\{[^}]*\}', '"patient":null'),
+        swap(total, '"total":{"value":null'),
+        swap(total, '"total":{"value":"350"'),
+        swap(total, '"total":{"value":0'),
+        swap(total, '"total":{"value":-5'),
+        swap(r'"diagnosis":\[.*\],"item"', '"diagnosis":[],"item"'),
+        swap(r'"item":\[.*\],"total"', '"item":[],"total"'),
+        swap(r'"id":"[^"]*",', ""),
+        swap(r'"id":"[^"]*",', '"id":"",'),
+        swap('"resourceType":"Claim"', '"resourceType":"Coverage"'),
+        swap(r'us-npi","value":"[^"]*"', 'us-npi","value":"9990000001"'),
+        swap(r'"created":"[^"]*"', '"created":""'),
+        swap(r'"created":"[^"]*"', '"created":"2026-13-01"'),
+        swap(r'"_prior_auth":("[^"]*"|null)', '"_prior_auth":""'),
+    ]
+    damaged = ways[0]
+    way = F.col("order_key") % len(ways)
+    for i, text in enumerate(ways[1:], start=1):
+        damaged = F.when(way == i, text).otherwise(damaged)
+    return fhir_claims(claims_df).withColumn("fhir_json", damaged)

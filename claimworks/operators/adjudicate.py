@@ -107,7 +107,7 @@ def decide(
     Reads ``claim_id, member_id, dos, billed_amount, prior_auth, cpts, eligible,
     eligibility_reason``.
     """
-    billed = F.col("billed_amount").cast(MONEY)
+    billed = F.col("billed_amount").try_cast(MONEY)
     paid = F.when(
         F.col("denial_reason") == "", F.least(allowed_total(F.col("procedures")), billed)
     ).otherwise(F.lit(0).cast(MONEY))

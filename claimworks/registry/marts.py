@@ -120,8 +120,8 @@ def b7(spark, sf):
     out = star.remittance(spark, sf)
     return out.select(
         "claim_id",
-        F.round(
-            safe_divide(F.col("cas_amount").cast("double"), F.col("paid_amount").cast("double")), 4
+        safe_divide(
+            F.col("cas_amount").cast("double"), F.col("paid_amount").cast("double")
         ).alias("cas_per_paid"),
     )
 
@@ -221,8 +221,8 @@ SQL = {
         "int_adj",
     ),
     "B7_safe_divide": with_ctes(
-        """SELECT claim_id, round(CAST(cas_amount AS DOUBLE)
-          / nullif(CAST(paid_amount AS DOUBLE), 0), 4) AS cas_per_paid FROM remittance""",
+        """SELECT claim_id, CAST(cas_amount AS DOUBLE)
+          / nullif(CAST(paid_amount AS DOUBLE), 0) AS cas_per_paid FROM remittance""",
         "remittance",
     ),
     "F7_stg_claims": with_ctes("SELECT * FROM stg_claims", "stg_claims"),

@@ -70,7 +70,7 @@ def main() -> None:
     only = sys.argv[1:]
     spark = session.build(
         "oracle-check", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
            "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
