@@ -86,12 +86,14 @@ def iso_date_text(text: Column) -> Column:
 
 def npi_is_valid(npi: Column) -> Column:
     """Ten digits whose Luhn sum, with the card-issuer prefix, is a multiple of ten."""
+    # Fifteen digits in all, so the doubled ones are those at odd places from the left.
     digits = F.split(F.concat(F.lit(fv.NPI_PREFIX), npi), "")
     weighted = F.transform(
         digits,
-        lambda d, i: F.when(i % 2 == 0, d.try_cast("int")).otherwise(
-            F.lit(2) * d.try_cast("int") - F.when(d.try_cast("int") > 4, 9).otherwise(0)
+        lambda d, place: F.when(place % 2 == 0, d).otherwise(
+            F.translate(d, "0123456789", "0246813579")  # twice the digit, less 9 above 9
         ),
     )
-    total = F.aggregate(weighted, F.lit(0), lambda a, b: a + b)
-    return F.when(F.coalesce(npi, F.lit("")).rlike(r"^[0-9]{10}\z"), total % 10 == 0).otherwise(False)
+    total = F.aggregate(weighted, F.lit(0), lambda a, d: a + d.try_cast("int"))
+    ten_digits = F.coalesce(npi, F.lit("")).rlike(r"^[0-9]{10}\z")
+    return F.when(ten_digits, total % 10 == 0).otherwise(False)

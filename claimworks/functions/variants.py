@@ -15,7 +15,7 @@ def parse(text: Column) -> Column:
 
 def is_object_text(text: Column) -> Column:
     """Whether text that parses holds an object at its root."""
-    return F.coalesce(F.ltrim(text).rlike(r"^\s*\{"), F.lit(False))
+    return F.coalesce(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"), F.lit(False))
 
 
 def get(v: Column, path: str, dtype: str = "variant") -> Column:
@@ -30,15 +30,33 @@ def text(v: Column, path: str, default: str | None = None) -> Column:
     return F.when(get(v, path).isNull(), default).otherwise(value)
 
 
-def kind(value: Column) -> Column:
-    """Type word of a variant (OBJECT, ARRAY, STRING, VOID, ...); NULL when absent."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+# Describing or printing a variant walks all of it.  The tests below first look for a
+# first element or a known child, which settles normal documents without the walk.
 
 
-def is_object_or_absent(value: Column) -> Column:
-    return F.coalesce(kind(value) == "OBJECT", F.lit(True))
+def kind(v: Column, path: str) -> Column:
+    """Type word at a path (OBJECT, ARRAY, STRING, VOID, ...); NULL when absent."""
+    described = F.regexp_extract(F.schema_of_variant(get(v, path)), "^[A-Z]+", 0)
+    return F.when(get(v, f"{path}[0]").isNotNull(), "ARRAY").otherwise(described)
 
 
-def truthy(value: Column) -> Column:
-    """False for absent, null, empty string, zero, false, empty array and empty object."""
-    return F.coalesce(~F.to_json(value).rlike(EMPTY_JSON), F.lit(False))
+def is_object_or_absent(v: Column, path: str, child: str) -> Column:
+    """True for an object or nothing; ``child`` is the field an object normally has."""
+    return get(v, f"{path}.{child}").isNotNull() | F.coalesce(kind(v, path) == "OBJECT", F.lit(True))
+
+
+def truthy(v: Column, path: str, child: str = "[0]") -> Column:
+    """False for absent, null, empty string, zero, false, empty array and empty object.
+
+    ``child`` is what a filled value normally has: a first element, or ``.field``.  Only
+    a text that an empty value could print as needs the exact, quoted form.
+    """
+    printed = get(v, path, "string")
+    doubtful = printed.isin("", "false", "null", "[]", "{}") | printed.rlike("^-?0")
+    exact = ~F.to_json(get(v, path)).rlike(EMPTY_JSON)
+    return (
+        F.when(get(v, f"{path}{child}").isNotNull(), True)
+        .when(printed.isNull(), False)
+        .when(doubtful, exact)
+        .otherwise(True)
+    )

@@ -84,19 +84,27 @@ def map_to_fhir(parsed: DataFrame, payer_id: str | None = None, keep=()) -> Data
 
 
 def with_variant(df: DataFrame, json: str = "fhir_json") -> DataFrame:
-    return df.withColumn("v", vj.parse(F.col(json))).withColumn(
-        "is_object", vj.is_object_text(F.col(json)) & F.col("v").isNotNull()
+    """Adds the parsed ``v``, whether its root is an object, and the NPI text.
+
+    The parse goes through a one-element explode: a later filter on ``v`` cannot be
+    pushed below it, where the optimizer would repeat the parse per reference.
+    """
+    return df.withColumn("v", F.explode(F.array(vj.parse(F.col(json))))).withColumns(
+        {
+            "is_object": vj.is_object_text(F.col(json)) & F.col("v").isNotNull(),
+            "npi": vj.text(F.col("v"), "provider.identifier.value"),
+        }
     )
 
 
 def _bad_first_code(v: Column, array: str, concept: str) -> Column:
     """The path to the first code meets a value that cannot be indexed that way."""
     def wrong(path: str, allowed: list[str]) -> Column:
-        return F.coalesce(~vj.kind(vj.get(v, path)).isin(allowed), F.lit(False))
+        return F.coalesce(~vj.kind(v, path).isin(allowed), F.lit(False))
 
     first = f"{array}[0]"
-    present = vj.truthy(vj.get(v, array))
-    return present & (
+    no_code = vj.get(v, f"{first}.{concept}.coding[0].code").isNull()
+    return no_code & vj.truthy(v, array) & (
         wrong(array, ["ARRAY", "OBJECT"])
         | wrong(first, ["OBJECT"])
         | wrong(f"{first}.{concept}", ["OBJECT"])
@@ -108,39 +116,42 @@ def _bad_first_code(v: Column, array: str, concept: str) -> Column:
 def drop_reason(json: str = "fhir_json") -> Column:
     """Why a Bronze row cannot become a Silver row; NULL when it can."""
     v = F.col("v")
-    total_value = vj.get(v, "total.value")
-    patient_ref = vj.get(v, "patient.reference")
-    claim_id = vj.text(v, "id", "")
+    def malformed(path: str, child: str) -> Column:
+        return ~vj.is_object_or_absent(v, path, child)
+
+    bad_reference = (vj.kind(v, "patient.reference") != "STRING") & vj.truthy(
+        v, "patient.reference"
+    )
+    unreadable_total = (
+        vj.get(v, "total.value", "double").isNull() & vj.get(v, "total.value").isNotNull()
+    )
     return (
         F.when(v.isNull(), "unparseable")
         .when(~F.col("is_object"), "not_an_object")
-        .when(~vj.is_object_or_absent(vj.get(v, "patient")), "bad_patient")
-        .when(
-            vj.truthy(patient_ref) & (vj.kind(patient_ref) != "STRING"), "bad_patient"
-        )
+        .when(malformed("patient", "reference") | bad_reference, "bad_patient")
         .when(_bad_first_code(v, "diagnosis", "diagnosisCodeableConcept"), "bad_diagnosis")
         .when(_bad_first_code(v, "item", "productOrService"), "bad_item")
-        .when(~vj.is_object_or_absent(vj.get(v, "insurer")), "bad_insurer")
-        .when(~vj.is_object_or_absent(vj.get(v, "insurer.identifier")), "bad_insurer")
-        .when(~vj.is_object_or_absent(vj.get(v, "provider")), "bad_provider")
-        .when(~vj.is_object_or_absent(vj.get(v, "provider.identifier")), "bad_provider")
-        .when(~vj.is_object_or_absent(vj.get(v, "total")), "bad_total")
         .when(
-            total_value.isNotNull() & vj.get(v, "total.value", "double").isNull(), "bad_total"
+            malformed("insurer", "identifier") | malformed("insurer.identifier", "value"),
+            "bad_insurer",
+        )
+        .when(
+            malformed("provider", "identifier") | malformed("provider.identifier", "value"),
+            "bad_provider",
         )
-        .when(F.coalesce(claim_id, F.lit("")) == "", "blank_claim_id")
+        .when(malformed("total", "value") | unreadable_total, "bad_total")
+        .when(F.coalesce(vj.text(v, "id"), F.lit("")) == "", "blank_claim_id")
     )
 
 
 def extract_columns(json: str = "fhir_json") -> dict[str, Column]:
     """Silver base columns read from the variant."""
     v = F.col("v")
-    payer = vj.get(v, "insurer.identifier.value")
     reference = vj.text(v, "patient.reference")
     return {
         "claim_id": vj.text(v, "id", ""),
         "patient_id": F.when(
-            vj.truthy(vj.get(v, "patient.reference")),
+            vj.truthy(v, "patient.reference"),
             F.replace(reference, F.lit("Patient/"), F.lit("")),
         ),
         "billing_npi": vj.text(v, "provider.identifier.value", ""),
@@ -152,9 +163,9 @@ def extract_columns(json: str = "fhir_json") -> dict[str, Column]:
         "service_date": F.try_to_date(vj.text(v, "created"), "yyyy-MM-dd"),
         "prior_auth_number": vj.text(v, "_prior_auth"),
         "fhir_resource_type": vj.text(v, "resourceType", ""),
-        "payer_id": F.when(vj.truthy(payer), vj.text(v, "insurer.identifier.value")).otherwise(
-            vj.text(v, "insurer.reference", "")
-        ),
+        "payer_id": F.when(
+            vj.truthy(v, "insurer.identifier.value"), vj.text(v, "insurer.identifier.value")
+        ).otherwise(vj.text(v, "insurer.reference", "")),
         "source_system": F.lit(fv.SOURCE_SYSTEM),
     }
 

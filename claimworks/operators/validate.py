@@ -13,30 +13,41 @@ from claimworks.operators import fhir
 from claimworks.operators.eligibility import check_eligibility
 
 
-def _npi(v: Column) -> Column:
-    return vj.get(v, "provider.identifier.value")
+NPI = "provider.identifier.value"
+
+
+# What a filled field normally holds, so the common case is one lookup.
+CHILDREN = {
+    "patient": ".reference", "provider": ".identifier", "total": ".value",
+    "type": ".coding", "insurer": ".identifier", "priority": ".coding",
+}
+
+
+def _filled(name: str) -> Column:
+    return vj.truthy(F.col("v"), name, CHILDREN.get(name, "[0]"))
 
 
 def can_validate() -> Column:
     """False where a present field has a type the rules cannot look into."""
     v = F.col("v")
-    objects = [
-        vj.is_object_or_absent(vj.get(v, path))
-        for path in ("total", "provider", "provider.identifier")
-    ]
-    npi_readable = ~vj.truthy(_npi(v)) | (vj.kind(_npi(v)) == "STRING")
-    return F.col("is_object") & objects[0] & objects[1] & objects[2] & npi_readable
+    npi_readable = ~vj.truthy(v, NPI) | (vj.kind(v, NPI) == "STRING")
+    return (
+        F.col("is_object")
+        & vj.is_object_or_absent(v, "total", "value")
+        & vj.is_object_or_absent(v, "provider", "identifier")
+        & vj.is_object_or_absent(v, "provider.identifier", "value")
+        & npi_readable
+    )
 
 
 def error_list() -> Column:
     """Ordered error texts; an empty array is a valid claim."""
     v = F.col("v")
-    value = vj.get(v, "total.value")
-    numeric = vj.kind(value).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN")
+    numeric = vj.kind(v, "total.value").isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN")
     positive = F.coalesce(numeric & (vj.get(v, "total.value", "double") > 0), F.lit(False))
-    npi = vj.text(v, "provider.identifier.value")
+    npi = F.col("npi")
     missing = [
-        F.when(~vj.truthy(vj.get(v, name)), f"missing_required_field:{name}")
+        F.when(~_filled(name), f"missing_required_field:{name}")
         for name in fv.REQUIRED_FIELDS
     ]
     wrong_type = F.coalesce(vj.text(v, "resourceType"), F.lit("")) != "Claim"
@@ -44,11 +55,11 @@ def error_list() -> Column:
         F.array(
             *missing,
             F.when(wrong_type, "wrong_resource_type"),
-            F.when(~vj.truthy(vj.get(v, "diagnosis")), "empty_diagnosis_array"),
-            F.when(~vj.truthy(vj.get(v, "item")), "empty_item_array"),
+            F.when(~_filled("diagnosis"), "empty_diagnosis_array"),
+            F.when(~_filled("item"), "empty_item_array"),
             F.when(~positive, "invalid_total_value"),
             F.when(
-                vj.truthy(_npi(v)) & ~npi_is_valid(npi),
+                (F.coalesce(npi, F.lit("")) != "") & ~npi_is_valid(npi),
                 F.concat(F.lit("invalid_billing_npi:"), npi),
             ),
         )
@@ -57,10 +68,7 @@ def error_list() -> Column:
 
 def missing_fields() -> Column:
     """Names of the mapped fields that are missing or empty."""
-    v = F.col("v")
-    return F.array_compact(
-        F.array(*[F.when(~vj.truthy(vj.get(v, f)), f) for f in fv.MAPPED_FIELDS])
-    )
+    return F.array_compact(F.array(*[F.when(~_filled(f), f) for f in fv.MAPPED_FIELDS]))
 
 
 def validated(claims: DataFrame, json: str = "fhir_json") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["marts", "records"]
+MODULES = ["marts", "rules", "records", "quality"]
 
 
 def _collect(attribute: str) -> dict:

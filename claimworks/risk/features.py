@@ -29,7 +29,7 @@ def claim_features() -> dict[str, Column]:
     )
     return {
         "billed_amount": billed,
-        "prior_auth": F.when(vj.truthy(vj.get(v, "_prior_auth")), 1.0).otherwise(0.0),
+        "prior_auth": F.when(vj.truthy(v, "_prior_auth"), 1.0).otherwise(0.0),
         "diagnosis_code_count": _length(v, "diagnosis"),
         "procedure_complexity": _length(v, "item"),
     }
@@ -58,9 +58,9 @@ def stream_features(
     shared = claim_features()
     readable = (
         F.col("is_object")
-        & vj.is_object_or_absent(vj.get(v, "patient"))
-        & (reference.isNull() | (vj.kind(reference) == "STRING"))
-        & vj.is_object_or_absent(vj.get(v, "total"))
+        & vj.is_object_or_absent(v, "patient", "reference")
+        & (reference.isNull() | (vj.kind(v, "patient.reference") == "STRING"))
+        & vj.is_object_or_absent(v, "total", "value")
         & F.col("_billed_amount").isNotNull()
         & F.col("_diagnosis_code_count").isNotNull()
         & F.col("_procedure_complexity").isNotNull()
@@ -75,7 +75,7 @@ def stream_features(
         today(as_of).alias("_as_of"),
         *[c.alias(f"_{n}") for n, c in shared.items()],
     ).withColumn("_readable", F.coalesce(readable, F.lit(False)))
-    joined = check_eligibility(staged.drop("v", "is_object"), enrollment, dos="_as_of")
+    joined = check_eligibility(staged.drop("v", "is_object", "npi"), enrollment, dos="_as_of")
     values = [
         *[F.col(f"_{n}") for n in shared],
         F.when(F.col("eligible"), 1.0).otherwise(0.0),

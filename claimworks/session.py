@@ -18,9 +18,18 @@ SETTINGS = {
     # Split a hot key even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Beyond 8000 bytes HotSpot interprets a method; Spark then splits the expressions.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session somebody else built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build(app: str = "claimworks", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
