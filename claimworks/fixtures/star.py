@@ -195,32 +195,34 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("claim_id", "fhir_json", F.col("received_ts").alias("ingest_ts"), "received_ts")
 
 
+TOTAL_VALUE = r'"total":\{"value":[^,]*'
+# (pattern, replacement) per way a claim's JSON is damaged.
+DAMAGE = [
+    (r"^(.{40}).*$", "$1"),
+    (r"^.*$", "{}"),
+    (r'"patient":\{[^}]*\}', '"patient":null'),
+    (TOTAL_VALUE, '"total":{"value":null'),
+    (TOTAL_VALUE, '"total":{"value":"350"'),
+    (TOTAL_VALUE, '"total":{"value":0'),
+    (TOTAL_VALUE, '"total":{"value":-5'),
+    (r'"diagnosis":\[.*\],"item"', '"diagnosis":[],"item"'),
+    (r'"item":\[.*\],"total"', '"item":[],"total"'),
+    (r'"id":"[^"]*",', ""),
+    (r'"id":"[^"]*",', '"id":"",'),
+    ('"resourceType":"Claim"', '"resourceType":"Coverage"'),
+    (r'us-npi","value":"[^"]*"', 'us-npi","value":"9990000001"'),
+    (r'"created":"[^"]*"', '"created":""'),
+    (r'"created":"[^"]*"', '"created":"2026-13-01"'),
+    (r'"_prior_auth":("[^"]*"|null)', '"_prior_auth":""'),
+]
+
+
 def spoiled(claims_df: DataFrame) -> DataFrame:
     """Every claim's JSON damaged in one of sixteen ways, by order key."""
-    def swap(pattern: str, replacement: str) -> Column:
-        return F.regexp_replace("fhir_json", pattern, replacement)
-
-    total = r'"total":\{"value":[^,]*'
-    ways = [
-        F.substring("fhir_json", 1, 40),
-        F.lit("{}"),
-        swap(r'"patient":\{[^}]*\}', '"patient":null'),
-        swap(total, '"total":{"value":null'),
-        swap(total, '"total":{"value":"350"'),
-        swap(total, '"total":{"value":0'),
-        swap(total, '"total":{"value":-5'),
-        swap(r'"diagnosis":\[.*\],"item"', '"diagnosis":[],"item"'),
-        swap(r'"item":\[.*\],"total"', '"item":[],"total"'),
-        swap(r'"id":"[^"]*",', ""),
-        swap(r'"id":"[^"]*",', '"id":"",'),
-        swap('"resourceType":"Claim"', '"resourceType":"Coverage"'),
-        swap(r'us-npi","value":"[^"]*"', 'us-npi","value":"9990000001"'),
-        swap(r'"created":"[^"]*"', '"created":""'),
-        swap(r'"created":"[^"]*"', '"created":"2026-13-01"'),
-        swap(r'"_prior_auth":("[^"]*"|null)', '"_prior_auth":""'),
-    ]
-    damaged = ways[0]
-    way = F.col("order_key") % len(ways)
-    for i, text in enumerate(ways[1:], start=1):
-        damaged = F.when(way == i, text).otherwise(damaged)
-    return fhir_claims(claims_df).withColumn("fhir_json", damaged)
+    way = F.col("order_key") % len(DAMAGE)
+    return fhir_claims(claims_df).withColumn(
+        "fhir_json",
+        F.regexp_replace(
+            "fhir_json", _pick([d[0] for d in DAMAGE], way), _pick([d[1] for d in DAMAGE], way)
+        ),
+    )
