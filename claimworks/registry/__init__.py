@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["marts", "rules", "records", "quality", "x12", "lake"]
+MODULES = ["marts", "rules", "records", "quality", "x12", "lake", "risk", "streams"]
 
 
 def _collect(attribute: str) -> dict:
