@@ -1,11 +1,19 @@
-"""JSON access through VARIANT: absent, null, wrong type and empty stay apart."""
+"""JSON access through VARIANT: absent, null, wrong type and empty stay apart.
+
+Paths are read from a variant column given by name.  The expressions are built as SQL
+text: a claim needs dozens of them, and one parse per expression is cheaper for the
+driver than a call per node.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EMPTY_JSON = r'^(null|""|false|\[\]|\{\}|-?0+(\.0*)?([eE][+-]?[0-9]+)?)$'
+# Double backslashes: these texts are SQL string literals.
+EMPTY_JSON = (
+    r'^(null|""|false|\\[\\]|\\{\\}|-?0+(\\.0*)?([eE][+-]?[0-9]+)?)$'
+)
 
 
 def parse(text: Column) -> Column:
@@ -18,45 +26,62 @@ def is_object_text(text: Column) -> Column:
     return F.coalesce(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"), F.lit(False))
 
 
-def get(v: Column, path: str, dtype: str = "variant") -> Column:
-    return F.try_variant_get(v, f"$.{path}", dtype)
+def _get(v: str, path: str, dtype: str = "variant") -> str:
+    return f"try_variant_get({v}, '$.{path}', '{dtype}')"
+
+
+def _kind(v: str, path: str) -> str:
+    described = f"regexp_extract(schema_of_variant({_get(v, path)}), '^[A-Z]+', 0)"
+    return f"CASE WHEN {_get(v, path + '[0]')} IS NOT NULL THEN 'ARRAY' ELSE {described} END"
+
+
+def get(v: str, path: str, dtype: str = "variant") -> Column:
+    return F.expr(_get(v, path, dtype))
 
 
-def text(v: Column, path: str, default: str | None = None) -> Column:
+def text(v: str, path: str, default: str | None = None) -> Column:
     """String at a path; ``default`` only where the path is absent, not where it is null."""
-    value = get(v, path, "string")
     if default is None:
-        return value
-    return F.when(get(v, path).isNull(), default).otherwise(value)
+        return get(v, path, "string")
+    return F.expr(
+        f"CASE WHEN {_get(v, path)} IS NULL THEN '{default}' ELSE {_get(v, path, 'string')} END"
+    )
 
 
 # Describing or printing a variant walks all of it.  The tests below first look for a
 # first element or a known child, which settles normal documents without the walk.
 
 
-def kind(v: Column, path: str) -> Column:
+def kind(v: str, path: str) -> Column:
     """Type word at a path (OBJECT, ARRAY, STRING, VOID, ...); NULL when absent."""
-    described = F.regexp_extract(F.schema_of_variant(get(v, path)), "^[A-Z]+", 0)
-    return F.when(get(v, f"{path}[0]").isNotNull(), "ARRAY").otherwise(described)
+    return F.expr(_kind(v, path))
+
 
+def kind_not_in(v: str, path: str, allowed: list[str]) -> Column:
+    """True where something other than the allowed types is present."""
+    names = ", ".join(f"'{a}'" for a in allowed)
+    return F.expr(f"coalesce(({_kind(v, path)}) NOT IN ({names}), false)")
 
-def is_object_or_absent(v: Column, path: str, child: str) -> Column:
+
+def is_object_or_absent(v: str, path: str, child: str) -> Column:
     """True for an object or nothing; ``child`` is the field an object normally has."""
-    return get(v, f"{path}.{child}").isNotNull() | F.coalesce(kind(v, path) == "OBJECT", F.lit(True))
+    return F.expr(
+        f"{_get(v, f'{path}.{child}')} IS NOT NULL "
+        f"OR coalesce(({_kind(v, path)}) = 'OBJECT', true)"
+    )
 
 
-def truthy(v: Column, path: str, child: str = "[0]") -> Column:
+def truthy(v: str, path: str, child: str = "[0]") -> Column:
     """False for absent, null, empty string, zero, false, empty array and empty object.
 
     ``child`` is what a filled value normally has: a first element, or ``.field``.  Only
     a text that an empty value could print as needs the exact, quoted form.
     """
-    printed = get(v, path, "string")
-    doubtful = printed.isin("", "false", "null", "[]", "{}") | printed.rlike("^-?0")
-    exact = ~F.to_json(get(v, path)).rlike(EMPTY_JSON)
-    return (
-        F.when(get(v, f"{path}{child}").isNotNull(), True)
-        .when(printed.isNull(), False)
-        .when(doubtful, exact)
-        .otherwise(True)
+    printed = _get(v, path, "string")
+    return F.expr(
+        f"""CASE WHEN {_get(v, path + child)} IS NOT NULL THEN true
+          WHEN {printed} IS NULL THEN false
+          WHEN {printed} IN ('', 'false', 'null', '[]', '{{}}') OR {printed} RLIKE '^-?0'
+            THEN NOT to_json({_get(v, path)}) RLIKE '{EMPTY_JSON}'
+          ELSE true END"""
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +19,12 @@ MAX_LITERAL_FEES = 20_000
 
 
 def literal_map(values: dict[str, object], cast: str = "string") -> Column:
-    pairs = chain.from_iterable((F.lit(k), F.lit(v).cast(cast)) for k, v in values.items())
-    return F.create_map(*pairs)
+    """A constant map, as one expression."""
+    def quoted(x) -> str:
+        return "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    pairs = [f"{quoted(k)}, cast({quoted(v)} AS {cast})" for k, v in values.items()]
+    return F.expr(f"map({', '.join(pairs)})")
 
 
 def fee_of(code: Column, fees: dict[str, float], default: float = fv.FEE_DEFAULT) -> Column:

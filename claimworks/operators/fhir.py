@@ -92,15 +92,15 @@ def with_variant(df: DataFrame, json: str = "fhir_json") -> DataFrame:
     return df.withColumn("v", F.explode(F.array(vj.parse(F.col(json))))).withColumns(
         {
             "is_object": vj.is_object_text(F.col(json)) & F.col("v").isNotNull(),
-            "npi": vj.text(F.col("v"), "provider.identifier.value"),
+            "npi": vj.text("v", "provider.identifier.value"),
         }
     )
 
 
-def _bad_first_code(v: Column, array: str, concept: str) -> Column:
+def _bad_first_code(v: str, array: str, concept: str) -> Column:
     """The path to the first code meets a value that cannot be indexed that way."""
     def wrong(path: str, allowed: list[str]) -> Column:
-        return F.coalesce(~vj.kind(v, path).isin(allowed), F.lit(False))
+        return vj.kind_not_in(v, path, allowed)
 
     first = f"{array}[0]"
     no_code = vj.get(v, f"{first}.{concept}.coding[0].code").isNull()
@@ -115,7 +115,7 @@ def _bad_first_code(v: Column, array: str, concept: str) -> Column:
 
 def drop_reason(json: str = "fhir_json") -> Column:
     """Why a Bronze row cannot become a Silver row; NULL when it can."""
-    v = F.col("v")
+    v = "v"
     def malformed(path: str, child: str) -> Column:
         return ~vj.is_object_or_absent(v, path, child)
 
@@ -126,7 +126,7 @@ def drop_reason(json: str = "fhir_json") -> Column:
         vj.get(v, "total.value", "double").isNull() & vj.get(v, "total.value").isNotNull()
     )
     return (
-        F.when(v.isNull(), "unparseable")
+        F.when(F.col("v").isNull(), "unparseable")
         .when(~F.col("is_object"), "not_an_object")
         .when(malformed("patient", "reference") | bad_reference, "bad_patient")
         .when(_bad_first_code(v, "diagnosis", "diagnosisCodeableConcept"), "bad_diagnosis")
@@ -146,7 +146,7 @@ def drop_reason(json: str = "fhir_json") -> Column:
 
 def extract_columns(json: str = "fhir_json") -> dict[str, Column]:
     """Silver base columns read from the variant."""
-    v = F.col("v")
+    v = "v"
     reference = vj.text(v, "patient.reference")
     return {
         "claim_id": vj.text(v, "id", ""),
@@ -170,13 +170,13 @@ def extract_columns(json: str = "fhir_json") -> dict[str, Column]:
     }
 
 
-def first_line_date(v: Column) -> Column:
+def first_line_date(v: str) -> Column:
     return vj.text(v, "item[0].servicedDate")
 
 
 def adjudication_columns(as_of=None) -> dict[str, Column]:
     """What adjudication reads from a claim: member, service date, codes, amounts."""
-    v = F.col("v")
+    v = "v"
     items = vj.get(v, "item", _ITEMS)
     codes = F.flatten(
         F.transform(

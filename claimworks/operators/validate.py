@@ -24,12 +24,12 @@ CHILDREN = {
 
 
 def _filled(name: str) -> Column:
-    return vj.truthy(F.col("v"), name, CHILDREN.get(name, "[0]"))
+    return vj.truthy("v", name, CHILDREN.get(name, "[0]"))
 
 
 def can_validate() -> Column:
     """False where a present field has a type the rules cannot look into."""
-    v = F.col("v")
+    v = "v"
     npi_readable = ~vj.truthy(v, NPI) | (vj.kind(v, NPI) == "STRING")
     return (
         F.col("is_object")
@@ -42,7 +42,7 @@ def can_validate() -> Column:
 
 def error_list() -> Column:
     """Ordered error texts; an empty array is a valid claim."""
-    v = F.col("v")
+    v = "v"
     numeric = vj.kind(v, "total.value").isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN")
     positive = F.coalesce(numeric & (vj.get(v, "total.value", "double") > 0), F.lit(False))
     npi = F.col("npi")
@@ -85,7 +85,7 @@ def split_valid(claims: DataFrame, json: str = "fhir_json") -> tuple[DataFrame,
     """(valid, rejected); both sides filter the same lazily parsed claims."""
     checked = validated(claims, json)
     rejected = checked.where(F.col("can_validate") & ~F.col("is_valid")).select(
-        vj.text(F.col("v"), "id", "UNKNOWN").alias("claim_id"),
+        vj.text("v", "id", "UNKNOWN").alias("claim_id"),
         F.lit("validation_failed").alias("reason"),
         "errors",
     )

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimworks import session
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODULES = ["marts", "rules", "records", "quality", "x12", "lake", "risk", "streams"]
@@ -19,8 +22,17 @@ def _collect(attribute: str) -> dict:
     return merged
 
 
+def _tuned(query: Query) -> Query:
+    """The caller's session gets the settings the plans were made for."""
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(session.tune(spark), sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return _collect("QUERIES")
+    return {name: _tuned(query) for name, query in _collect("QUERIES").items()}
 
 
 def oracle_sql() -> dict[str, str]:

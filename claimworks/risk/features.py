@@ -12,7 +12,7 @@ from claimworks.operators import fhir
 from claimworks.operators.eligibility import check_eligibility, today
 
 
-def _length(v: Column, path: str) -> Column:
+def _length(v: str, path: str) -> Column:
     """Number of elements of an array, or of keys of an object; 0 when absent."""
     value = vj.get(v, path)
     count = F.coalesce(
@@ -23,7 +23,7 @@ def _length(v: Column, path: str) -> Column:
 
 def claim_features() -> dict[str, Column]:
     """The four inputs both paths share, from the variant column ``v``."""
-    v = F.col("v")
+    v = "v"
     billed = F.when(vj.get(v, "total.value").isNull(), F.lit(0.0)).otherwise(
         vj.get(v, "total.value", "double")
     )
@@ -51,7 +51,7 @@ def stream_features(
 
     A message the path cannot read gets the fixed fallback vector.
     """
-    v = F.col("v")
+    v = "v"
     reference = vj.get(v, "patient.reference")
     own = [c for c in messages.columns]
     parsed = fhir.with_variant(messages, json)
