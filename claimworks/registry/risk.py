@@ -250,7 +250,7 @@ cte(
     "draws",
     f"""
     SELECT o_orderkey AS id, 50.0::DOUBLE + {_u('billed')} * 1950.0::DOUBLE AS billed_amount,
-      CASE WHEN {_u('auth')} < 0.3::DOUBLE THEN 0.0 ELSE 1.0 END AS prior_auth,
+      CASE WHEN {_u('auth')} < 0.3::DOUBLE THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prior_auth,
       floor({_u('dx')} * 10) + 1 AS diagnosis_code_count,
       1.0::DOUBLE + {_u('complexity')} * 4.0::DOUBLE AS procedure_complexity,
       floor({_u('specialty')} * 20) + 1 AS provider_specialty_code,
@@ -266,7 +266,7 @@ cte(
       + CASE WHEN prior_auth = 0 THEN 0.35::DOUBLE ELSE 0 END
       + CASE WHEN diagnosis_code_count > 5 THEN 0.10::DOUBLE ELSE 0 END
       + CASE WHEN days_since_service > 90 THEN 0.05::DOUBLE ELSE 0 END
-      THEN 1.0 ELSE 0.0 END AS label
+      THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
     FROM draws
     """,
     "draws",
@@ -335,29 +335,30 @@ _AUC_SQL = """
 """
 
 SQL = {
-    "A9_array_totals": "SELECT 100.0 AS total, count(*) AS claims FROM orders",
+    "A9_array_totals": "SELECT 100.0::DOUBLE AS total, count(*) AS claims FROM orders",
     "A10_auc": with_ctes(_AUC_SQL, "training"),
     "M1_batch_features": with_ctes(
         """SELECT claim_id, CAST(billed_amount AS DOUBLE) AS billed_amount,
-          CASE WHEN prior_auth_number IS NULL THEN 0.0 ELSE 1.0 END AS prior_auth,
-          CAST(dx_count AS DOUBLE) AS diagnosis_code_count, 1.0 AS procedure_complexity,
-          11.0 AS provider_specialty_code, 30.0 AS days_since_service FROM claims""",
+          CASE WHEN prior_auth_number IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prior_auth,
+          CAST(dx_count AS DOUBLE) AS diagnosis_code_count,
+          1.0::DOUBLE AS procedure_complexity, 11.0::DOUBLE AS provider_specialty_code,
+          30.0::DOUBLE AS days_since_service FROM claims""",
         "claims",
     ),
     "M2_stream_features": with_ctes(
         f"""SELECT order_key,
           CASE WHEN {_FALLBACK} OR w = 1 THEN 0 WHEN w = 4 THEN 350 WHEN w = 5 THEN 0
             WHEN w = 6 THEN -5 ELSE CAST(c.billed_amount AS DOUBLE) END AS billed_amount,
-          CASE WHEN {_FALLBACK} OR w IN (1, 15) OR c.prior_auth_number IS NULL THEN 0.0 ELSE 1.0
-            END AS prior_auth,
+          CASE WHEN {_FALLBACK} OR w IN (1, 15) OR c.prior_auth_number IS NULL THEN 0.0::DOUBLE
+            ELSE 1.0::DOUBLE END AS prior_auth,
           CASE WHEN {_FALLBACK} THEN 1.0 WHEN w IN (1, 7) THEN 0.0 ELSE CAST(dx_count AS DOUBLE)
             END AS diagnosis_code_count,
-          CASE WHEN {_FALLBACK} THEN 1.0 WHEN w IN (1, 8) THEN 0.0 ELSE 1.0 END
-            AS procedure_complexity,
-          CASE WHEN {_FALLBACK} OR w = 1 OR e.member_id IS NULL THEN 0.0
-            WHEN DATE '{AS_OF}' BETWEEN e.coverage_start AND e.coverage_end THEN 1.0
-            ELSE 0.0 END AS provider_specialty_code,
-          0.0 AS days_since_service
+          CASE WHEN {_FALLBACK} THEN 1.0::DOUBLE WHEN w IN (1, 8) THEN 0.0::DOUBLE
+            ELSE 1.0::DOUBLE END AS procedure_complexity,
+          CASE WHEN {_FALLBACK} OR w = 1 OR e.member_id IS NULL THEN 0.0::DOUBLE
+            WHEN DATE '{AS_OF}' BETWEEN e.coverage_start AND e.coverage_end THEN 1.0::DOUBLE
+            ELSE 0.0::DOUBLE END AS provider_specialty_code,
+          0.0::DOUBLE AS days_since_service
         FROM way c LEFT JOIN enrollment e ON e.member_id = c.patient_id""",
         "way", "enrollment",
     ),
