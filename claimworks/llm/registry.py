@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["topk"]
+MODULES = ["warc", "bpe", "topk"]
 
 
 def _collect(attribute: str) -> dict:
