@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["warc", "bpe", "topk"]
+MODULES = ["warc", "packing", "bpe", "syncmers", "topk"]
 
 
 def _collect(attribute: str) -> dict:
