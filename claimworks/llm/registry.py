@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["warc", "packing", "bpe", "syncmers", "topk"]
+MODULES = ["warc", "packing", "bpe", "syncmers", "topk", "toxicity"]
 
 
 def _collect(attribute: str) -> dict:
