@@ -5,6 +5,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,8 @@ from claimworks.llm.common import table
 
 #: Fixed: how byte-level BPE cuts a text into words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_CHUNKS = 400_000  # remembered chunks of a task; the store is emptied when it is full
-SLAB_CHARS = 16 << 20  # texts encoded together
+CACHE_CHUNKS = 300_000  # remembered chunks of a task; the store is emptied when it is full
+SLAB_CHARS = 8 << 20  # texts encoded together
 NONE = np.int64(1) << 60
 MARKS = frozenset(",.;:!?")  # one of these after letters is a word of its own
 
@@ -176,11 +178,14 @@ class Encoder:
     """Texts to ids.  Chunks seen before come from a bounded store, new ones are encoded together."""
 
     def __init__(self, vocab: Vocabulary, limit: int = CACHE_CHUNKS):
-        self.vocab, self.limit, self.known = vocab, limit, {}
+        self.vocab, self.limit = vocab, limit
+        self.number: dict[str, int] = {}  # chunk -> place in ids
+        self.ids: list[bytes] = []
         self.word = regex.compile(WORD)
         self.special = re.compile("(" + "|".join(map(re.escape, vocab.special)) + ")") if vocab.special else None
 
-    def learn(self, chunks):
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that are new, all their words merged in one pair index."""
         words, plan = {}, []
         for chunk in chunks:
             body = chunk[1:] if chunk[:1] == " " else chunk
@@ -190,16 +195,21 @@ class Encoder:
                 found = [chunk[:-1], chunk[-1]]
             else:
                 found = self.word.findall(chunk)
-            plan.append(found)
-            for w in found:
-                words.setdefault(w, len(words))
+            plan.append([words.setdefault(w, len(words)) for w in found])
         ids = [i.tobytes() for i in encode_words([w.encode("utf-8", "surrogatepass") for w in words], self.vocab)]
-        for chunk, found in zip(chunks, plan):
-            self.known[chunk] = ids[words[found[0]]] if len(found) == 1 else b"".join([ids[words[w]] for w in found])
+        return [ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p]) for p in plan]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        cut = []
+        number = self.number
+        if len(number) > self.limit:
+            number.clear()
+            self.ids.clear()
+        if not number:
+            for text, i in self.vocab.special.items():
+                number[text] = len(self.ids)
+                self.ids.append(np.int32(i).tobytes())
+        known, cut = len(number), []
         for text in texts:
             parts = self.special.split(text) if self.special and self.special.search(text) else [text]
             pieces = []
@@ -208,16 +218,11 @@ class Encoder:
                     pieces.append(part)
                 elif part:
                     pieces.extend(chunks_of(part))
-            cut.append(pieces)
-        if len(self.known) > self.limit:
-            self.known.clear()
-        for text, i in self.vocab.special.items():
-            self.known[text] = np.int32(i).tobytes()
-        new = {c for pieces in cut for c in pieces if c not in self.known}
-        if new:
-            self.learn(sorted(new))
-        known = self.known
-        return [b"".join([known[c] for c in pieces]) for pieces in cut]
+            cut.append(array("i", [number.setdefault(c, len(number)) for c in pieces]))
+        if len(number) > known:
+            self.ids.extend(self.learn(list(islice(number, known, None))))
+        ids = self.ids
+        return [b"".join([ids[c] for c in pieces]) for pieces in cut]
 
 
 def slabs(column, limit=SLAB_CHARS):
@@ -282,19 +287,21 @@ def decoder_task(vocabulary, keep):
     def run(batches):
         vocab = Vocabulary(vocabulary.value)
         for batch in batches:
-            column = batch.column(keep)
-            out = []
+            column, start, held, out = batch.column(keep), 0, 0, []
             for i in range(batch.num_rows):
                 row = column[i].values
                 if row is None or not len(row):
                     out.append("")
-                    continue
-                flat, _ = decode_flat(row.to_numpy(zero_copy_only=False), vocab)
-                out.append(flat.tobytes().decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(keep)), pa.array(out, pa.string())],
-                [*batch.schema.names[:keep], "decoded"],
-            )
+                else:
+                    flat, _ = decode_flat(row.to_numpy(zero_copy_only=False), vocab)
+                    out.append(flat.tobytes().decode("utf-8", "replace"))
+                    held += len(flat)
+                if held > SLAB_CHARS or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(j).slice(start, len(out)) for j in range(keep)), pa.array(out, pa.string())],
+                        [*batch.schema.names[:keep], "decoded"],
+                    )
+                    start, held, out = i + 1, 0, []
 
     return run
 
