@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["warc", "packing", "bpe", "syncmers", "topk", "toxicity"]
+MODULES = ["warc", "packing", "bpe", "pii", "syncmers", "topk", "html_text", "toxicity"]
 
 
 def _collect(attribute: str) -> dict:
