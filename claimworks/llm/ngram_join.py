@@ -500,6 +500,21 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     return scan.where(F.col("kind") == META), first.unionByName(second)
 
 
+def classified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, cid (id of the set, null if empty), comp, tkey (hash of the text) per row."""
+    meta, edges = linked_sets(docs, key, text)
+    groups = components(edges)
+    per_set = meta.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
+    named = per_set.join(groups, F.col("cid") == F.col("node"), "left").select(
+        "cid", "least", F.coalesce("component", "cid").alias("comp")
+    )
+    least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
+    ids = named.join(least, "comp").select("cid", "comp", "component_id")
+    return meta.select("doc_id", F.col("n").alias("n_shingles"), "cid", "tkey").join(ids, "cid", "left").withColumn(
+        "component_id", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    )
+
+
 def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -514,17 +529,24 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     in work units of bounded mass; what links across units is found by sending the smaller component's
     sets to the units that hold one of their prefix shingles.
     """
-    meta, edges = linked_sets(docs, key, text)
-    groups = components(edges)
-    per_set = meta.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
-    named = per_set.join(groups, F.col("cid") == F.col("node"), "left").select(
-        "cid", "least", F.coalesce("component", "cid").alias("comp")
-    )
-    least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "comp").select("cid", "component_id")
-    return meta.select("doc_id", F.col("n").alias("n_shingles"), "cid").join(ids, "cid", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return classified(docs, key, text).select("doc_id", "n_shingles", "component_id")
+
+
+def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each similarity class, all columns: a row with the class's smallest key.
+
+    Rows without any word are classes of their own and all stay.
+    """
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    speaks = body.rlike(r"[^\x20\x09-\x0D]")
+    chosen = (
+        classified(docs, key, text).where(F.col("cid").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("comp").agg(F.first("doc_id").alias("__id"), F.min("tkey").alias("__tkey")).select("__id", "__tkey")
     )
+    rows = docs.where(speaks).withColumn("__tk", F.xxhash64(body))
+    same = F.col(key).cast("long").eqNullSafe(F.col("__id")) & (F.col("__tk") == F.col("__tkey"))
+    kept = rows.join(chosen, same, "left_semi").dropDuplicates([key, "__tk"]).select(*docs.columns)
+    return kept.unionByName(docs.where(~speaks))
 
 
 def op1_ngram_join(spark, sf_dir):
@@ -532,3 +554,29 @@ def op1_ngram_join(spark, sf_dir):
 
 
 QUERIES = {"op1_ngram_join": op1_ngram_join}
+
+SQL = {
+    "op1_ngram_join": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+    list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+""",
+}

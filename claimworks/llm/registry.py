@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["ngram_join", "warc", "packing", "bpe", "pii", "syncmers", "topk", "html_text", "toxicity"]
+MODULES = ["ngram_join", "warc", "packing", "bpe", "pii", "syncmers", "licenses", "topk", "html_text", "toxicity"]
 
 
 def _collect(attribute: str) -> dict:

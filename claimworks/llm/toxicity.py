@@ -284,6 +284,15 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     )
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score stays below ``THRESHOLD``; learned as ``score`` does."""
+    rest = remainder("k")
+    model = fit(labelled(docs, labels, key, text).where(rest % 3 != 1), F.floor(rest / 3) % 4 == 0)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    found = model.passages(docs.toDF(*names), names, names[docs.columns.index(text)])
+    return found.where(model.probability() < THRESHOLD).select(*names).toDF(*docs.columns)
+
+
 def op10_toxicity(spark, sf_dir):
     rows = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
