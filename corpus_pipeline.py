@@ -3,10 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from claimworks.llm import ngram_join, packing, pii, toxicity
+from claimworks.llm.bpe import public_vocabulary
 from claimworks.llm.common import stored, table
 
-STAGES: list = []
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity operator does not reject."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of the shingle join."""
+    return ngram_join.one_per_class(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents with their places in sequences."""
+    return packing.pack_documents(docs, public_vocabulary())
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
+]
 
 # Learned scores, tree models and a tokenizer have no SQL form.
 ORACLE_SQL = None
