@@ -40,6 +40,7 @@ BOILERPLATE_WORDS = frozenset(
     "contentinfo search alert aside outbrain taboola respond".split()
 )
 MAIN_WORDS = frozenset("article articlebody body content entry main mainentity post story text".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open element of the second kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -325,6 +326,7 @@ def decode(dom: Dom, odds: np.ndarray) -> str:
 
     Every node is worth its log-odds if kept and nothing if rejected, together with all below it.  One pass
     from the leaves up finds the worth of each subtree, one pass down keeps what is worth more than nothing.
+    A heading shares the fate of what follows it.
     """
     n = len(dom.tag)
     inside = [False] * n
@@ -340,11 +342,16 @@ def decode(dom: Dom, odds: np.ndarray) -> str:
             worth[i] += MAIN_BONUS
     if all(t in ("#root", "#text", "html", "body") for t in dom.tag):
         worth = [1.0] * n  # no structure to choose from
+    following: dict[int, int] = {}  # last node seen below each parent: the next sibling
     for i in range(n - 1, 0, -1):
+        p = dom.parent[i]
         if veto[i]:
             worth[i] = -1.0
-        elif worth[i] > 0:
-            worth[dom.parent[i]] += worth[i]
+        elif worth[i] <= 0 and dom.tag[i] in HEADINGS and p in following and worth[following[p]] > 0:
+            worth[i] = worth[following[p]]  # a heading goes with what it heads
+        if worth[i] > 0:
+            worth[p] += worth[i]
+        following[p] = i
     keep = [True] * n
     for i in range(1, n):
         keep[i] = keep[dom.parent[i]] and worth[i] > 0
