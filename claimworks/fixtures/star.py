@@ -25,22 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores, spread over the cores; any other as it is.
-
-    Claim text is costly per row, and the test files are one split each.  On inputs with
-    enough splits this adds no exchange.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
 def _padded(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 8, "0"))
+    """``prefix`` and the key, filled up to eight digits; longer keys stay whole."""
+    text = key.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(8)), F.lit("0")))
 
 
 def _doubled(digit: Column) -> Column:
@@ -48,13 +40,17 @@ def _doubled(digit: Column) -> Column:
 
 
 def npi_of_supplier(s: Column) -> Column:
-    """A ten-digit identifier; suppliers ending in 7 get a wrong check digit."""
-    def digit(n: int) -> Column:
-        return F.floor(s / n) % 10
+    """A ten-digit identifier; suppliers ending in 7 get a wrong check digit.
 
-    luhn = F.lit(26) + _doubled(s % 10) + digit(10) + _doubled(digit(100)) + digit(1000)
+    An identifier has room for eight supplier digits, so numbers wrap at 100,000,000.
+    """
+    number = s % 100_000_000
+    luhn = F.lit(26)  # the issuer prefix and the leading 1
+    for place in range(8):
+        digit = F.floor(number / 10**place) % 10
+        luhn = luhn + (_doubled(digit) if place % 2 == 0 else digit)
     check = (F.lit(10) - luhn % 10 + F.when(s % 10 == 7, 1).otherwise(0)) % 10
-    return F.concat(_padded("1", s), check.cast("string"))
+    return F.concat(_padded("1", number), check.cast("string"))
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +63,7 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.substring("o_orderpriority", 1, 1).cast("int")
     billed = (F.floor(F.col("o_totalprice") * 2) / 100).cast(MONEY)
     base = (
-        spread(table(spark, sf_dir, "orders"))
+        table(spark, sf_dir, "orders")
         .join(suppliers, "o_orderkey", "left")
         .select(
             _padded("CLM-", key).alias("claim_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
@@ -13,11 +13,6 @@ REMITTANCE_KEYS = [
     "claim_id", "member_id", "date_of_service", "status", "billed_amount",
     "paid_amount", "cas_amount", "cas_code", "denial_reason",
 ]
-# A schedule given as a dict becomes a literal map inside the plan; anything larger
-# belongs in a DataFrame and is joined.
-MAX_LITERAL_FEES = 20_000
-
-
 def literal_map(values: dict[str, object], cast: str = "string") -> Column:
     """A constant map, as one expression."""
     def quoted(x) -> str:
@@ -33,10 +28,11 @@ def fee_of(code: Column, fees: dict[str, float], default: float = fv.FEE_DEFAULT
 
 
 def price_codes(codes: Column, fees: dict[str, float] | None = None) -> Column:
-    """Codes to ``array<struct<cpt, allowed>>``, in order and without a shuffle."""
+    """Codes to ``array<struct<cpt, allowed>>``, in order and without a shuffle.
+
+    The schedule becomes a constant map inside the plan; one that is data is joined (``priced``).
+    """
     fees = fv.FEES if fees is None else fees
-    if len(fees) > MAX_LITERAL_FEES:
-        raise ValueError("fee schedule too large for a literal; use price_lines")
     named = F.filter(codes, lambda c: c.isNotNull() & (c != ""))
     return F.transform(
         named, lambda c: F.struct(c.alias("cpt"), fee_of(c, fees).alias("allowed"))
@@ -56,8 +52,11 @@ def price_lines(
     of all lines is no hot spot: its schedule side is one row, which AQE replicates
     over the split line partitions.  The regrouped lists hold one claim's lines.
     """
-    lines = claims.select(key, F.posexplode(codes).alias("_pos", "cpt")).where("cpt <> ''")
-    priced = lines.join(fees.select("cpt", "allowed"), "cpt", "left").withColumn(
+    lines = claims.where(f"{key} is not null and {key} <> ''").select(
+        key, F.posexplode(codes).alias("_pos", "cpt")
+    ).where("cpt <> ''")
+    one_each = fees.groupBy("cpt").agg(F.max("allowed").alias("allowed"))
+    priced = lines.join(one_each, "cpt", "left").withColumn(
         "allowed", F.coalesce("allowed", F.lit(default)).cast(MONEY)
     )
     ordered = F.sort_array(F.collect_list(F.struct("_pos", "cpt", "allowed")))
@@ -67,6 +66,36 @@ def price_lines(
     )
 
 
+def read_fee_schedule(spark: SparkSession, path: str) -> DataFrame:
+    """``cpt, allowed`` from a JSON object of code to fee; names that start with ``_`` are comments."""
+    text = spark.read.option("wholetext", True).text(path)
+    fees = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("cpt", "fee"))
+    return fees.where("cpt NOT LIKE '\\_%'").select("cpt", F.col("fee").try_cast(MONEY).alias("allowed"))
+
+
+def priced(claims: DataFrame, fees: dict[str, float] | DataFrame | None) -> DataFrame:
+    """``claims`` with ``procedures``, from a constant schedule or one that is a table.
+
+    A table may hold a DEFAULT row.  Rows are told apart by a number of their own, so claims that
+    share an id, or have none, keep their own codes.
+    """
+    if not isinstance(fees, DataFrame):
+        return claims.withColumn("procedures", price_codes(F.col("cpts"), fees))
+    found = fees.where("cpt = 'DEFAULT'").agg(F.max("allowed")).first()[0]
+    one_each = fees.groupBy(F.col("cpt").alias("_cpt")).agg(F.max("allowed").alias("_allowed"))
+    rows = claims.withColumn("_row", F.monotonically_increasing_id())
+    lines = rows.select("*", F.posexplode_outer(
+        F.filter("cpts", lambda c: c.isNotNull() & (c != ""))).alias("_pos", "_cpt"))
+    allowed = F.coalesce("_allowed", F.lit(fv.FEE_DEFAULT if found is None else found)).cast(MONEY)
+    line = F.struct("_pos", F.col("_cpt").alias("cpt"), allowed.alias("allowed"))
+    grouped = lines.join(one_each, "_cpt", "left").groupBy("_row").agg(
+        F.first(F.struct(*claims.columns)).alias("_claim"),
+        F.sort_array(F.collect_list(F.when(F.col("_cpt").isNotNull(), line))).alias("_lines"),
+    )
+    short = F.transform("_lines", lambda p: F.struct(p["cpt"].alias("cpt"), p["allowed"].alias("allowed")))
+    return grouped.select("_claim.*", short.alias("procedures"))
+
+
 def any_code_in(codes: Column, wanted: list[str]) -> Column:
     return F.coalesce(F.arrays_overlap(codes, F.array(*[F.lit(c) for c in wanted])), F.lit(False))
 
@@ -114,8 +143,7 @@ def decide(
         F.col("denial_reason") == "", F.least(allowed_total(F.col("procedures")), billed)
     ).otherwise(F.lit(0).cast(MONEY))
     return (
-        eligible_claims.withColumn("denial_reason", denial_reason(today(as_of)))
-        .withColumn("procedures", price_codes(F.col("cpts"), fees))
+        priced(eligible_claims.withColumn("denial_reason", denial_reason(today(as_of))), fees)
         .withColumn("paid_amount", paid.cast(MONEY))
         .select(
             "claim_id",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
@@ -12,7 +12,7 @@ from claimworks.operators.dedup import latest_per_key
 from claimworks.plans import gold
 from claimworks.risk import explain, features
 from claimworks.risk.score import AdditiveScorer
-from claimworks.sources.tables import VersionedTable
+from claimworks.sources.tables import KeyedTable
 
 CLUSTER_BY = ["claim_id", "service_date"]
 
@@ -75,24 +75,22 @@ def to_silver(bronze: DataFrame, scorer=None, processed_ts=None) -> DataFrame:
     )
 
 
-def silver_table(spark: SparkSession, root: str, buckets: int = 64) -> VersionedTable:
-    return VersionedTable(spark, root, "claim_id", schemas.SILVER, buckets, CLUSTER_BY)
+def silver_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, root, "claim_id", schemas.SILVER, CLUSTER_BY)
 
 
-def bronze_to_silver(
-    spark: SparkSession, bronze: DataFrame, root: str, scorer=None, buckets: int = 64
-) -> int:
-    """Upsert the Silver table; returns its row count.  Files of a bucket are sorted by
-    claim and service date, so row-group statistics prune on both."""
-    table = silver_table(spark, root, buckets)
+def bronze_to_silver(spark: SparkSession, bronze: DataFrame, root: str, scorer=None) -> int:
+    """Upsert the Silver table; returns its row count.  Files are sorted by claim and
+    service date, so row-group statistics prune on both."""
+    table = silver_table(spark, root)
     table.upsert(to_silver(bronze, scorer))
     return table.read().count()
 
 
 def silver_to_gold(spark: SparkSession, silver: DataFrame, root: str) -> dict[str, int]:
-    """Rebuild the Gold tables; returns their row counts."""
-    counts = {}
+    """Rebuild the Gold tables; returns their row counts, observed while writing."""
+    seen = {name: Observation(name) for name in gold.BUILDERS}
     for name, build in gold.BUILDERS.items():
-        build(silver).write.mode("overwrite").parquet(f"{root}/{name}")
-        counts[name] = spark.read.parquet(f"{root}/{name}").count()
-    return counts
+        counted = build(silver).observe(seen[name], F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{root}/{name}")
+    return {name: observation.get["rows"] for name, observation in seen.items()}

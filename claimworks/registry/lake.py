@@ -68,7 +68,7 @@ def s8(spark, sf):
     claims = star.claims(spark, sf)
     status = claims.select("claim_id", "order_status")
     rows = _silver(spark, sf).join(status, "claim_id")
-    table = lake.silver_table(spark, scratch_dir(spark, "upsert"), buckets=8)
+    table = lake.silver_table(spark, scratch_dir(spark, "upsert"))
     table.upsert(rows.where("order_status <> 'O'").drop("order_status"))
     second = rows.where("order_status <> 'F'").withColumn(
         "billed_amount", F.col("billed_amount") + 1

@@ -133,7 +133,7 @@ QUERIES = {
 cte(
     "lines",
     f"""
-    SELECT 'CLM-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS claim_id, l_linenumber AS ord,
+    SELECT 'CLM-' || printf('%08d', l_orderkey) AS claim_id, l_linenumber AS ord,
       ['99211','99212','99213','99214','99215','99291','93000','93458','27447','15820',
        '0191T','99999'][l_partkey % 12 + 1] AS cpt,
       CAST(l_extendedprice AS DECIMAL(12,2)) AS charge

@@ -26,17 +26,21 @@ def with_ctes(select: str, *names: str) -> str:
     return f"WITH {body}\n{select}"
 
 
+def _npi_digit(place: int) -> str:
+    digit = f"((s % 100000000) // {10**place}) % 10"
+    return digit if place % 2 else f"(2 * ({digit}) - CASE WHEN {digit} >= 5 THEN 9 ELSE 0 END)"
+
+
+NPI_DIGITS = " + ".join(_npi_digit(place) for place in range(8))
+
 cte("sup", "SELECT l_orderkey, min(l_suppkey) AS s FROM lineitem GROUP BY l_orderkey")
 cte(
     "claims0",
-    """
-    SELECT 'CLM-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS claim_id,
-      'MBR' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS patient_id,
-      '1' || lpad(CAST(s AS VARCHAR), 8, '0') || CAST((10 - (
-          26 + (2 * (s % 10) - CASE WHEN s % 10 >= 5 THEN 9 ELSE 0 END)
-          + (s // 10) % 10
-          + (2 * ((s // 100) % 10) - CASE WHEN (s // 100) % 10 >= 5 THEN 9 ELSE 0 END)
-          + (s // 1000) % 10) % 10 + CASE WHEN s % 10 = 7 THEN 1 ELSE 0 END) % 10 AS VARCHAR)
+    f"""
+    SELECT 'CLM-' || printf('%08d', o_orderkey) AS claim_id,
+      'MBR' || printf('%08d', o_custkey) AS patient_id,
+      '1' || printf('%08d', s % 100000000) || CAST((10 - (26 + {NPI_DIGITS}) % 10
+        + CASE WHEN s % 10 = 7 THEN 1 ELSE 0 END) % 10 AS VARCHAR)
         AS billing_npi,
       ['I21.09','M79.3','J06.9','M54.5','Z00.00'][CAST(substr(o_orderpriority, 1, 1) AS INT)]
         AS primary_diagnosis_code,
@@ -46,7 +50,7 @@ cte(
       CAST(o_orderdate AS DATE) AS service_date,
       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 240 AS INT) AS filed_date,
       CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS INT) <= 2
-        THEN 'AUTH' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') END AS prior_auth_number,
+        THEN 'AUTH' || printf('%08d', o_orderkey) END AS prior_auth_number,
       CAST(o_orderkey % 10 + 1 AS INT) AS dx_count,
       CAST(substr(o_orderpriority, 1, 1) AS INT) - 1 AS dx_first,
       CAST(o_orderkey % 240 AS INT) AS lag_days,
@@ -70,7 +74,7 @@ cte("claims", "SELECT *, denial_risk_score >= 70 AS human_review_required FROM c
 cte(
     "enrollment",
     """
-    SELECT 'MBR' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS member_id,
+    SELECT 'MBR' || printf('%08d', c_custkey) AS member_id,
       DATE '1995-01-01' + CAST(c_custkey % 365 AS INT) AS coverage_start,
       DATE '2000-12-31' + CAST(c_custkey % 200 AS INT) AS coverage_end,
       ['PPO','HMO','EPO','POS'][c_custkey % 4 + 1] AS plan_type,

@@ -277,3 +277,40 @@ def test_processing_outcomes(spark):
     }
     assert json.loads(rows[5].value)["cas_code"] == "CO-197"
     assert tuple(validate.run_statistics(out).first()) == (2, 1, 1, 2, 2)
+
+
+def test_large_keys_stay_whole_and_identifiers_valid(spark):
+    """Order keys above 10^9 and supplier numbers above 10^6: ids stay unique, check digits right."""
+    from claimworks.fixtures import star
+    from claimworks.functions.scalars import npi_is_valid
+
+    keys = spark.createDataFrame(
+        [(100_000_001, 4), (1_000_000_010, 10_001), (1_000_000_019, 1_234_568), (10_000_000_019, 99_999_999),
+         (5, 123_456_789), (6, 1_000_007)],
+        "k long, s long",
+    ).select(star._padded("CLM-", F.col("k")).alias("id"), "s", star.npi_of_supplier(F.col("s")).alias("npi"))
+    rows = keys.withColumn("ok", npi_is_valid(F.col("npi"))).collect()
+    assert len({r.id for r in rows}) == 6 and "CLM-10000000019" in {r.id for r in rows}
+    assert all(len(r.npi) == 10 and r.ok == (r.s % 10 != 7) for r in rows)
+
+
+def test_a_schedule_that_is_a_table_prices_like_a_constant_one(spark, tmp_path):
+    import json
+
+    from claimworks.operators import adjudicate as adj
+
+    fees = {"99213": 280.0, "27447": 8000.0, "x": 1.5}
+    file = tmp_path / "fees.json"
+    file.write_text(json.dumps({"_comment": "no code", "DEFAULT": 150, **fees}))
+    claims = spark.createDataFrame(
+        [("a", ["99213", "", "27447"]), ("a", ["zzz"]), (None, ["x", None, "x"]), ("b", []), ("c", None), ("a", ["zzz"])],
+        "claim_id string, cpts array<string>",
+    )
+
+    def shown(schedule):
+        return sorted(
+            (r.claim_id or "", r.cpts or [], [(p.cpt, float(p.allowed)) for p in r.procedures or []])
+            for r in adj.priced(claims, schedule).select("claim_id", F.expr("filter(cpts, c -> c is not null)").alias("cpts"), "procedures").collect()
+        )
+
+    assert shown(adj.read_fee_schedule(spark, str(file))) == shown(fees)

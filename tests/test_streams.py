@@ -91,16 +91,16 @@ def test_remittance_upsert_is_idempotent(spark, tmp_path):
     root, table = str(tmp_path / "t"), str(tmp_path / "gold")
     put(spark, root, fv.TOPIC_REMITTANCE, 0, ("a", record("a", 1)), ("b", record("b", 2)),
         ("bad", '{"claim_id": "z", "status": "paid", "paid_amount": "x"}'), ("junk", "{"))
-    jobs.remittance_to_table(spark, root, table, str(tmp_path / "c1"), buckets=2)
+    jobs.remittance_to_table(spark, root, table, str(tmp_path / "c1"))
     put(spark, root, fv.TOPIC_REMITTANCE, 1, ("b", record("b", 5)))
-    jobs.remittance_to_table(spark, root, table, str(tmp_path / "c1"), buckets=2)
+    jobs.remittance_to_table(spark, root, table, str(tmp_path / "c1"))
 
     def state():
-        rows = jobs.remittance_table(spark, table, 2).read().collect()
+        rows = jobs.remittance_table(spark, table).read().collect()
         return sorted((r.claim_id, r.paid_amount, r.billed_amount) for r in rows)
 
     assert state() == [("a", 1.0, 0.0), ("b", 5.0, 0.0)]
-    jobs.remittance_to_table(spark, root, table, str(tmp_path / "c2"), buckets=2)  # replay
+    jobs.remittance_to_table(spark, root, table, str(tmp_path / "c2"))  # replay
     assert state() == [("a", 1.0, 0.0), ("b", 5.0, 0.0)]
 
 

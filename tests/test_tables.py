@@ -3,13 +3,13 @@ from pyspark.sql import functions as F
 
 from claimworks.operators.dedup import latest_per_key
 from claimworks.plans import quality, semantic
-from claimworks.sources.tables import VersionedTable, cluster, typed_table
+from claimworks.sources.tables import KeyedTable, cluster, typed_table
 
 DDL = "k string, v int"
 
 
 def table(spark, path, **options):
-    return VersionedTable(spark, str(path), "k", DDL, buckets=4, **options)
+    return KeyedTable(spark, str(path), "k", DDL, **options)
 
 
 def rows(df):
@@ -22,11 +22,11 @@ def frame(spark, *pairs):
 
 def test_upsert_updates_inserts_and_keeps(spark, tmp_path):
     t = table(spark, tmp_path / "t")
-    assert not t.exists() and rows(t.read()) == []
-    t.upsert(frame(spark, ("a", 1), ("b", 2)))
+    assert rows(t.read()) == []
+    first = t.upsert(frame(spark, ("a", 1), ("b", 2)))
     t.upsert(frame(spark, ("b", 20), ("c", 3)))
     assert rows(t.read()) == [("a", 1), ("b", 20), ("c", 3)]
-    assert rows(t.read(version=1)) == [("a", 1), ("b", 2)]
+    assert rows(t.read(until=first)) == [("a", 1), ("b", 2)]
 
 
 def test_upsert_twice_is_upsert_once(spark, tmp_path):
@@ -39,29 +39,43 @@ def test_upsert_twice_is_upsert_once(spark, tmp_path):
     assert rows(t.read()) == once and len(once) == 60
 
 
-def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+def test_upsert_writes_only_its_rows(spark, tmp_path):
     t = table(spark, tmp_path / "t")
-    t.upsert(frame(spark, *[(f"k{i}", i) for i in range(50)]))
-    t.upsert(frame(spark, ("k1", -1)))
-    versions = list(t.manifest()["at"].values())
-    assert sorted(versions) == [1, 1, 1, 2]
+
+    def size():
+        return sum(p.stat().st_size for p in (tmp_path / "t").rglob("*.parquet"))
+
+    t.upsert(spark.range(100_000).selectExpr("concat('k', id) k", "cast(hash(id) as int) v"))
+    whole = size()
+    t.upsert(spark.range(2_000).selectExpr("concat('k', id * 50) k", "1 v"))
+    assert size() - whole < 0.05 * whole
+    assert t.read().where("v = 1").count() >= 2_000 and t.read().count() == 100_000
+
+
+def test_compaction_keeps_what_a_read_shows(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    for i in range(4):
+        t.upsert(frame(spark, ("a", i), (f"b{i}", i)))
+    before = rows(t.read())
+    assert t.compact() == 1
+    assert rows(t.read()) == before and t._rows(1).count() == len(before)
+    t.upsert(frame(spark, ("a", 9)))
+    assert ("a", 9) in rows(t.read()) and len(rows(t.read())) == len(before)
+    assert t.compact() == 2 and not (tmp_path / "t" / "gen=1").exists()
 
 
-def test_empty_upsert_publishes_nothing(spark, tmp_path):
+def test_an_unfinished_compaction_is_not_read(spark, tmp_path):
     t = table(spark, tmp_path / "t")
     t.upsert(frame(spark, ("a", 1)))
-    assert t.upsert(spark.createDataFrame([], DDL)) == 1
+    (tmp_path / "t" / "gen=1").mkdir()
+    assert rows(t.read()) == [("a", 1)]
 
 
-def test_second_writer_is_refused(spark, tmp_path):
+def test_empty_upsert_changes_nothing(spark, tmp_path):
     t = table(spark, tmp_path / "t")
     t.upsert(frame(spark, ("a", 1)))
-    with pytest.raises(RuntimeError, match="another writer"):
-        t._publish({"version": 1, "buckets": 4, "at": {}})
-    with pytest.raises(ValueError, match="bucket count"):
-        VersionedTable(spark, str(tmp_path / "t"), "k", DDL, buckets=8).upsert(
-            frame(spark, ("a", 1))
-        )
+    t.upsert(spark.createDataFrame([], DDL))
+    assert rows(t.read()) == [("a", 1)]
 
 
 def test_latest_per_key(spark):
