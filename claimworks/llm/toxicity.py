@@ -13,8 +13,8 @@ from claimworks.llm.words import slab_ranges, text_bytes, word_hashes, word_plac
 WORD_SLOTS = 1 << 20  # counts are kept per hashed word: a table of fixed size whatever the corpus
 PREFIX_SLOTS = 1 << 18  # and per hashed word beginning
 PREFIX_BYTES = 4
-PRIOR = 8.0  # documents that the prior of a word weighs
-PENALTY = 1.0  # taken from every token's log-odds, so that clean text scores below zero
+PRIOR = 4.0  # documents that the prior of a word weighs
+PENALTY = 2.0  # taken from every token's log-odds, so that clean text scores below zero
 THRESHOLD = 0.7
 BINS = 256
 SLAB_BYTES = 4 << 20
@@ -111,6 +111,15 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     return [(r - b, f, e) for b, r, f, e in stack]
 
 
+def repeated(doc: np.ndarray, words: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Tokens in a word's favour that the document has shown before: evidence is counted by document."""
+    at = np.flatnonzero(score > 0)
+    _, first = np.unique(doc[at] * WORD_SLOTS + words[at], return_index=True)
+    later = np.ones(len(at), bool)
+    later[first] = False
+    return at[later]
+
+
 def passage_task(model, keep):
     """Word count and the segments of every text, with their code point ranges."""
     def run(batches):
@@ -124,6 +133,8 @@ def passage_task(model, keep):
                 score = words_score[words]
                 unseen = np.isnan(score)
                 score[unseen] = heads_score[heads[unseen]]
+                again = repeated(doc, words, score)
+                score[again] = 0.0
                 cuts = np.searchsorted(doc, np.arange(b - a + 1))
                 # code points before each byte
                 points = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
@@ -192,21 +203,33 @@ def word_scores(bad, good, n_bad, n_good):
 
 
 def logistic(x, bad, good):
-    """Slope >= 0 and level of a logistic curve through counted bins, held by one pseudo row of each class."""
+    """Slope >= 0 and level of a logistic curve through counted bins, held by one pseudo row of each class.
+
+    Newton steps on the penalised likelihood, each halved until it gains.
+    """
     x = np.concatenate([x, [x.max(initial=1.0) or 1.0, 0.0]])
     bad, good = np.concatenate([bad, [1.0, 0.0]]), np.concatenate([good, [0.0, 1.0]])
-    a = b = 0.0
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-(a + b * x)))
-        n = bad + good
-        grad = np.array([(bad - n * p).sum(), ((bad - n * p) * x).sum() - 1e-3 * b])
-        w = n * p * (1 - p) + 1e-9
-        h = np.array([[w.sum(), (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + 1e-3]])
-        step = np.clip(np.linalg.solve(h, grad), -2, 2)
-        a, b = a + step[0], max(0.0, b + step[1])
-        if np.abs(step).max() < 1e-6:
+    scale = max(1e-9, float(np.abs(x).max()))
+    design = np.stack([np.ones_like(x), x / scale], axis=1)
+
+    def loss(beta):
+        z = design @ beta
+        return float((bad * np.logaddexp(0, -z) + good * np.logaddexp(0, z)).sum() + 1e-3 * beta @ beta)
+
+    beta = np.zeros(2)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -500, 500)))
+        grad = design.T @ (bad - (bad + good) * p) - 2e-3 * beta
+        hess = (design * ((bad + good) * p * (1 - p))[:, None]).T @ design + 2e-3 * np.eye(2)
+        step, size = np.linalg.solve(hess, grad), 1.0
+        while size > 1e-6 and loss(beta + size * step) > loss(beta):
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return float(a), float(b)
+    if beta[1] < 0:
+        return float(logit((bad.sum()) / (bad.sum() + good.sum()))), 0.0
+    return float(beta[0]), float(beta[1] / scale)
 
 
 def fit(rows: DataFrame, fold) -> Model:
