@@ -15,8 +15,8 @@ from claimworks.llm.bpe import WORD, Encoder, Vocabulary, byte_symbols, public_v
 from claimworks.llm.common import stored, table
 
 CAPACITY = 2048
-SEARCH_NODES = 4000  # branch-and-bound steps spent on beating the best-fit packing
-FILLINGS = 24  # fillings tried for one bin, least waste first
+SEARCH_WORK = 40_000  # distinct lengths looked at by branch-and-bound steps that try to beat best fit
+FILLINGS = 8  # fillings tried for one bin, least waste first
 
 
 # ---- the plan: patterns (times, [(length, count), ...]) from a histogram of lengths
@@ -96,34 +96,43 @@ def fillings(size: int, counts: dict[int, int], capacity: int, most_waste: int,
 
 
 def bound(counts: dict[int, int], capacity: int) -> int:
-    """Bins needed at least: total mass, and for each threshold the items too large to share a bin."""
-    total = sum(s * n for s, n in counts.items())
-    best = -(-total // capacity)
-    for k in sorted({s for s in counts if s <= capacity // 2} | {0}):
-        alone = sum(n for s, n in counts.items() if s > capacity - k)
-        half = {s: n for s, n in counts.items() if capacity // 2 < s <= capacity - k}
-        small = sum(s * n for s, n in counts.items() if k <= s <= capacity // 2)
-        spare = sum((capacity - s) * n for s, n in half.items())
-        best = max(best, alone + sum(half.values()) + max(0, -(-(small - spare) // capacity)))
-    return best
-
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES):
+    """Bins needed at least: total mass, and for each threshold k the items too large to share a bin.
+
+    Items above capacity - k are alone, those above half need a bin each, and items of k to half the capacity
+    fill what these leave open.
+    """
+    number = np.zeros(capacity + 2, np.int64)
+    for s, n in counts.items():
+        number[s] = n
+    sizes = np.arange(capacity + 2)
+    items, mass = np.cumsum(number), np.cumsum(number * sizes)
+    half = capacity // 2
+    k = np.arange(0, half + 1)
+    top = capacity - k
+    alone = items[-1] - items[top]
+    large = items[top] - items[half]
+    spare = large * capacity - (mass[top] - mass[half])
+    small = mass[half] - np.where(k > 0, mass[np.maximum(k - 1, 0)], 0)
+    need = alone + large + np.maximum(0, -(-(small - spare) // capacity))
+    return int(max(-(-mass[-1] // capacity), need.max()))
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = SEARCH_WORK):
     """Patterns that hold all items: best fit as incumbent, then bin completion while it can be beaten."""
     counts = {s: n for s, n in counts.items() if n}
     incumbent = best_fit(counts, capacity)
     used = sum(t for t, _ in incumbent)
     least, mass = bound(counts, capacity), sum(s * n for s, n in counts.items())
-    steps = 0
+    spent_work = 0
 
     def times_of(content, left):
         return min(left[s] // n for s, n in content.items())
 
     # depth-first: (items left, patterns so far, bins so far)
     stack = [(counts, [], 0)]
-    while stack and used > least and steps < nodes:
-        steps += 1
+    while stack and used > least and spent_work < work:
         left, done, bins = stack.pop()
+        spent_work += 20 + len(left)
         if not left:
             if bins < used:
                 incumbent, used = done, bins
