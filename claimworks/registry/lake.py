@@ -8,6 +8,7 @@ from claimworks import schemas
 from claimworks.fixtures import star
 from claimworks.operators.dedup import latest_per_key
 from claimworks.plans import lake
+from claimworks.registry import records  # noqa: F401  (registers the fhir expression)
 from claimworks.registry.sql_base import cte, with_ctes
 from claimworks.session import scratch_dir
 from claimworks.sources import fhir_files, tables

@@ -9,6 +9,7 @@ from claimworks.fixtures import star
 from claimworks.operators import fhir
 from claimworks.plans import lake
 from claimworks.registry.lake import _SILVER_SQL
+from claimworks.registry import records  # noqa: F401  (registers the fhir expression)
 from claimworks.registry.sql_base import cte, with_ctes
 from claimworks.risk import explain, features, score, train, versions
 from claimworks.session import scratch_dir

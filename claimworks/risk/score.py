@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from math import factorial
+import re
+from math import factorial, inf
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer, StandardScalerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ ADDITIVE_POINTS = {
 BASELINE = [1025.0, 0.7, 5.5, 3.0, 10.5, 90.0]
 
 
+SPLIT = re.compile(r"If \(feature (\d+) <= ([^)]+)\)")
+
+
 def _hit(name: str) -> Column:
     value = F.col(name)
     return {
@@ -80,6 +85,14 @@ def coalition_weights(n: int) -> list[list[float]]:
     ]
 
 
+def split_points(model: PipelineModel) -> list[list[float]]:
+    """Per feature the thresholds of all trees, in the units the trees see."""
+    found: list[set[float]] = [set() for _ in fv.FEATURES]
+    for feature, threshold in SPLIT.findall(model.stages[-1].toDebugString):
+        found[int(feature)].add(float(threshold))
+    return [sorted(f) for f in found]
+
+
 class ModelScorer:
     """A fitted pipeline over the six feature columns."""
 
@@ -95,47 +108,67 @@ class ModelScorer:
     def attribute(self, df: DataFrame, key: str = "claim_id") -> DataFrame:
         """Exact Shapley values of the game that swaps features for the baseline's.
 
-        ``key`` is unique.  Every row becomes one row per coalition, which the partial
-        aggregation folds back inside the same task, so what crosses the network is one
-        row per claim - and nothing where the input is already partitioned by ``key``.
-        These values add up to f(x) - f(baseline); they are not the path-dependent
-        values of a tree explainer.
+        Trees do not change between their split points, so rows whose features fall into the same
+        intervals have the same values: the game is played once per distinct tuple of intervals,
+        and the result joined back.  These values add up to f(x) - f(baseline); they are not the
+        path-dependent values of a tree explainer.
         """
+        rows = self._intervals(df)
+        tuples = rows.groupBy("_tuple").agg(F.first(F.struct(*fv.FEATURES)).alias("_x"))
+        values = self._game(tuples.select("_tuple", "_x.*"), "_tuple")
+        return rows.join(values, "_tuple", "left").select(*df.columns, "probability", "contributions")
+
+    def _intervals(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_tuple``: between which split points of the model each feature lies."""
+        scaler = next((s for s in self.model.stages if isinstance(s, StandardScalerModel)), None)
+        points = split_points(self.model)
+        # Splits send x <= t to the left and Bucketizer's bounds belong to the right, so both are negated.
+        out = df
+        for i, name in enumerate(fv.FEATURES):
+            x = F.col(name).cast("double")
+            if scaler is not None:
+                std = float(scaler.std[i])
+                x = (x - float(scaler.mean[i])) * (1.0 / std if std else 0.0)
+            out = out.withColumn(f"_n{i}", -x)
+        bounds = [[-inf, *sorted({-t for t in ts}), inf] if ts else [-inf, 0.0, inf] for ts in points]
+        n = len(fv.FEATURES)
+        found = Bucketizer(
+            splitsArray=bounds, inputCols=[f"_n{i}" for i in range(n)], outputCols=[f"_b{i}" for i in range(n)],
+            handleInvalid="keep",
+        ).transform(out)
+        names = [F.col(f"_b{i}").cast("int").cast("string") if points[i] else F.lit("") for i in range(n)]
+        return found.select(*df.columns, F.concat_ws(",", *names).alias("_tuple"))
+
+    def _game(self, df: DataFrame, key: str) -> DataFrame:
+        """``key, probability, contributions``; every row becomes one row per coalition, which the
+        partial aggregation folds back inside the same task."""
         n = len(fv.FEATURES)
         full = (1 << n) - 1
         mask = F.col("_mask")
         mixed = [
-            F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.col(f"_x{i}"))
+            F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.col(f))
             .otherwise(F.lit(self.baseline[i]))
             .alias(f)
             for i, f in enumerate(fv.FEATURES)
         ]
-        inputs = df.select(
-            F.col(key).alias("_key"), *[F.col(f).alias(f"_x{i}") for i, f in enumerate(fv.FEATURES)]
-        )
         game = probability_of(
             self.model,
-            inputs.withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(full)))).select(
-                "_key", "_mask", *mixed
+            df.withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(full)))).select(
+                F.col(key).alias("_key"), "_mask", *mixed
             ),
         )
         weights = [
             F.element_at(F.array(*[F.lit(w) for w in row]), mask + 1)
             for row in coalition_weights(n)
         ]
-        values = (
-            game.groupBy("_key")
-            .agg(
-                F.max(F.when(mask == full, F.col("probability"))).alias("probability"),
-                *[F.sum(F.col("probability") * w).alias(f"_c{i}") for i, w in enumerate(weights)],
-            )
-            .select(
-                F.col("_key").alias(key),
-                "probability",
-                F.array(*[F.col(f"_c{i}") for i in range(n)]).alias("contributions"),
-            )
+        sums = game.groupBy("_key").agg(
+            F.max(F.when(mask == full, F.col("probability"))).alias("probability"),
+            *[F.sum(F.col("probability") * w).alias(f"_c{i}") for i, w in enumerate(weights)],
+        )
+        return sums.select(
+            F.col("_key").alias(key), "probability",
+            F.array(*[F.col(f"_c{i}") for i in range(n)]).alias("contributions"),
         )
-        return df.join(values, key, "left")
 
 
 class FailedScorer:
