@@ -20,7 +20,7 @@ HEADLINE = [
     "J4_fee_lookup", "B1_adjudicate", "B4_process_claims", "V2_claim_validation",
     "W1_latest_per_key", "F1_fhir_claim", "F3_bronze_to_silver", "P4_claim_loops",
     "P10_enrollment_834", "S15_remittance_835", "M12_attribution", "S8_keyed_upsert",
-    "T1_score_and_route",
+    "T1_score_and_route", "V14_not_null_unique",
 ]
 
 
