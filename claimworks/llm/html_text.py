@@ -14,6 +14,7 @@ from claimworks.llm import boosting
 from claimworks.llm.common import table
 
 SAMPLE_PAGES = 600  # pages the trees are fitted on: those with the smallest checksum of their html
+SAMPLE_CHARS = 200_000  # longer pages are extracted, but not learned from
 MAX_DEPTH = 200  # elements nested deeper hang below this level
 BATCH_NODES = 20_000
 MAIN_BONUS = 2.0  # log-odds added below elements whose names mark main text
@@ -392,9 +393,12 @@ def extract(pages: DataFrame, keys=("page_id", "url"), html: str = "html", sampl
     other columns are ignored; an empty table gives no rows.
     """
     body = F.col(html).cast("string")
+    # only a share of the pages, given by their checksum, is ordered at all: a few for each one wanted
+    usable = pages.where(body.isNotNull() & (F.length(body) <= SAMPLE_CHARS))
+    share = int(2**32 * min(1.0, 4 * sample_pages / max(1, usable.count())))
     sample = (
-        pages.where(f"{html} is not null").select(body.alias("h"), F.crc32(body.cast("binary")).alias("c"))
-        .where(F.length("h") <= 200_000).orderBy("c").limit(sample_pages).select("h")
+        usable.select(body.alias("h"), F.crc32(body.cast("binary")).alias("c")).where(F.col("c") <= share)
+        .dropDuplicates(["c"]).orderBy("c").limit(sample_pages).select("h")
     )
     model = train([r[0] for r in sample.collect()])  # a sample of bounded size
     picked = pages.select(*keys, body.alias("__html"))
