@@ -14,12 +14,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import table
+from claimworks.llm.common import table, tidy
 
 #: Fixed: how byte-level BPE cuts a text into words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_CHUNKS = 300_000  # remembered chunks of a task; the store is emptied when it is full
-SLAB_CHARS = 8 << 20  # texts encoded together
+CACHE_CHUNKS = 200_000  # remembered chunks of a task; the store is emptied when it is full
+SLAB_CHARS = 4 << 20  # texts encoded together
 NONE = np.int64(1) << 60
 MARKS = frozenset(",.;:!?")  # one of these after letters is a word of its own
 
@@ -270,7 +270,7 @@ def encode(docs: DataFrame, vocabulary_path: str, keys=("doc_id",), text: str =
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())  # one file of fixed size
     rows = docs.select(*[F.col(k) for k in keys], F.col(text).cast("string").alias("__text"))
     schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.mapInArrow(encoder_task(shipped, len(keys)), f"{schema}, ids array<int>")
+    return rows.mapInArrow(tidy(encoder_task(shipped, len(keys))), f"{schema}, ids array<int>")
 
 
 def decode_flat(ids: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +315,7 @@ def decode(rows: DataFrame, vocabulary_path: str, keys=("doc_id",), ids: str = "
         shipped = rows.sparkSession.sparkContext.broadcast(f.read())
     schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     picked = rows.select(*[F.col(k) for k in keys], F.col(ids).alias("__ids"))
-    return picked.mapInArrow(decoder_task(shipped, len(keys)), f"{schema}, decoded string")
+    return picked.mapInArrow(tidy(decoder_task(shipped, len(keys))), f"{schema}, decoded string")
 
 
 def public_vocabulary() -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from claimworks.llm.bpe import WORD, Encoder, Vocabulary, byte_symbols, public_vocabulary, slabs
-from claimworks.llm.common import stored, table
+from claimworks.llm.common import stored, table, tidy
 
 CAPACITY = 2048
 SEARCH_WORK = 40_000  # distinct lengths looked at by branch-and-bound steps that try to beat best fit
@@ -344,7 +344,7 @@ def pieces(
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())  # one file of fixed size
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInArrow(piece_task(shipped, end_id, capacity), f"doc_id {kind}, {PIECES}")
+    return rows.mapInArrow(tidy(piece_task(shipped, end_id, capacity)), f"doc_id {kind}, {PIECES}")
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import stored, table
+from claimworks.llm.common import stored, table, tidy
 from claimworks.llm.words import slab_ranges, text_bytes, word_hashes, word_places
 
 WORD_SLOTS = 1 << 20  # counts are kept per hashed word: a table of fixed size whatever the corpus
@@ -17,7 +17,7 @@ PRIOR = 4.0  # documents that the prior of a word weighs
 PENALTY = 2.0  # taken from every token's log-odds, so that clean text scores below zero
 THRESHOLD = 0.7
 BINS = 256
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 1 << 20
 BROADCAST_LABELS = 1_000_000  # more labelled rows than this are joined by shuffle
 
 LETTER = np.zeros(256, bool)
@@ -171,7 +171,7 @@ class Model:
         shipped = spark.sparkContext.broadcast((self.words.tobytes(), self.heads.tobytes()))  # fixed size
         picked = docs.select(*keys, F.col(text).cast("string").alias("__text"))
         types = ", ".join(f"`{k}` {picked.schema[k].dataType.simpleString()}" for k in keys)
-        return picked.mapInArrow(passage_task(shipped, len(keys)), f"{types}, {PASSAGES}")
+        return picked.mapInArrow(tidy(passage_task(shipped, len(keys))), f"{types}, {PASSAGES}")
 
     def surplus(self):
         """Sum over segments of what their score exceeds the extreme-value level of a clean text that long."""
@@ -245,7 +245,7 @@ def fit(rows: DataFrame, fold) -> Model:
     n_bad, n_good = n.get(True, 0), n.get(False, 0)
     counts = (
         rows.where(~F.col("__cal")).select(F.col("text").cast("string"), F.col("toxic"))
-        .mapInArrow(count_task, "slot int, bad long, good long, times long")
+        .mapInArrow(tidy(count_task), "slot int, bad long, good long, times long")
         .groupBy("slot").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.sum("times").alias("times"))
     )
     got = counts.toArrow()  # at most WORD_SLOTS + PREFIX_SLOTS rows
