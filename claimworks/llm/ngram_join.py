@@ -6,20 +6,21 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import components, stored, table, width
+from claimworks.llm.common import components, stored, table, tidy, width
 from claimworks.llm.words import STEP, mix, slab_ranges, text_bytes, word_hashes, word_places
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5  # sets link at this Jaccard similarity or more
-SLAB_BYTES = 8 << 20
+SLAB_BYTES = 2 << 20
 UNIT_MASS = 1 << 21  # shingles of one work unit; a larger group is split over several units
 LEADERS = 8  # sets of a split group that every one of its units sees
 COMMON_IN_SLAB = 16  # documents of a slab that make a shingle a common one
 COMMON = 1 << 16  # the most common shingles, put last in the global order; an order, not a filter
 BROADCAST_ROWS = 2_000_000  # more surviving texts than this are found by a shuffle
+SCALE_STEP = 1.3  # sizes are compared by their place on this scale; partners differ by less than a step
 SKIP_MU = 0.0085  # DivideSkip's balance between merging and probing
 
 IS_WORD = np.ones(256, bool)
@@ -163,6 +164,24 @@ def prefix_rows(parts, cids, buckets):
     yield scan_rows(BLOB, **rows)
 
 
+def whole_task(buckets):
+    """BLOB and LOCAL rows for all shingles of the sets."""
+    def run(batches):
+        for batch in batches:
+            cids, parts, held, names = batch.column(0).to_pylist(), [], 0, []
+            for i, cid in enumerate(cids):
+                parts.append(np.frombuffer(batch.column(1)[i].as_py(), np.uint64))
+                names.append(cid)
+                held += len(parts[-1])
+                if held > SLAB_BYTES // 4 or i + 1 == len(cids):
+                    for rows in prefix_rows(parts, np.array(names, np.int64), buckets):
+                        if rows.column(0)[0].as_py() != HOT:
+                            yield rows
+                    parts, names, held = [], [], 0
+
+    return run
+
+
 def bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
     return ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
@@ -407,24 +426,37 @@ def in_units(rows: DataFrame) -> DataFrame:
     n = width(rows.sparkSession)
     return (
         rows.select("label", "sub", "cid", "comp", "guest", "shingles").repartition(n, "label", "sub")
-        .sortWithinPartitions("label", "sub", "guest", "cid").mapInArrow(unit_task, "a long, b long")
+        .sortWithinPartitions("label", "sub", "guest", "cid").mapInArrow(tidy(unit_task), "a long, b long")
     )
 
 
-def survivors(scan: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets (cid, n, tkey), and the classes that may have a partner."""
-    classes = (
-        scan.where(F.col("kind") == META).where("cid is not null").groupBy("cid").agg(F.min("n").alias("n"), F.min("tkey").alias("tkey"))
-    )
-    shared = (
+def shared_counts(scan: DataFrame, buckets: int) -> DataFrame:
+    """cid, shared: how many of its travelling shingles a set shares with any other set."""
+    return (
         scan.where(F.col("kind") == BLOB).select("bucket", "tokens", "owners", "cids")
-        .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(share_task, "cid long, n long")
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(share_task), "cid long, n long")
         .unionByName(scan.where(F.col("kind") == LOCAL).select("cid", "n"))
         .groupBy("cid").agg(F.sum("n").alias("shared"))
     )
-    ceil = F.floor((F.lit(NUMERATOR) * F.col("n") + (DENOMINATOR - 1)) / DENOMINATOR)
-    need = F.greatest(F.lit(1), F.floor(ceil / 10))
-    return classes, classes.join(shared, "cid").where(F.col("shared") >= need).select("cid", "tkey")
+
+
+def least() -> Column:
+    """``least_overlap`` of column n."""
+    return F.floor((F.lit(NUMERATOR) * F.col("n") + (DENOMINATOR - 1)) / DENOMINATOR)
+
+
+def survivors(scan: DataFrame, buckets: int) -> DataFrame:
+    """One text per class of equal sets that may have a partner: enough shared prefix shingles."""
+    classes = (
+        scan.where(F.col("kind") == META).where("cid is not null").groupBy("cid").agg(F.min("n").alias("n"), F.min("tkey").alias("tkey"))
+    )
+    need = F.greatest(F.lit(1), F.floor(least() / 10))
+    return classes.join(shared_counts(scan, buckets), "cid").where(F.col("shared") >= need).select("cid", "tkey")
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """Broadcast keys that were counted and found few; others are left to a shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
 def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -433,20 +465,24 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     buckets = width(spark)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("tkey"), body.alias("t"))
-    scan = stored(rows.mapInArrow(scan_task(buckets), SCAN_DDL), "shingles")
-    classes, alive = survivors(scan, buckets)
-    alive = stored(alive, "survivors")
-    hot = (
-        scan.where(F.col("kind") == HOT).groupBy("cid").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "cid")
-        .limit(COMMON).select("cid").toArrow()
-    )
-    hot = np.sort(hot.column("cid").to_numpy())  # COMMON numbers at most
+    scan = stored(rows.mapInArrow(tidy(scan_task(buckets)), SCAN_DDL), "shingles")
+    alive = stored(survivors(scan, buckets), "survivors")
+    often = stored(scan.where(F.col("kind") == HOT).groupBy("cid").agg(F.sum("n").alias("n")), "common")
+    total = often.count()
+    if total > COMMON:
+        edge = often.agg(F.percentile_approx("n", 1 - COMMON / total, 100_000)).first()[0]
+        often = often.where(F.col("n") > edge)
+    hot = np.sort(often.select("cid").toArrow().column("cid").to_numpy())  # about COMMON numbers at most
     common = spark.sparkContext.broadcast(hot.astype(np.int64).tobytes())
-    keys = alive.select("tkey")
-    if alive.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    texts = rows.join(keys, "tkey", "left_semi").dropDuplicates(["tkey"]).select("t")
-    sets = stored(texts.mapInArrow(set_task(common, buckets), SETS), "sets")
+    texts = rows.join(few(alive.select("tkey")), "tkey", "left_semi").dropDuplicates(["tkey"]).select("t")
+    first_sets = stored(texts.mapInArrow(tidy(set_task(common, buckets)), SETS), "sets")
+    # now over all shingles: a set with a partner shares four fifths of its own
+    whole = stored(first_sets.select("cid", "shingles").mapInArrow(tidy(whole_task(buckets)), SCAN_DDL), "shingles")
+    close = stored(
+        first_sets.select("cid", "n").join(shared_counts(whole, buckets), "cid").where(F.col("shared") >= least()).select("cid"),
+        "survivors",
+    )
+    sets = first_sets.join(few(close), "cid", "left_semi")
     # work units: sets that share their first shingle, split where they are too many
     split = F.ceil(F.col("mass") / UNIT_MASS).cast("int")
     big = (
@@ -464,13 +500,26 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
             "label", F.explode(visits).alias("sub"), "cid", F.col("cid").alias("comp"), F.lit(False).alias("guest"), "shingles"
         )), "links",
     )
-    groups = components(first)
+    # second look: pairs whose first shingles differ share another prefix shingle.  Sets first visit the
+    # largest component at each of their shingles only, which draws families together; then all others.
+    links = first
+    for top_only in (True, False):
+        links = second_look(placed, sets, links, top_only)
+    return scan.where(F.col("kind") == META), links
+
+
+def second_look(placed: DataFrame, sets: DataFrame, links: DataFrame, top_only: bool) -> DataFrame:
+    """``links`` and those found by sending sets to units that hold one of their prefix shingles in a larger component."""
+    groups = components(links)
     named = stored(
         placed.select("cid", "n", "label", "sub", "prefix").join(groups, F.col("cid") == F.col("node"), "left")
-        .select("cid", "label", "sub", F.coalesce("component", "cid").alias("comp"), "prefix"), "named",
+        .select(
+            "cid", "n", "label", "sub", F.coalesce("component", "cid").alias("comp"), "prefix",
+            F.floor(F.log(F.col("n").cast("double")) / math.log(SCALE_STEP)).cast("int").alias("scale"),
+        ),
+        "named",
     )
-    # second look: pairs whose first shingles differ share another prefix shingle
-    held = named.select(F.explode("prefix").alias("token"), "cid", "comp", "label", "sub")
+    held = named.select(F.explode("prefix").alias("token"), "cid", "n", "comp", "label", "sub", "scale")
     mixed = (
         held.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"),
                                   F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s"))
@@ -479,15 +528,28 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     size = named.groupBy("comp").agg(F.count("*").alias("members"))
     open_ = stored(held.join(mixed, "token").join(size, "comp"), "open")
     if open_.isEmpty():
-        return scan.where(F.col("kind") == META), first
+        return links
     rank = F.struct(F.col("members"), F.col("comp"))
-    ask = open_.select("token", F.col("cid").alias("guest_cid"), F.col("comp").alias("guest_comp"), rank.alias("low"))
-    units = open_.groupBy("token", "label", "sub").agg(F.max(rank).alias("high"))
-    routes = (
-        ask.join(units, "token").where(F.col("low") < F.col("high"))
-        .select("guest_cid", "guest_comp", "label", "sub").distinct()
+    # sizes of partners differ by a quarter at most, so by one step of the scale at most
+    steps = F.explode(F.sequence(F.col("scale") - 1, F.col("scale") + 1)).alias("scale")
+    ask = open_.select(
+        "token", "n", F.col("cid").alias("guest_cid"), F.col("comp").alias("guest_comp"), rank.alias("low"), steps
+    )
+    if top_only:
+        top = F.max(F.struct(rank.alias("high"), F.col("label"), F.col("sub"))).alias("top")
+        units = open_.groupBy("token", "scale").agg(top).select("token", "scale", "top.*")
+        fits = F.col("low") < F.col("high")
+    else:
+        units = open_.groupBy("token", "scale", "label", "sub").agg(
+            F.max(rank).alias("high"), F.min("n").alias("smallest"), F.max("n").alias("largest")
+        )
+        fits = (
+            (F.col("low") < F.col("high")) & (F.col("n") * NUMERATOR <= F.col("largest") * DENOMINATOR)
+            & (F.col("smallest") * NUMERATOR <= F.col("n") * DENOMINATOR)
+        )
+    routes = stored(
+        ask.join(units, ["token", "scale"]).where(fits).select("guest_cid", "guest_comp", "label", "sub").distinct(), "routes"
     )
-    routes = stored(routes, "routes")
     guests = routes.join(sets.select(F.col("cid").alias("guest_cid"), "shingles"), "guest_cid").select(
         "label", "sub", F.col("guest_cid").alias("cid"), F.col("guest_comp").alias("comp"), F.lit(True).alias("guest"), "shingles"
     )
@@ -496,8 +558,7 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
         .join(sets.select("cid", "shingles"), "cid")
         .select("label", "sub", "cid", "comp", F.lit(False).alias("guest"), "shingles")
     )
-    second = stored(in_units(hosts.unionByName(guests)), "links")
-    return scan.where(F.col("kind") == META), first.unionByName(second)
+    return links.unionByName(stored(in_units(hosts.unionByName(guests)), "links"))
 
 
 def classified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -539,14 +600,19 @@ def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     speaks = body.rlike(r"[^\x20\x09-\x0D]")
-    chosen = (
+    chosen = stored(
         classified(docs, key, text).where(F.col("cid").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("comp").agg(F.first("doc_id").alias("__id"), F.min("tkey").alias("__tkey")).select("__id", "__tkey")
+        .groupBy("comp", "tkey").agg(F.first("doc_id").alias("__id"), F.count("*").alias("copies"))
+        .groupBy("comp").agg(F.min(F.struct("tkey", "__id", "copies")).alias("c"))
+        .select("c.__id", F.col("c.tkey").alias("__tkey"), "c.copies"),
+        "chosen",
     )
     rows = docs.where(speaks).withColumn("__tk", F.xxhash64(body))
     same = F.col(key).cast("long").eqNullSafe(F.col("__id")) & (F.col("__tk") == F.col("__tkey"))
-    kept = rows.join(chosen, same, "left_semi").dropDuplicates([key, "__tk"]).select(*docs.columns)
-    return kept.unionByName(docs.where(~speaks))
+    # texts move only where a chosen row is there more than once
+    single = rows.join(few(chosen.where("copies = 1")), same, "left_semi")
+    several = rows.join(few(chosen.where("copies > 1")), same, "left_semi").dropDuplicates([key, "__tk"])
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns)).unionByName(docs.where(~speaks))
 
 
 def op1_ngram_join(spark, sf_dir):
