@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from claimworks.llm.common import table
+from claimworks.llm.common import stored, table
 
 THRESHOLD = 0.8
+BROADCAST_ROWS = 2_000_000  # texts worth a search are broadcast up to this number, else joined by shuffle
 
 # Notices and paragraphs of public licences, with the licence they stand for.
 TEMPLATES = [
@@ -59,6 +63,11 @@ TEMPLATES = [
 ]
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """Whole licence texts, one file each, named after the licence."""
+    return [(p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+
+
 def plain_words(text: str) -> list[str]:
     return re.sub("[^a-z0-9]+", " ", text.lower()).split()
 
@@ -122,17 +131,129 @@ def scan(
     )
 
 
+def let(value: Column, then) -> Column:
+    """``then`` of ``value``, which is worked out once however often ``then`` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def apart(found: Column, order) -> Column:
+    """Structs with ``s`` and ``e`` (inclusive), taken in ``order`` unless they overlap one taken before."""
+    ranked = F.transform(F.array_sort(F.transform(found, lambda x: F.struct(order(x).alias("o"), x.alias("x")))), lambda y: y["x"])
+    return let(ranked, lambda r: F.aggregate(r, F.slice(r, 1, 0), lambda kept, x: F.when(
+        F.exists(kept, lambda k: (k["s"] <= x["e"]) & (x["s"] <= k["e"])), kept).otherwise(F.concat(kept, F.array(x)))))
+
+
+def passages(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", templates=None, threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One row per passage that reaches ``threshold``: rid, key, line (from 0, of its first word), template, license, dice.
+
+    A passage is a run of the normalised words of a document, across line breaks and inside longer lines.  With
+    t bigrams in a template it needs t * threshold / (2 - threshold) distinct ones of them, so texts with fewer are
+    left out first.  A bigram of the template next to a passage never lowers its Dice coefficient, so passages begin
+    and end where an unbroken run of template bigrams does; every such pair is tested on its distinct bigrams, up to
+    t * (2 - threshold) / threshold bigrams beside those that the template itself repeats.  Of the overlapping
+    passages of one template the one of highest Dice stays (then the shorter, the first); of overlapping
+    passages of several templates the one with most bigrams in common (then of highest Dice, the shorter, the
+    first template).  Templates are by default the notices and the whole texts.  Null and empty texts match
+    nothing; repeated rows are scanned each; an empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    known, holders = [], {}
+    for name, body in templates if templates is not None else TEMPLATES + full_texts():
+        grams = plain_bigrams(body)
+        for gram in grams:
+            holders.setdefault(gram, []).append(len(known))
+        t, repeated = len(grams), max(0, len(plain_words(body)) - 1 - len(grams))
+        need = max(1, math.ceil(t * threshold / (2 - threshold) - 1e-9))
+        known.append((len(known), name, t, need, math.floor(t * (2 - threshold) / threshold + 1e-9) + repeated))
+    # both are tables of fixed size
+    index = F.broadcast(spark.createDataFrame(sorted(holders.items()), "gram string, ids array<int>"))
+    sizes = F.broadcast(spark.createDataFrame(known, "template int, license string, t int, need int, reach int"))
+
+    body = F.col(text).cast("string")
+    rows = docs.select(F.col(key).alias("key"), body.alias("t"), F.xxhash64(body).alias("digest"))
+    worth = (
+        rows.select(F.monotonically_increasing_id().alias("rid"), "digest", words_of(F.col("t")).alias("words"))
+        .where(F.size("words") > 1).select("rid", "digest", F.explode(bigrams_of(F.col("words"))).alias("gram"))
+        .join(index, "gram").select("rid", "digest", F.explode("ids").alias("template"))
+        .groupBy("rid", "digest", "template").agg(F.count("*").alias("common"))
+        .join(sizes, "template").where("common >= need")
+        .groupBy("digest").agg(F.collect_set("template").alias("templates"))
+    )
+    worth = stored(worth, "licenses")
+    few = worth.count() <= BROADCAST_ROWS
+    picked = rows.join(F.broadcast(worth) if few else worth, "digest").withColumn("rid", F.monotonically_increasing_id())
+
+    words = F.flatten(F.transform(F.split("t", "\n"), lambda x, i: F.transform(
+        F.filter(words_of(x), lambda w: w != ""), lambda w: F.struct(w.alias("w"), i.alias("line")))))
+    grams = let(words, lambda ws: F.zip_with(
+        F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))), F.slice(ws, 2, F.greatest(F.size(ws) - 1, F.lit(0))),
+        lambda a, b: F.struct(F.concat_ws(" ", a["w"], b["w"]).alias("gram"), a["line"].alias("line")),
+    ))
+    placed = picked.select("rid", "key", "templates", F.posexplode(grams).alias("pos", "g")).select(
+        "rid", "key", "templates", "pos", "g.gram", "g.line"
+    ).repartition("rid")
+    # where the same bigram stood last: a bigram is the first of its kind in a passage that begins later
+    last = F.coalesce(F.lag("pos").over(Window.partitionBy("rid", "gram").orderBy("pos")), F.lit(-1))
+    whole = (
+        placed.withColumn("prev", last).join(index, "gram", "left").groupBy("rid").agg(
+            F.first("key").alias("key"), F.first("templates").alias("templates"),
+            F.array_sort(F.collect_list(F.struct("pos", "prev", "line", "ids"))).alias("all"),
+        )
+    )
+    each = whole.select("rid", "key", "all", F.explode("templates").alias("template")).join(sizes, "template")
+
+    def tested(hits):
+        begin = F.filter(hits, lambda x: F.coalesce(F.get(hits, x["i"] - 1)["pos"], F.lit(-2)) < x["pos"] - 1)
+        end = F.filter(hits, lambda x: F.coalesce(F.get(hits, x["i"] + 1)["pos"], F.lit(2**31 - 1)) > x["pos"] + 1)
+        return let(F.zip_with(begin, end, lambda b, e: F.struct(
+            b["pos"].alias("s"), b["i"].alias("si"), e["pos"].alias("e"), e["i"].alias("ei"))), pairs)
+
+    def fresh(rows, at, n, s):
+        return F.size(F.filter(F.slice(rows, at + 1, n), lambda y: y["prev"] < s))
+
+    def pairs(runs):
+        def best(r, k):
+            fit = F.filter(F.slice(runs, k + 1, F.col("reach")), lambda x: (
+                (x["e"] - r["s"] < F.col("reach")) & (x["ei"] - r["si"] + 1 >= F.col("need"))))
+            sized = F.transform(fit, lambda x: F.struct(
+                fresh(F.col("hits"), r["si"], x["ei"] - r["si"] + 1, r["s"]).alias("c"),
+                fresh(F.col("all"), r["s"], x["e"] - r["s"] + 1, r["s"]).alias("n"), x["e"].alias("e")))
+            scored = F.transform(sized, lambda x: F.struct(
+                (2 * x["c"] / (x["n"] + F.col("t"))).alias("dice"), (-x["e"]).alias("short"), x["c"].alias("c")))
+            return let(F.array_max(F.filter(scored, lambda x: x["dice"] >= threshold)), lambda x: F.when(
+                x.isNotNull(), F.struct(r["s"].alias("s"), (-x["short"]).alias("e"), x["c"].alias("c"), x["dice"].alias("dice"))))
+
+        return F.filter(F.transform(runs, best), lambda x: x.isNotNull())
+
+    hits = F.transform(F.filter("all", lambda x: F.array_contains(x["ids"], F.col("template"))), lambda x, i: F.struct(
+        x["pos"].alias("pos"), x["prev"].alias("prev"), i.alias("i")))
+    # exploded, so that what is worked out once is not repeated where it is named
+    found = each.select("*", F.explode(F.array(hits)).alias("hits")).select(
+        "rid", "key", "all", "template", "license", F.explode(F.array(tested(F.col("hits")))).alias("found"))
+    found = found.select("rid", "key", F.transform(
+        apart(F.col("found"), lambda x: F.struct(-x["dice"], x["e"] - x["s"], x["s"])),
+        lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), x["c"].alias("c"), x["dice"].alias("dice"), F.col("template").alias("template"),
+            F.col("license").alias("license"), F.get(F.col("all"), x["s"])["line"].alias("line")),
+    ).alias("found"))
+    per_text = found.groupBy("rid").agg(F.first("key").alias("key"), F.flatten(F.collect_list("found")).alias("found"))
+    kept = apart(F.col("found"), lambda x: F.struct(-x["c"], -x["dice"], x["e"] - x["s"], x["template"], x["s"]))
+    return per_text.select("rid", "key", F.explode(kept).alias("x")).select(
+        "rid", "key", "x.line", "x.template", "x.license", "x.dice"
+    )
+
+
 def licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=None) -> DataFrame:
-    """Per matched line the best template (ties: the first one); key, line, license, dice."""
-    hits = scan(docs, key, text, templates)
-    best = F.max_by(F.struct("license", "dice"), F.struct("dice", (-F.col("template")).alias("first")))
-    return hits.groupBy("rid", "key", "line").agg(best.alias("best")).select("rid", "key", "line", "best.license", "best.dice")
+    """Per passage of a licence its first line, licence and Dice; key, line, license, dice."""
+    return passages(docs, key, text, templates).select("rid", "key", "line", "license", "dice")
 
 
 def op7_licenses(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = licenses(docs).groupBy(F.col("key").alias("doc_id")).agg(
-        F.count("*").alias("n_lines"), F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
+        F.countDistinct("line").alias("n_lines"), F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
         F.round(F.max("dice"), 9).alias("best_dice"),
     )
     return (

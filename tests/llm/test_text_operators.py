@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -322,6 +323,25 @@ def test_licenses_against_brute_force(spark):
     assert want[(15, 1, [n for n, _ in licenses.TEMPLATES].index("MIT") , "MIT")] or any(k[0] == 15 for k in want)
 
 
+def test_licenses_across_lines_and_inside_longer_ones(spark):
+    whole = dict(licenses.full_texts())
+    grant = next(b for n, b in licenses.TEMPLATES if n == "MIT" and len(b) > 300)
+    rows = [
+        (1, "Some words first.\n" + textwrap.fill(grant, 80) + "\nand some words after."),
+        (2, "This project is released under the MIT License, see LICENSE."),
+        (3, "Copyright (c) 2020 Someone\n\n" + whole["BSD-2-Clause"]),
+        (4, "# Notes\n\nof the work and of the license\n\n" + whole["GPL-3.0"] + "\n\nof the program"),
+        (5, "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.\nReleased under the MIT License."),
+        (6, "the licence of the software is under the counter " * 30), (7, None), (8, ""),
+    ]
+    got = sorted((r.key, r.line, r.license, r.dice) for r in licenses.licenses(docs(spark, rows)).collect())
+    assert [g[:3] for g in got] == [
+        (1, 1, "MIT"), (2, 0, "MIT"), (3, 2, "BSD-2-Clause"), (4, 4, "GPL-3.0"),
+        (5, 0, "CC-BY-NC-4.0"), (5, 1, "MIT"), (5, 2, "MIT"),
+    ]
+    assert all(g[3] > 0.99 for g in got)
+
+
 # ---- toxicity
 
 
