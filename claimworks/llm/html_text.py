@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -15,18 +16,24 @@ from claimworks.llm.common import table
 
 SAMPLE_PAGES = 600  # pages the trees are fitted on: those with the smallest checksum of their html
 SAMPLE_CHARS = 200_000  # longer pages are extracted, but not learned from
-MAX_DEPTH = 200  # elements nested deeper hang below this level
+MAX_DEPTH = 200  # elements nested deeper get no node; their text hangs below this level
+MAX_LEFT_OPEN = 20  # elements a page never ends that are each followed by one more parse
 BATCH_NODES = 20_000
 MAIN_BONUS = 2.0  # log-odds added below elements whose names mark main text
 
 # Element classes of HTML, and words of class, id and role attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP = frozenset(
-    "script style noscript template iframe svg math head title form button select textarea object canvas audio "
+    "script style noscript template iframe svg math title label button select textarea object canvas audio "
     "video map dialog".split()
 )
+#: What cannot hold blocks: a start tag of the second kind ends it, if the author did not.
+FLAT = frozenset("svg math title label button select textarea".split())
+BREAKS = frozenset(
+    "address article aside blockquote dl footer form h1 h2 h3 h4 h5 h6 header main nav ol p pre section table ul".split()
+)
 BLOCK = frozenset(
-    "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 "
+    "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption summary caption".split())
@@ -54,12 +61,15 @@ SPACE = re.compile(r"\s+")
 class Dom(HTMLParser):
     """Block-level nodes in page order with their text; tags that HTML lets an author leave open are closed."""
 
-    def __init__(self):
+    def __init__(self, plain=frozenset()):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.attr_words = ["#root"], [-1], [()]
         self.text, self.link_chars = [[]], [0]
         self.open = [("#root", 0)]  # element name, its node
-        self.skip = []  # open elements whose content is left out
+        self.skip = []  # the open element whose content is left out, and those inside it
+        self.skip_at, self.left_open = None, set()  # where it begins; where those begin that the page never ended
+        self.plain = plain  # beginnings of such elements, known from a parse before, or None for all: their tags are passed over
+        self.count = Counter()  # open elements by name
         self.links = 0
         self.run: list[str] = []
         self.run_links = 0
@@ -87,22 +97,41 @@ class Dom(HTMLParser):
     def close_to(self, depth):
         self.flush()
         while len(self.open) > depth:
-            if self.open.pop()[0] == "a":
+            name = self.open.pop()[0]
+            self.count[name] -= 1
+            if name == "a":
                 self.links = max(0, self.links - 1)
 
+    def enter(self, tag, at):
+        self.open.append((tag, at))
+        self.count[tag] += 1
+
+    def unskip(self):
+        """An element left open by its author ends; what was opened inside gets no node, but keeps its end tag."""
+        inside, self.skip = self.skip[1:], []
+        for tag in inside:
+            self.links += tag == "a"
+            self.enter(tag, self.open[-1][1])
+
     def handle_starttag(self, tag, attrs):
+        if tag == "head":
+            return  # what it may hold is left out by itself; its end tag is optional
         if self.skip:
-            if tag in SKIP and tag not in VOID:
-                self.skip.append(tag)
-            return
+            if not (tag == "body" and not self.count["body"] or tag in BREAKS and self.skip[0] in FLAT and "foreignobject" not in self.skip):
+                if tag not in VOID:
+                    self.skip.append(tag)
+                return
+            self.unskip()
         if tag in SKIP:
             self.flush()
-            self.skip.append(tag)
+            if tag in ("script", "style") or self.plain is not None and self.getpos() not in self.plain:
+                self.skip.append(tag)
+                self.skip_at = self.getpos()
             return
         if tag == "br":
             self.run.append("\n")
             return
-        if tag == "body" and any(t == "body" for t, _ in self.open):
+        if tag == "body" and self.count["body"]:
             return
         if tag in BLOCK or tag in VOID and tag == "hr":
             for i in range(len(self.open) - 1, 0, -1):
@@ -112,7 +141,7 @@ class Dom(HTMLParser):
                     break
                 if name in BLOCK:
                     break
-        if tag in ENDS:
+        if tag in ENDS and any(self.count[t] for t in ENDS[tag]):
             for i in range(len(self.open) - 1, 0, -1):
                 name = self.open[i][0]
                 if name in ENDS[tag]:
@@ -127,10 +156,11 @@ class Dom(HTMLParser):
         if tag == "a":
             self.links += 1
         if tag not in BLOCK:
-            self.open.append((tag, self.open[-1][1]))
+            self.enter(tag, self.open[-1][1])
             return
         self.flush()
         if len(self.open) > MAX_DEPTH:
+            self.enter(tag, self.open[-1][1])
             return
         words = []
         for name, value in attrs:
@@ -141,7 +171,7 @@ class Dom(HTMLParser):
             elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 words.append("hidden")
         at = self.node(tag, tuple(words))
-        self.open.append((tag, at))
+        self.enter(tag, at)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -153,10 +183,17 @@ class Dom(HTMLParser):
             if tag in self.skip:
                 while self.skip.pop() != tag:
                     pass
-            return
+                return
+            if tag not in BLOCK or not self.count[tag]:
+                return
+            if tag in ("body", "html"):
+                self.never_ended()
+            self.unskip()  # an enclosing block ends
         if tag in ("body", "html"):
             self.flush()
             return
+        if not self.count[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             name = self.open[i][0]
             if name == tag:
@@ -165,12 +202,17 @@ class Dom(HTMLParser):
                 else:
                     # an inline end tag leaves other open inline elements alone
                     del self.open[i]
+                    self.count[tag] -= 1
                     if tag == "a":
                         self.links = max(0, self.links - 1)
                 return
             if tag not in BLOCK and name in BLOCK:
                 return
 
+    def never_ended(self):
+        if self.skip and self.skip[0] not in ("script", "style"):
+            self.left_open.add(self.skip_at)
+
     def handle_data(self, data):
         if not self.skip:
             self.run.append(data)
@@ -179,9 +221,15 @@ class Dom(HTMLParser):
 
 
 def parsed(html: str) -> Dom:
-    dom = Dom()
-    dom.feed(html)
-    dom.close()
+    plain: frozenset | None = frozenset()
+    while True:
+        dom = Dom(plain)
+        dom.feed(html)
+        dom.close()
+        dom.never_ended()
+        if plain is None or dom.left_open <= plain:
+            break
+        plain = plain | dom.left_open if len(plain) < MAX_LEFT_OPEN else None
     dom.skip = []
     dom.flush()
     return dom
@@ -192,6 +240,7 @@ FEATURES = [
     "main words", "boilerplate above", "main above", "depth", "own chars", "subtree chars", "subtree share",
     "link share", "chars per node", "boilerplate below", "main below", "siblings", "place", "same tag share",
     "sibling chars", "sentence marks", "child count", "mean chars of blocks below", "text place",
+    "form above",
 ]
 #: What a page tells only by its markup's names; hidden from the trees in half of the training rows.
 NAMED = [FEATURES.index(n) for n in (
@@ -227,7 +276,7 @@ def features(dom: Dom) -> np.ndarray:
         good_below[p] += good_below[i] + (good_tag[i] or good[i] > 0)
     total = max(1, below[0])
     out = np.zeros((n, len(FEATURES)))
-    depth, bad_above, good_above, seen = [0] * n, [0] * n, [0] * n, 0
+    depth, bad_above, good_above, form, seen = [0] * n, [0] * n, [0] * n, [0] * n, 0
     place, mates, same, near = [0.0] * n, [0] * n, [0.0] * n, [0.0] * n
     for group in children:
         group.reverse()
@@ -245,13 +294,14 @@ def features(dom: Dom) -> np.ndarray:
         p = dom.parent[i]
         if p >= 0:
             depth[i] = depth[p] + 1
+            form[i] = form[p] or dom.tag[i] == "form"
             bad_above[i] = bad_above[p] + (bad_tag[p] or bad[p] > 0)
             good_above[i] = good_above[p] + (good_tag[p] or good[p] > 0)
         out[i] = (
             bad_tag[i], good_tag[i], bad[i], good[i], bad_above[i], good_above[i], depth[i], own[i],
             below[i], below[i] / total, links[i] / max(1, below[i]), below[i] / count[i], bad_below[i],
             good_below[i], mates[i], place[i], same[i], near[i], all_marks[i] / max(1, below[i]), kids[i],
-            below[i] / max(1, blocks[i]), seen / total,
+            below[i] / max(1, blocks[i]), seen / total, form[i],
         )
         seen += own[i]
     return out

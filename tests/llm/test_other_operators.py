@@ -160,6 +160,26 @@ def test_broken_markup_does_not_crash(html):
     assert isinstance(html_text.decode(dom, html_text.fallback(x)), str)
 
 
+@pytest.mark.parametrize("left_open", [
+    "<html><head><title>x</title><body><article>{}</article>", "<html><head><meta charset=x><article>{}</article>",
+    "<head><noscript><img src=x><body><article>{}</article></body>", "<body><div><button>Menu</div><article>{}</article></body>",
+    "<body><svg><path d=x><article>{}</article></body>", "<body><select><option>a<option>b<article>{}</article></body>",
+    "<body><noscript><article>{}</article></body>", "<body><noscript><dialog><div>{}</div>",
+    "<body><form action=x><input name=state><article>{}</article></form></body>", "<body><form action=x><article>{}</article>",
+])
+def test_elements_left_open_do_not_swallow_the_page(left_open):
+    dom = html_text.parsed(left_open.format("<h1>Head</h1><p>One sentence, and more.</p>"))
+    assert html_text.decode(dom, html_text.fallback(html_text.features(dom))) == "Head\n\nOne sentence, and more."
+
+
+def test_end_tags_of_deep_elements_close_nothing_else():
+    deep = "<div>" * 300 + "x" + "</div>" * 300
+    dom = html_text.parsed(f"<div><section>{deep}<p>after</p></section></div>")
+    assert dom.tag[dom.parent[dom.tag.index("p")]] == "section"
+    dom = html_text.parsed("<div><noscript><div>x</div><span></noscript><p>y</p></div>")
+    assert dom.tag[dom.parent[dom.tag.index("p")]] == "div" and not any("x" in t for ts in dom.text for t in ts)
+
+
 def test_rejected_ancestor_takes_its_descendants():
     dom = html_text.parsed("<div><section><p>a</p><p>b</p></section><p>c</p></div>")
     odds = {"#root": 1, "div": 1, "section": -5}
