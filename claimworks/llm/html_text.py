@@ -20,6 +20,8 @@ MAX_DEPTH = 200  # elements nested deeper get no node; their text hangs below th
 MAX_LEFT_OPEN = 20  # elements a page never ends that are each followed by one more parse
 BATCH_NODES = 20_000
 MAIN_BONUS = 2.0  # log-odds added below elements whose names mark main text
+NAME_PENALTY = 12.0  # log-odds taken from an element whose own names say boilerplate, and from no other
+WHOLE = 0.9  # an element with this share of the page's text is the page: its words tell nothing apart
 
 # Element classes of HTML, and words of class, id and role attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -249,6 +251,23 @@ NAMED = [FEATURES.index(n) for n in (
 )]
 
 
+def names(dom: Dom) -> tuple[list[int], list[int], list[bool]]:
+    """Per node the boilerplate words and main words of its names, and whether they say boilerplate and nothing else.
+
+    Words on html, body and whatever else holds nearly all text (a layout class such as right-sidebar) do not count.
+    """
+    below = [sum(map(len, t)) for t in dom.text]
+    for i in range(len(below) - 1, 0, -1):
+        below[dom.parent[i]] += below[i]
+    bad, good, plain = [], [], []
+    for tag, words, chars in zip(dom.tag, dom.attr_words, below):
+        page = tag in ("html", "body") or chars >= WHOLE * max(1, below[0])
+        bad.append(0 if page else sum(w in BOILERPLATE_WORDS for w in words))
+        good.append(sum(w in MAIN_WORDS for w in words))
+        plain.append(bad[-1] > 0 and not good[-1] and tag not in MAIN_TAGS)
+    return bad, good, plain
+
+
 def features(dom: Dom) -> np.ndarray:
     n = len(dom.tag)
     own = [sum(map(len, t)) for t in dom.text]
@@ -256,8 +275,7 @@ def features(dom: Dom) -> np.ndarray:
     below, links, count, kids, blocks = own[:], dom.link_chars[:], [1] * n, [0] * n, [0] * n
     bad_tag = [t in BOILERPLATE_TAGS for t in dom.tag]
     good_tag = [t in MAIN_TAGS for t in dom.tag]
-    bad = [sum(w in BOILERPLATE_WORDS for w in ws) for ws in dom.attr_words]
-    good = [sum(w in MAIN_WORDS for w in ws) for ws in dom.attr_words]
+    bad, good, plain = names(dom)
     bad_below, good_below = [0] * n, [0] * n
     all_marks = marks[:]
     children: list[list[int]] = [[] for _ in range(n)]
@@ -272,7 +290,7 @@ def features(dom: Dom) -> np.ndarray:
         blocks[p] += blocks[i]
         all_marks[p] += all_marks[i]
         kids[p] += 1
-        bad_below[p] += bad_below[i] + (bad_tag[i] or bad[i] > 0)
+        bad_below[p] += bad_below[i] + (bad_tag[i] or plain[i])
         good_below[p] += good_below[i] + (good_tag[i] or good[i] > 0)
     total = max(1, below[0])
     out = np.zeros((n, len(FEATURES)))
@@ -295,7 +313,7 @@ def features(dom: Dom) -> np.ndarray:
         if p >= 0:
             depth[i] = depth[p] + 1
             form[i] = form[p] or dom.tag[i] == "form"
-            bad_above[i] = bad_above[p] + (bad_tag[p] or bad[p] > 0)
+            bad_above[i] = bad_above[p] + (bad_tag[p] or plain[p])
             good_above[i] = good_above[p] + (good_tag[p] or good[p] > 0)
         out[i] = (
             bad_tag[i], good_tag[i], bad[i], good[i], bad_above[i], good_above[i], depth[i], own[i],
@@ -316,10 +334,16 @@ def weak_labels(dom: Dom) -> np.ndarray:
         w in ("articlebody", "article", "main") for ws in dom.attr_words for w in ws
     ):
         return np.full(n, -1.0)
+    bad, _, plain = names(dom)
+    chars, titled = [sum(map(len, t)) for t in dom.text], [t in ("h1", "h2") for t in dom.tag]
+    for i in range(n - 1, 0, -1):
+        chars[dom.parent[i]] += chars[i]
+        titled[dom.parent[i]] |= titled[i]
     for i in range(1, n):
         up = state[dom.parent[i]]
         tag, words = dom.tag[i], dom.attr_words[i]
-        named_bad = any(w in BOILERPLATE_WORDS for w in words)
+        # names that say both (content with-sidebar, entry-header) go by what the element holds
+        named_bad = plain[i] or bad[i] > 0 and not titled[i] and 2 * chars[i] < chars[0]
         named_main = tag in MAIN_TAGS or any(w in ("articlebody", "article", "main") for w in words)
         if up == 2 or named_bad or tag in BOILERPLATE_TAGS and not (tag == "header" and up == 1):
             state[i] = 2
@@ -358,18 +382,16 @@ def fallback(x: np.ndarray) -> np.ndarray:
     f = {n: x[:, i] for i, n in enumerate(FEATURES)}
     bad = f["boilerplate tag"] + f["boilerplate words"] + f["boilerplate above"]
     good = f["main tag"] + f["main words"] + f["main above"]
-    return 0.5 + good - 4 * (bad > 0) - 3 * (f["link share"] > 0.5)
+    return 0.5 + good - 4 * (bad > good) - 3 * (f["link share"] > 0.5)
 
 
-def vetoed(dom: Dom, inside: list[bool]) -> list[bool]:
-    """Nodes whose own names say boilerplate plainly; a header inside main text may hold the title."""
-    out = []
-    for i, tag in enumerate(dom.tag):
-        words = dom.attr_words[i]
-        main = any(w in MAIN_WORDS for w in words) or tag in MAIN_TAGS
-        named = any(w in BOILERPLATE_WORDS for w in words) and not (main and tag in ("body", "main", "article", "html"))
-        out.append(named or tag in BOILERPLATE_TAGS and not (tag == "header" and inside[i]))
-    return out
+def disliked(dom: Dom, inside: list[bool]) -> list[bool]:
+    """Nodes whose own names say boilerplate and nothing else; a header of or inside main text may hold the title."""
+    _, good, plain = names(dom)
+    return [
+        plain[i] or tag in BOILERPLATE_TAGS and not (tag == "header" and (inside[i] or good[i]))
+        for i, tag in enumerate(dom.tag)
+    ]
 
 
 def decode(dom: Dom, odds: np.ndarray) -> str:
@@ -377,29 +399,34 @@ def decode(dom: Dom, odds: np.ndarray) -> str:
 
     Every node is worth its log-odds if kept and nothing if rejected, together with all below it.  One pass
     from the leaves up finds the worth of each subtree, one pass down keeps what is worth more than nothing.
-    A heading shares the fate of what follows it.
+    A heading shares the fate of what follows it.  Names that say boilerplate cost their element ``NAME_PENALTY``
+    and no more, so enough main text below outweighs them.
     """
     n = len(dom.tag)
     inside = [False] * n
+    bad, good, _ = names(dom)
     for i in range(1, n):
         p = dom.parent[i]
         inside[i] = inside[p] or dom.tag[p] in MAIN_TAGS or (
-            dom.tag[p] not in ("html", "body") and any(w in MAIN_WORDS for w in dom.attr_words[p])
+            dom.tag[p] not in ("html", "body") and good[p] > 0 and not bad[p]
         )
-    veto = vetoed(dom, inside)
     worth = odds.tolist()
     for i in range(n):
         if inside[i]:
             worth[i] += MAIN_BONUS
     if all(t in ("#root", "#text", "html", "body") for t in dom.tag):
         worth = [1.0] * n  # no structure to choose from
+    costs = disliked(dom, inside)
+    for i in range(n):
+        if costs[i]:
+            worth[i] -= NAME_PENALTY
     following: dict[int, int] = {}  # last node seen below each parent: the next sibling
     for i in range(n - 1, 0, -1):
         p = dom.parent[i]
-        if veto[i]:
-            worth[i] = -1.0
-        elif worth[i] <= 0 and dom.tag[i] in HEADINGS and p in following and worth[following[p]] > 0:
-            worth[i] = worth[following[p]]  # a heading goes with what it heads
+        if worth[i] <= 0 and dom.tag[i] in HEADINGS and not costs[i]:
+            heads = following.get(p, following.get(dom.parent[p]) if dom.tag[p] in ("header", "hgroup") and not costs[p] else None)
+            if heads is not None and worth[heads] > 0:
+                worth[i] = worth[heads]  # a heading goes with what it heads
         if worth[i] > 0:
             worth[p] += worth[i]
         following[p] = i

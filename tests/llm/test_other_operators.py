@@ -172,6 +172,34 @@ def test_elements_left_open_do_not_swallow_the_page(left_open):
     assert html_text.decode(dom, html_text.fallback(html_text.features(dom))) == "Head\n\nOne sentence, and more."
 
 
+NAMED_WRAPPERS = [
+    "<body class='right-sidebar'><nav><a href=x>Home</a></nav><article>{}</article></body>",
+    "<body><div class='content with-sidebar'>{}</div><div class='sidebar'><a href=x>Other</a></div></body>",
+    "<body><div class='nav'><a href=x>Home</a></div><div class='post-content social'>{}</div></body>",
+    "<body><div class='search-page'><div class='nav'><a href=x>Home</a></div><main>{}</main></div></body>",
+]
+
+
+@pytest.mark.parametrize("shell", NAMED_WRAPPERS)
+@pytest.mark.parametrize("trained", [True, False])
+def test_a_name_does_not_empty_a_page(shell, trained):
+    model = html_text.train([page(i)[0] for i in range(60)]) if trained else None
+    para = "A long paragraph with several words, some commas, and a full stop. And another sentence follows here."
+    head = "<header class='entry-header'><h1>Head</h1></header>"
+    dom = html_text.parsed(shell.format(head + f"<p>{para}</p>" * 4))
+    x = html_text.features(dom)
+    text = html_text.decode(dom, html_text.boosting.predict(model, x) if trained else html_text.fallback(x))
+    assert text == "\n\n".join(["Head"] + [para] * 4)
+
+
+def test_a_name_costs_a_finite_amount():
+    dom = html_text.parsed("<body><div class=related>" + "<p>a</p>" * 9 + "</div>" + "<p>b</p>" * 9 + "</body>")
+    import numpy as np
+
+    assert "a" in html_text.decode(dom, np.full(len(dom.tag), 2.0))
+    assert "a" not in html_text.decode(dom, np.full(len(dom.tag), 1.0))
+
+
 def test_end_tags_of_deep_elements_close_nothing_else():
     deep = "<div>" * 300 + "x" + "</div>" * 300
     dom = html_text.parsed(f"<div><section>{deep}<p>after</p></section></div>")
