@@ -251,6 +251,22 @@ def test_trees_add_spans_that_do_not_overlap(spark):
         assert [(s.kind, s.start, s.stop) for s in r.found if s.base] == list(base_spans(dict(rows)[r.key]))
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_loose_spans_do_not_hang_on_the_size_of_the_table(spark, copies):
+    """The same spans are added to a few documents and to many, and prose, times and years are left alone."""
+    found = [
+        ("email", "jane.roe [at] mail [dot] org", "mail"), ("ip", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "host"),
+        ("card", "4111.1111.1111.1111", "card"), ("phone", "(212) 555 0147", "call"),
+    ]
+    left = ["available at github.com", "look at home.Then", "12:30:45:10", "2001/2002/2003/2004", "2010 2011 2012"]
+    rows = [(i, f"{word} {value} here") for i, (_, value, word) in enumerate(found)]
+    rows += [(100 + i, f"it is {value} now") for i, value in enumerate(left)]
+    rows += [(1000 + i, f"note {i} of mail n{i}x@web{i}.org and 10.0.{i % 256}.7 since {1000 + i}") for i in range(copies * 5 - 5)]
+    got = {r.key: [(s.kind, s.start, s.stop) for s in r.found if not s.base] for r in pii.spans(docs(spark, rows)).collect()}
+    assert [got[i] for i in range(len(found))] == [[(k, 5, 5 + len(v))] for k, v, _ in found]
+    assert [got[100 + i] for i in range(len(left))] == [[]] * len(left)
+
+
 def test_redaction(spark):
     rows = [(1, "é mail a@b.cd, ip 1.2.3.4!"), (2, None), (3, ""), (4, "nothing"), (1, "é mail a@b.cd, ip 1.2.3.4!")]
     got = [(r.doc_id, r.text) for r in pii.redact(docs(spark, rows)).collect()]
