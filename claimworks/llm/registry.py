@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["ngram_join", "warc", "packing", "bpe", "pii", "syncmers", "licenses", "topk", "html_text", "toxicity"]
+MODULES = ["ngram_join", "warc", "packing", "bpe", "pii", "syncmers", "licenses", "topk", "html_text", "toxicity",
+           "collocations", "resampling", "exact_dedup"]
 
 
 def _collect(attribute: str) -> dict:
