@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import stored, table
+from claimworks.llm.common import stored, table, width
 from claimworks.llm.words import STEP, mix, ragged, slab_ranges, text_bytes, word_hashes, word_places
 
 LONGEST = 3  # words of a phrase
@@ -303,8 +303,12 @@ def collocations(
     )
     kept = best.join(inside, ["lang", "phrase"], "left").where(F.expr(f"longer is null or 100 * longer < {absorbed} * a"))
     totals = counts.where("k = 0").select("lang", "n")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.select("lang", "phrase", "a", "c.l", "c.r", "c.score").withColumn("rank", F.row_number().over(order))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # the best of every hashed share of a language first, so that no task sees all phrases of a language
+    share = F.pmod(F.xxhash64("phrase"), F.lit(width(docs.sparkSession)))
+    shares = kept.select("lang", "phrase", "a", "c.l", "c.r", "c.score", share.alias("share"))
+    first = shares.withColumn("place", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("place") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     return ranked.where(F.col("rank") <= top).join(F.broadcast(totals), "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
