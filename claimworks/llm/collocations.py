@@ -18,7 +18,7 @@ SAMPLE_SUPPORT = 2  # below SUPPORT / SAMPLE, so that few frequent phrases stay
 ABSORBED = 50  # per cent of a phrase's occurrences inside one longer phrase that drop it
 TOP = 2000
 NO_LANG = "und"
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 3 << 20
 LEAST_BITS, MOST_BITS = 16, 28  # a filter is 8 kB to 32 MB, whatever the corpus
 CHUNK_BITS = 16
 
@@ -32,7 +32,7 @@ IS_WORD[[0x20, 0x09]] = False
 
 
 class Slab:
-    """Words of a few documents, and phrase keys: 64-bit hashes of language and words."""
+    """Words of a few documents, and phrase keys: 62 bits of a hash of language and words, then 2 bits for k."""
 
     def __init__(self, texts: pa.Array, langs: pa.Array):
         data, offsets = text_bytes(texts)
@@ -60,7 +60,7 @@ class Slab:
             for k in range(2, LONGEST + 1):
                 rolled = mix(rolled[:-1] * np.uint64(0x9FB21C651E98DF25) + first[k - 1:] + STEP * np.uint64(k))
                 found[k] = rolled
-        return found
+        return {k: rolled & ~np.uint64(3) | np.uint64(k) for k, rolled in found.items()}
 
 
 class Filter:
@@ -90,7 +90,7 @@ def proposed(keys: dict, whole: dict, k: int, sieve: Filter) -> np.ndarray:
 
 
 def count_task(filters, sizes):
-    """Phrases at every place -> key, n, k per slab.
+    """Phrases at every place -> key, n per slab.
 
     Without filters all phrases of the given sizes count.  With filters, phrases whose parts the last one
     holds and no earlier one held; single words only in the first pass, for they have no parts.
@@ -107,17 +107,14 @@ def count_task(filters, sizes):
                         take &= ~proposed(keys, slab.whole, k, earlier)
                 found, n = np.unique(keys[k][take], return_counts=True)
                 if len(found):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.full(len(found), k, np.int32))],
-                        ["key", "n", "k"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
     return run
 
 
 def counted(docs: DataFrame, filters: list, sizes: list[int], support: int) -> DataFrame:
-    rows = docs.mapInArrow(count_task(filters, sizes), "key long, n long, k int")
-    return stored(rows.groupBy("key", "k").agg(F.sum("n").alias("n")).where(F.col("n") >= support), "phrase-keys")
+    rows = docs.mapInArrow(count_task(filters, sizes), "key long, n long")
+    return stored(rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support), "phrase-keys")
 
 
 def outside_task(sieve):
@@ -257,7 +254,7 @@ def frequent_phrases(
         more = counted(rows, filters, list(range(1 if found is None else 2, LONGEST + 1)), support)
         found = more if found is None else found.unionByName(more)
         missed = stored(
-            more.where(F.col("k") < LONGEST).select("key").mapInArrow(outside_task(filters[-1]), "key long"), "missed"
+            more.where(F.col("key").bitwiseAND(F.lit(3)) < LONGEST).select("key").mapInArrow(outside_task(filters[-1]), "key long"), "missed"
         )
         if missed.isEmpty():
             break
