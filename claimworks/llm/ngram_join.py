@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import components, stored, table, tidy, width
+from claimworks.llm.common import components, discard, stored, table, tidy, width
 from claimworks.llm.words import STEP, mix, slab_ranges, text_bytes, word_hashes, word_places
 
 WORDS = 5
@@ -17,8 +19,10 @@ NUMERATOR, DENOMINATOR = 4, 5  # sets link at this Jaccard similarity or more
 SLAB_BYTES = 2 << 20
 UNIT_MASS = 1 << 21  # shingles of one work unit; a larger group is split over several units
 LEADERS = 8  # sets of a split group that every one of its units sees
-COMMON_IN_SLAB = 16  # documents of a slab that make a shingle a common one
-COMMON = 1 << 16  # the most common shingles, put last in the global order; an order, not a filter
+ROUNDS = 5  # rounds in which sets meet by a least hash, before the exact pass over what they leave open
+COMMON_HOLDERS = 8  # sets that make a shingle a common one
+COMMON = 1 << 20  # the most common shingles, put last in the global order; an order, not a filter
+DOMINANT = 16  # members from which the largest component of a group is visited instead of sent along
 BROADCAST_ROWS = 2_000_000  # more surviving texts than this are found by a shuffle
 SCALE_STEP = 1.3  # sizes are compared by their place on this scale; partners differ by less than a step
 SKIP_MU = 0.0085  # DivideSkip's balance between merging and probing
@@ -83,10 +87,10 @@ def needed(n: int) -> int:
 
 SCAN = pa.schema([
     ("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("tkey", pa.int64()),
-    ("bucket", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary()), ("cids", pa.binary()),
+    ("bucket", pa.int32()), ("slab", pa.int64()), ("tokens", pa.binary()), ("owners", pa.binary()), ("cids", pa.binary()),
 ])
 SCAN_DDL = (
-    "kind int, doc_id long, n long, cid long, tkey long, bucket int, tokens binary, owners binary, cids binary"
+    "kind int, doc_id long, n long, cid long, tkey long, bucket int, slab long, tokens binary, owners binary, cids binary"
 )
 META, BLOB, LOCAL, HOT = range(4)
 
@@ -101,14 +105,20 @@ def scan_rows(kind, **cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=SCAN)
 
 
+def slab_numbers():
+    """Numbers for the slabs of a task that no other task gives."""
+    context = TaskContext.get()
+    return itertools.count((context.partitionId() if context else 0) << 32)
+
+
 def scan_task(buckets):
     """One pass over the texts.
 
     META: size and set id of every document.  BLOB: prefix shingles by bucket, cut to 32 bits, as this only
-    narrows down who may have a partner.  LOCAL: shared prefix shingles already seen in the slab.  HOT: how many
-    documents of the slab hold a shingle, where these are many.
+    narrows down who may have a partner.  LOCAL: shared prefix shingles already seen in the slab.
     """
     def run(batches):
+        numbers = slab_numbers()
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
             data, offsets = text_bytes(batch.column(2))
@@ -124,12 +134,12 @@ def scan_task(buckets):
                         parts.append(hashes[:prefix_size(n)])
                 yield scan_rows(META, doc_id=ids.slice(a, b - a), n=sizes, cid=cids, tkey=keys.slice(a, b - a))
                 if parts:
-                    yield from prefix_rows(parts, np.fromiter(own, np.int64, len(own)), buckets)
+                    yield from prefix_rows(parts, np.fromiter(own, np.int64, len(own)), buckets, next(numbers))
 
     return run
 
 
-def prefix_rows(parts, cids, buckets):
+def prefix_rows(parts, cids, buckets, slab, hot=False):
     tokens = np.concatenate(parts)
     owner = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p) for p in parts])
     order = np.argsort(tokens, kind="stable")
@@ -142,10 +152,11 @@ def prefix_rows(parts, cids, buckets):
     known = owner[rank >= 2]
     if len(known):
         who, times = np.unique(known, return_counts=True)
-        yield scan_rows(LOCAL, cid=cids[who], n=times)
-    hot = count >= COMMON_IN_SLAB
-    if hot.any():
-        yield scan_rows(HOT, cid=short_key(tokens[heads[hot]], buckets), n=count[hot])
+        yield scan_rows(LOCAL, slab=[slab], cids=[cids[who].tobytes()], tokens=[times.astype(np.uint32).tobytes()])
+    more = count > 2
+    if hot and more.any():
+        names = short_key(tokens[heads[more]], buckets)
+        yield scan_rows(HOT, slab=[slab], cids=[names.tobytes()], tokens=[(count[more] - 2).astype(np.uint32).tobytes()])
     travel = rank < 2
     tokens, owner = tokens[travel], owner[travel]
     bucket = bucket_of(tokens, buckets)
@@ -161,12 +172,13 @@ def prefix_rows(parts, cids, buckets):
             rows["tokens"].append(tokens[lo:hi].astype(np.uint32).tobytes())
             rows["owners"].append(place.astype(np.uint32 if len(who) > 0xFFFF else np.uint16).tobytes())
             rows["cids"].append(cids[who].tobytes())
-    yield scan_rows(BLOB, **rows)
+    yield scan_rows(BLOB, slab=[slab] * len(rows["bucket"]), **rows)
 
 
 def whole_task(buckets):
-    """BLOB and LOCAL rows for all shingles of the sets."""
+    """BLOB, LOCAL and HOT rows for all shingles of the sets."""
     def run(batches):
+        numbers = slab_numbers()
         for batch in batches:
             cids, parts, held, names = batch.column(0).to_pylist(), [], 0, []
             for i, cid in enumerate(cids):
@@ -174,9 +186,7 @@ def whole_task(buckets):
                 names.append(cid)
                 held += len(parts[-1])
                 if held > SLAB_BYTES // 4 or i + 1 == len(cids):
-                    for rows in prefix_rows(parts, np.array(names, np.int64), buckets):
-                        if rows.column(0)[0].as_py() != HOT:
-                            yield rows
+                    yield from prefix_rows(parts, np.array(names, np.int64), buckets, next(numbers), hot=True)
                     parts, names, held = [], [], 0
 
     return run
@@ -191,88 +201,125 @@ def short_key(tokens: np.ndarray, buckets: int) -> np.ndarray:
     return (bucket_of(tokens, buckets) << 32) | (tokens & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def share_task(batches):
-    """Rows in order of bucket -> how many of its shingles each set shares with another set, per bucket."""
-    def closed(parts):
-        tokens = np.concatenate([p[0] for p in parts])
-        cids = np.concatenate([p[1] for p in parts])
-        order = np.lexsort((cids, tokens))
-        tokens, cids = tokens[order], cids[order]
-        heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(tokens))))
-        varied = np.minimum.reduceat(cids, heads) != np.maximum.reduceat(cids, heads)
-        who, times = np.unique(cids[varied[group]], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(who), pa.array(times.astype(np.int64))], ["cid", "n"])
+def sums_of(names: list, counts: list) -> pa.RecordBatch:
+    who, place = np.unique(np.concatenate(names), return_inverse=True)
+    total = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(who), pa.array(total)], ["cid", "n"])
 
-    held, parts = None, []
-    for batch in batches:
-        for bucket, tokens, owners, cids in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if bucket != held and parts:
-                yield closed(parts)
-                parts = []
-            held = bucket
-            tokens, cids = np.frombuffer(tokens, np.uint32), np.frombuffer(cids, np.int64)
-            step = np.uint16 if len(owners) == 2 * len(tokens) else np.uint32
-            parts.append((tokens, cids[np.frombuffer(owners, step)]))
-    if parts:
-        yield closed(parts)
 
+SHARES = "kind int, slab long, cids binary, tokens binary"
 
-SETS = "cid long, n long, label long, prefix array<long>, shingles binary"
 
+def share_task(hot):
+    """Rows in order of bucket -> for every slab how many shingles of its sets other sets hold too; common shingles."""
+    def row(kind, slab, names, counts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([kind], pa.int32()), pa.array([slab], pa.int64()), pa.array([names.astype(np.int64).tobytes()], pa.binary()),
+             pa.array([counts.astype(np.uint32).tobytes()], pa.binary())], ["kind", "slab", "cids", "tokens"],
+        )
+
+    def closed(bucket, parts):
+        tokens = np.concatenate([p[1] for p in parts])
+        cids = np.concatenate([p[2][p[3]] for p in parts])
+        part = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
+        order = np.argsort(tokens, kind="stable")
+        tokens, cids, part = tokens[order], cids[order], part[order]
+        heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        size = np.diff(np.append(heads, len(tokens)))
+        varied = np.repeat(np.minimum.reduceat(cids, heads) != np.maximum.reduceat(cids, heads), size)
+        many = size >= COMMON_HOLDERS
+        if hot and many.any():
+            yield row(HOT, bucket, (np.int64(bucket) << 32) | tokens[heads[many]].astype(np.int64), size[many])
+        cids, part = cids[varied], part[varied]
+        order = np.lexsort((cids, part))
+        cids, part = cids[order], part[order]
+        if len(cids):
+            heads = np.flatnonzero(np.concatenate([[True], (cids[1:] != cids[:-1]) | (part[1:] != part[:-1])]))
+            times, cids, part = np.diff(np.append(heads, len(cids))), cids[heads], part[heads]
+            cuts = np.searchsorted(part, np.arange(len(parts) + 1)).tolist()
+            for i, (slab, *_) in enumerate(parts):
+                if cuts[i] < cuts[i + 1]:
+                    yield row(LOCAL, slab, cids[cuts[i]:cuts[i + 1]], times[cuts[i]:cuts[i + 1]])
 
-def set_task(common, buckets):
-    """Sets in the global order: common shingles last, otherwise by hash."""
     def run(batches):
-        hot = np.frombuffer(common.value, np.int64)
+        held, parts = None, []
         for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            for a, b in slab_ranges(offsets, SLAB_BYTES):
-                rows = {"cid": [], "n": [], "label": [], "prefix": [], "shingles": []}
-                for hashes in shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]):
-                    if not len(hashes):
-                        continue
-                    cid = set_id(hashes)
-                    late = np.isin(short_key(hashes, buckets), hot) if len(hot) else np.zeros(len(hashes), bool)
-                    ordered = np.concatenate([hashes[~late], hashes[late]]).view(np.int64)
-                    n = len(ordered)
-                    rows["cid"].append(cid)
-                    rows["n"].append(n)
-                    rows["label"].append(int(ordered[0]))
-                    rows["prefix"].append(ordered[:n - least_overlap(n) + 1])
-                    rows["shingles"].append(ordered.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["cid"], pa.int64()), pa.array(rows["n"], pa.int64()), pa.array(rows["label"], pa.int64()),
-                     pa.array(rows["prefix"], pa.list_(pa.int64())), pa.array(rows["shingles"], pa.binary())],
-                    list(rows),
-                )
+            for bucket, slab, tokens, owners, cids in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if bucket != held and parts:
+                    yield from closed(held, parts)
+                    parts = []
+                held = bucket
+                tokens, cids = np.frombuffer(tokens, np.uint32), np.frombuffer(cids, np.int64)
+                step = np.uint16 if len(owners) == 2 * len(tokens) else np.uint32
+                parts.append((slab, tokens, cids, np.frombuffer(owners, step)))
+        if parts:
+            yield from closed(held, parts)
 
     return run
 
 
-# ---- search inside one work unit
+def sum_task(batches):
+    """Rows in order of slab (slab, cids, counts) -> cid, n: one row per set and slab."""
+    held, names, counts = None, [], []
+    for batch in batches:
+        for slab, cids, times in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if slab != held and names:
+                yield sums_of(names, counts)
+                names, counts = [], []
+            held = slab
+            names.append(np.frombuffer(cids, np.int64))
+            counts.append(np.frombuffer(times, np.uint32))
+    if names:
+        yield sums_of(names, counts)
 
 
-class Links:
-    """Union-find over the sets of a unit; the joins made are the links to report."""
+SETS = "cid long, n long, labels array<long>, shingles binary"
 
-    def __init__(self, names):
-        self.up = {}
-        for name in names:
-            self.up.setdefault(name, name)
-        self.made: list[tuple[int, int]] = []
 
-    def find(self, x):
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
+def set_task(batches):
+    """Sets with the labels by which they meet: the least hash of their shingles, another hash each round."""
+    seeds = mix(np.arange(1, ROUNDS, dtype=np.uint64) * STEP)
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(0))
+        for a, b in slab_ranges(offsets, SLAB_BYTES):
+            rows = {"cid": [], "n": [], "labels": [], "shingles": []}
+            for hashes in shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]):
+                if len(hashes):
+                    rows["cid"].append(set_id(hashes))
+                    rows["n"].append(len(hashes))
+                    labels = [hashes[0], *(mix(hashes ^ seed).min() for seed in seeds)]
+                    rows["labels"].append(np.array(labels, np.uint64).view(np.int64))
+                    rows["shingles"].append(hashes.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows["cid"], pa.int64()), pa.array(rows["n"], pa.int64()),
+                 pa.array(rows["labels"], pa.list_(pa.int64())), pa.array(rows["shingles"], pa.binary())], list(rows),
+            )
+
+
+def prefix_task(common, buckets):
+    """Sets -> cid, n, token: the prefix in the global order, common shingles last and the most common at the end."""
+    def run(batches):
+        names, rank = (np.frombuffer(part, np.int64) for part in common.value)
+        for batch in batches:
+            owners, sizes, tokens = [], [], []
+            for cid, n, shingles in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                hashes = np.frombuffer(shingles, np.uint64)
+                late = np.zeros(n, np.int64)
+                if len(names):
+                    keys = short_key(hashes, buckets)
+                    at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+                    late = np.where(names[at] == keys, rank[at], 0)
+                prefix = hashes[np.argsort(late, kind="stable")[:n - least_overlap(n) + 1]]
+                owners.append(np.full(len(prefix), cid))
+                sizes.append(np.full(len(prefix), n))
+                tokens.append(prefix.view(np.int64))
+            if owners:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (owners, sizes, tokens)], ["cid", "n", "token"])
 
-    def join(self, names, a, b):
-        x, y = self.find(names[a]), self.find(names[b])
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-            self.made.append((a, b))
+    return run
+
+
+# ---- search inside one work unit
 
 
 def similar(shared, n, m):
@@ -344,100 +391,110 @@ class Index:
         return found[similar(count, n, self.sizes[found])].tolist()
 
 
-def join_unit(cids, comps, sets, guests=()) -> list[tuple[int, int]]:
-    """Links between sets of different components, enough to connect all that are linked.
+def join_unit(comps, sets, guests=()) -> list[tuple[int, int]]:
+    """Links between components, enough to connect all whose sets are linked.
 
-    ``guests`` (component, cid, set) come from other units and are compared with the unit's sets only.
+    ``guests`` (component, set) are compared with the unit's sets only, not with one another.
     """
-    links = Links([*comps, *(g[0] for g in guests)])
-    names = list(comps)
-    index = Index(sets)
-    m = len(sets)
-    if not guests and m > 1:
-        # the sets whose shingles are most common in the unit tend to be what the others were copied from
-        common = np.diff(np.concatenate([[0], index.ends]))
-        weight = np.array([common[p].mean() for p in index.places])
-        tried = set()
-        for i in np.argsort(-weight, kind="stable")[:3].tolist():
-            tried.add(i)
-            shared = index.overlaps(index.places[i])
-            for j in np.flatnonzero(similar(shared, index.sizes[i], index.sizes)).tolist():
-                if j != i:
-                    links.join(names, i, j)
-        roots = [links.find(c) for c in names]
-        most = max(set(roots), key=roots.count)
-        if m > 3:
-            for i in range(m):
-                mine = links.find(names[i])
-                if mine == most or i in tried:
-                    continue
-                open_ = np.array([links.find(c) != mine for c in names])
-                for j in index.search(index.places[i], int(index.sizes[i]), open_):
-                    links.join(names, i, j)
-        return [(cids[a], cids[b]) for a, b in links.made]
-    out = []
-    for comp, cid, tokens in guests:
-        mine = links.find(comp)
-        open_ = np.array([links.find(c) != mine for c in names], bool)
-        if open_.any():
-            for j in index.search(index.known(tokens), len(tokens), open_):
-                if links.find(comp) != links.find(names[j]):
-                    x, y = links.find(comp), links.find(names[j])
-                    links.up[max(x, y)] = min(x, y)
-                    out.append((cid, cids[j]))
-    return out
+    names, roots = np.unique([*comps, *(g[0] for g in guests)], return_inverse=True)
+    if len(names) < 2:
+        return []
+    index, m, made = Index(sets), len(sets), []
+    own = roots.copy()
+
+    def join(a, b):
+        if roots[a] != roots[b]:
+            made.append((int(names[own[a]]), int(names[own[b]])))
+            roots[roots == roots[b]] = roots[a]
+
+    if guests:
+        for g, (_, tokens) in enumerate(guests, m):
+            open_ = roots[:m] != roots[g]
+            if open_.any():
+                for j in index.search(index.known(tokens), len(tokens), open_):
+                    join(g, j)
+        return made
+    # the sets whose shingles are most common in the unit tend to be what the others were copied from
+    common = np.diff(np.concatenate([[0], index.ends]))
+    weight = np.array([common[p].mean() for p in index.places])
+    tried = np.argsort(-weight, kind="stable")[:3].tolist()
+    for i in tried:
+        shared = index.overlaps(index.places[i])
+        for j in np.flatnonzero(similar(shared, index.sizes[i], index.sizes)).tolist():
+            join(i, j)
+    most = np.bincount(roots).argmax()
+    for i in range(m):
+        if roots[i] != most and i not in tried:
+            for j in index.search(index.places[i], int(index.sizes[i]), roots != roots[i]):
+                join(i, j)
+    return made
 
 
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def unit_task(batches):
-    """Rows in order of unit (label, sub): cid, comp, guest, shingles -> links."""
+    """Rows in order of unit (label, sub): comp, guest, shingles -> links between components."""
     def closed(rows):
-        own = [r for r in rows if not r[2]]
-        guests = [(r[1], r[0], np.frombuffer(r[3], np.int64)) for r in rows if r[2]]
+        own = [r for r in rows if not r[1]]
+        guests = [(r[0], np.frombuffer(r[2], np.int64)) for r in rows if r[1]]
         if len(own) + len(guests) < 2 or not own:
-            return None
-        edges = join_unit([r[0] for r in own], [r[1] for r in own], [np.frombuffer(r[3], np.int64) for r in own], guests)
-        if not edges:
-            return None
-        a, b = zip(*edges)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=EDGES)
+            return
+        edges = join_unit([r[0] for r in own], [np.frombuffer(r[2], np.int64) for r in own], guests)
+        if edges:
+            a, b = zip(*edges)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=EDGES)
 
     held, rows = None, []
     for batch in batches:
-        cols = [batch.column(i).to_pylist() for i in range(6)]
-        for label, sub, *row in zip(*cols):
+        for label, sub, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if (label, sub) != held:
-                if len(rows) > 1:
-                    found = closed(rows)
-                    if found is not None:
-                        yield found
+                yield from closed(rows)
                 held, rows = (label, sub), []
             rows.append(row)
-    if len(rows) > 1:
-        found = closed(rows)
-        if found is not None:
-            yield found
+    yield from closed(rows)
 
 
 def in_units(rows: DataFrame) -> DataFrame:
-    """Rows (label, sub, cid, comp, guest, shingles) brought together by unit and searched."""
-    n = width(rows.sparkSession)
+    """Rows (label, sub, cid, comp, guest, shingles) brought together by unit and searched: links a, b."""
     return (
-        rows.select("label", "sub", "cid", "comp", "guest", "shingles").repartition(n, "label", "sub")
-        .sortWithinPartitions("label", "sub", "guest", "cid").mapInArrow(tidy(unit_task), "a long, b long")
+        rows.select("label", "sub", "comp", "guest", "shingles", "cid").repartition(width(rows.sparkSession), "label", "sub")
+        .sortWithinPartitions("label", "sub", "guest", "cid").drop("cid").mapInArrow(tidy(unit_task), "a long, b long")
     )
 
 
-def shared_counts(scan: DataFrame, buckets: int) -> DataFrame:
-    """cid, shared: how many of its travelling shingles a set shares with any other set."""
-    return (
-        scan.where(F.col("kind") == BLOB).select("bucket", "tokens", "owners", "cids")
-        .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(share_task), "cid long, n long")
-        .unionByName(scan.where(F.col("kind") == LOCAL).select("cid", "n"))
-        .groupBy("cid").agg(F.sum("n").alias("shared"))
-    )
+def shares_of(scan: DataFrame, buckets: int, hot: bool = False) -> DataFrame:
+    """What the buckets tell the slabs, and the common shingles."""
+    blobs = scan.where(F.col("kind") == BLOB).select("bucket", "slab", "tokens", "owners", "cids")
+    found = blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(share_task(hot)), SHARES)
+    return stored(found.unionByName(scan.where(F.col("kind").isin(LOCAL, HOT)).select("kind", "slab", "cids", "tokens")), "shares")
+
+
+def summed(shares: DataFrame, kind: int) -> DataFrame:
+    """cid, n: the counts of each slab (or bucket) added up inside a task."""
+    rows = shares.where(F.col("kind") == kind).select("slab", "cids", "tokens")
+    return rows.repartition("slab").sortWithinPartitions("slab").mapInArrow(sum_task, "cid long, n long")
+
+
+def shared_counts(shares: DataFrame) -> DataFrame:
+    """cid, shared: how many of its travelling shingles a set shares with any other set (the same in every slab)."""
+    return summed(shares, LOCAL).groupBy("cid").agg(F.max("n").alias("shared"))
+
+
+def common_shingles(shares: DataFrame) -> tuple[bytes, bytes]:
+    """Short keys of the most common shingles, ascending, and their rank by number of holders, from 1."""
+    often = stored(summed(shares, HOT).groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_HOLDERS), "common")
+    total, kept = often.count(), often
+    if total > COMMON:
+        edge = often.agg(F.percentile_approx("n", 1 - COMMON / total, 100_000)).first()[0]
+        kept = often.where(F.col("n") > edge)
+    rows = kept.toArrow()  # about COMMON rows at most
+    names, n = rows.column("cid").to_numpy(), rows.column("n").to_numpy()
+    discard(often)
+    rank = np.empty(len(n), np.int64)
+    rank[np.lexsort((names, n))] = np.arange(1, len(n) + 1)
+    order = np.argsort(names)
+    return names[order].tobytes(), rank[order].tobytes()
 
 
 def least() -> Column:
@@ -451,7 +508,10 @@ def survivors(scan: DataFrame, buckets: int) -> DataFrame:
         scan.where(F.col("kind") == META).where("cid is not null").groupBy("cid").agg(F.min("n").alias("n"), F.min("tkey").alias("tkey"))
     )
     need = F.greatest(F.lit(1), F.floor(least() / 10))
-    return classes.join(shared_counts(scan, buckets), "cid").where(F.col("shared") >= need).select("cid", "tkey")
+    shares = shares_of(scan, buckets)
+    found = stored(classes.join(shared_counts(shares), "cid").where(F.col("shared") >= need).select("cid", "tkey"), "survivors")
+    discard(shares)
+    return found
 
 
 def few(keys: DataFrame) -> DataFrame:
@@ -460,115 +520,149 @@ def few(keys: DataFrame) -> DataFrame:
 
 
 def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """META rows of all documents and links (a, b) between set ids that span all components."""
+    """META rows of all documents, and the component of every set that may have a partner (cid, comp)."""
     spark = docs.sparkSession
     buckets = width(spark)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("tkey"), body.alias("t"))
     scan = stored(rows.mapInArrow(tidy(scan_task(buckets)), SCAN_DDL), "shingles")
-    alive = stored(survivors(scan, buckets), "survivors")
-    often = stored(scan.where(F.col("kind") == HOT).groupBy("cid").agg(F.sum("n").alias("n")), "common")
-    total = often.count()
-    if total > COMMON:
-        edge = often.agg(F.percentile_approx("n", 1 - COMMON / total, 100_000)).first()[0]
-        often = often.where(F.col("n") > edge)
-    hot = np.sort(often.select("cid").toArrow().column("cid").to_numpy())  # about COMMON numbers at most
-    common = spark.sparkContext.broadcast(hot.astype(np.int64).tobytes())
+    alive = survivors(scan, buckets)
+    meta = stored(scan.where(F.col("kind") == META).select("doc_id", "n", "cid", "tkey"), "meta")
+    discard(scan)
     texts = rows.join(few(alive.select("tkey")), "tkey", "left_semi").dropDuplicates(["tkey"]).select("t")
-    first_sets = stored(texts.mapInArrow(tidy(set_task(common, buckets)), SETS), "sets")
+    first_sets = stored(texts.mapInArrow(tidy(set_task), SETS), "sets")
     # now over all shingles: a set with a partner shares four fifths of its own
     whole = stored(first_sets.select("cid", "shingles").mapInArrow(tidy(whole_task(buckets)), SCAN_DDL), "shingles")
+    shares = shares_of(whole, buckets, hot=True)
+    discard(whole)
     close = stored(
-        first_sets.select("cid", "n").join(shared_counts(whole, buckets), "cid").where(F.col("shared") >= least()).select("cid"),
-        "survivors",
-    )
-    sets = first_sets.join(few(close), "cid", "left_semi")
-    # work units: sets that share their first shingle, split where they are too many
-    split = F.ceil(F.col("mass") / UNIT_MASS).cast("int")
-    big = (
-        sets.groupBy("label").agg(
-            F.sum("n").alias("mass"),
-            F.array(*[F.min(F.struct(F.xxhash64("cid", F.lit(j)).alias("h"), F.col("cid").alias("c")))["c"] for j in range(LEADERS)]).alias("leaders"),
-        ).where(F.col("mass") > UNIT_MASS).withColumn("subs", split).drop("mass")
+        first_sets.select("cid", "n").join(shared_counts(shares), "cid").where(F.col("shared") >= least()).select("cid"), "survivors"
     )
+    sets = stored(first_sets.join(few(close), "cid", "left_semi"), "sets")
+    discard(first_sets, alive, close)
+    common = spark.sparkContext.broadcast(common_shingles(shares))
+    discard(shares)
+    comps = merged(sets.select("cid", F.col("cid").alias("comp")), meetings(sets.withColumn("comp", F.col("cid")), 0))
+    prefixes = stored(sets.select("cid", "n", "shingles").mapInArrow(tidy(prefix_task(common, buckets)), "cid long, n long, token long"), "prefixes")
+    open_ = still_open(prefixes, comps)
+    for turn in range(1, ROUNDS + 1):
+        if open_.isEmpty():
+            break
+        if turn < ROUNDS:
+            now = open_.select("cid", "comp").distinct()
+            links = meetings(sets.join(now, "cid"), turn)
+        else:
+            links = last_look(sets, open_)
+        comps = merged(comps, links)
+        open_ = still_open(open_.drop("comp"), comps)
+    discard(open_, sets)
+    return meta, comps
+
+
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` (cid, comp) after links between components."""
+    groups = components(links)
+    found = comps.join(groups, F.col("comp") == F.col("node"), "left").select("cid", F.coalesce("component", "comp").alias("comp"))
+    return stored(found, "components")
+
+
+def still_open(prefixes: DataFrame, comps: DataFrame) -> DataFrame:
+    """cid, n, token, comp of the prefix shingles that sets of several components hold."""
+    held = prefixes.join(comps, "cid")
+    mixed = held.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    found = stored(held.join(mixed, "token").select("cid", "n", "token", "comp"), "open")
+    if hasattr(prefixes, "scratch_path"):
+        discard(prefixes)
+    return found
+
+
+def meetings(sets: DataFrame, turn: int) -> DataFrame:
+    """Links between sets (cid, n, comp, labels, shingles) with the same label of this turn.
+
+    A set is in one unit; a group of too large a mass is split over several, which all see the same few
+    leaders.  What this misses is found by later turns and the last look.
+    """
+    named = sets.withColumn("label", F.col("labels")[turn])
+    leaders = [F.min(F.struct(F.xxhash64("cid", F.lit(j)).alias("h"), F.col("cid").alias("c")))["c"] for j in range(LEADERS)]
+    big = named.groupBy("label").agg(F.sum("n").alias("mass"), F.array(*leaders).alias("leaders")).where(F.col("mass") > UNIT_MASS)
+    placed = named.join(big.withColumn("subs", F.ceil(F.col("mass") / UNIT_MASS).cast("int")), "label", "left")
     sub = F.pmod(F.xxhash64("cid"), F.coalesce("subs", F.lit(1))).cast("int")
-    placed = sets.join(big, "label", "left").withColumn("sub", sub)
     leads = F.coalesce(F.array_contains("leaders", F.col("cid")), F.lit(False))
-    visits = F.when(leads, F.sequence(F.lit(0), F.col("subs") - 1)).otherwise(F.array("sub"))
-    first = stored(
-        in_units(placed.select(
-            "label", F.explode(visits).alias("sub"), "cid", F.col("cid").alias("comp"), F.lit(False).alias("guest"), "shingles"
-        )), "links",
-    )
-    # second look: pairs whose first shingles differ share another prefix shingle.  Sets first visit the
-    # largest component at each of their shingles only, which draws families together; then all others.
-    links = first
-    for top_only in (True, False):
-        links = second_look(placed, sets, links, top_only)
-    return scan.where(F.col("kind") == META), links
+    visits = F.when(leads, F.sequence(F.lit(0), F.col("subs") - 1)).otherwise(F.array(sub))
+    rows = placed.select("label", F.explode(visits).alias("sub"), "cid", "comp", F.lit(False).alias("guest"), "shingles")
+    return stored(in_units(rows), "links")
 
 
-def second_look(placed: DataFrame, sets: DataFrame, links: DataFrame, top_only: bool) -> DataFrame:
-    """``links`` and those found by sending sets to units that hold one of their prefix shingles in a larger component."""
-    groups = components(links)
-    named = stored(
-        placed.select("cid", "n", "label", "sub", "prefix").join(groups, F.col("cid") == F.col("node"), "left")
-        .select(
-            "cid", "n", "label", "sub", F.coalesce("component", "cid").alias("comp"), "prefix",
-            F.floor(F.log(F.col("n").cast("double")) / math.log(SCALE_STEP)).cast("int").alias("scale"),
-        ),
-        "named",
-    )
-    held = named.select(F.explode("prefix").alias("token"), "cid", "n", "comp", "label", "sub", "scale")
-    mixed = (
-        held.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"),
-                                  F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s"))
-        .where("lo < hi").groupBy("k", "s").agg(F.min("token").alias("token")).select("token")
-    )  # of shingles with the same holders one is enough
-    size = named.groupBy("comp").agg(F.count("*").alias("members"))
-    open_ = stored(held.join(mixed, "token").join(size, "comp"), "open")
-    if open_.isEmpty():
-        return links
-    rank = F.struct(F.col("members"), F.col("comp"))
-    # sizes of partners differ by a quarter at most, so by one step of the scale at most
-    steps = F.explode(F.sequence(F.col("scale") - 1, F.col("scale") + 1)).alias("scale")
-    ask = open_.select(
-        "token", "n", F.col("cid").alias("guest_cid"), F.col("comp").alias("guest_comp"), rank.alias("low"), steps
-    )
-    if top_only:
-        top = F.max(F.struct(rank.alias("high"), F.col("label"), F.col("sub"))).alias("top")
-        units = open_.groupBy("token", "scale").agg(top).select("token", "scale", "top.*")
-        fits = F.col("low") < F.col("high")
-    else:
-        units = open_.groupBy("token", "scale", "label", "sub").agg(
-            F.max(rank).alias("high"), F.min("n").alias("smallest"), F.max("n").alias("largest")
-        )
-        fits = (
-            (F.col("low") < F.col("high")) & (F.col("n") * NUMERATOR <= F.col("largest") * DENOMINATOR)
-            & (F.col("smallest") * NUMERATOR <= F.col("n") * DENOMINATOR)
-        )
-    routes = stored(
-        ask.join(units, ["token", "scale"]).where(fits).select("guest_cid", "guest_comp", "label", "sub").distinct(), "routes"
+def blocks_of(mass: str):
+    return F.ceil(F.col(mass) / UNIT_MASS).cast("int")
+
+
+def block(count: str):
+    """The block a set is dealt to."""
+    return F.pmod(F.xxhash64("cid"), F.col(count)).cast("int")
+
+
+def every(count: str):
+    return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+
+def last_look(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """Links among sets of different components that hold an open prefix shingle: all that the turns missed.
+
+    Sets meet by shingle and size (partners differ by less than a step of the scale).  Where one component
+    has most members of such a group, the others visit that component's sets, which travel once however
+    many groups they are in; the others of a group meet in a unit of their own.  Groups too large for a
+    unit are cut into blocks that meet in pairs, so a set is copied once per block and never per partner.
+    """
+    scale = F.floor(F.log(F.col("n").cast("double")) / math.log(SCALE_STEP)).cast("int")
+    held = open_.select("cid", "n", "comp", "token", F.explode(F.array(scale, scale + 1)).alias("s")).select(
+        "cid", "n", "comp", F.xxhash64("token", "s").alias("gid")
     )
-    guests = routes.join(sets.select(F.col("cid").alias("guest_cid"), "shingles"), "guest_cid").select(
-        "label", "sub", F.col("guest_cid").alias("cid"), F.col("guest_comp").alias("comp"), F.lit(True).alias("guest"), "shingles"
+    per_comp = held.groupBy("gid", "comp").agg(F.count("*").alias("members"))
+    tops = per_comp.groupBy("gid").agg(
+        F.sum("members").alias("total"), F.max(F.struct("members", "comp")).alias("top"), F.count("*").alias("comps")
+    ).where("comps > 1").select(
+        "gid", F.when((F.col("top.members") >= DOMINANT) & (F.col("top.members") * 2 > F.col("total")), F.col("top.comp")).alias("host")
     )
-    hosts = (
-        named.select("cid", "comp", "label", "sub").join(routes.select("label", "sub").distinct(), ["label", "sub"], "left_semi")
-        .join(sets.select("cid", "shingles"), "cid")
-        .select("label", "sub", "cid", "comp", F.lit(False).alias("guest"), "shingles")
+    groups = stored(held.join(tops, "gid"), "groups")
+    hosts = groups.where("comp = host").select("cid", "n", "comp", "host").distinct()
+    guests = groups.where("comp <> host").select("cid", "n", "comp", "host").distinct()
+    # hosts and guests of a component in blocks
+    sizes = hosts.groupBy("host").agg(F.sum("n").alias("host_mass")).join(guests.groupBy("host").agg(F.sum("n").alias("guest_mass")), "host")
+    sizes = sizes.select("host", blocks_of("host_mass").alias("rows"), blocks_of("guest_mass").alias("cols"))
+    sub = (F.col("i") * F.col("cols") + F.col("j")).cast("int")
+    at_home = hosts.join(sizes, "host").select("*", block("rows").alias("i"), every("cols").alias("j"))
+    visiting = guests.join(sizes, "host").select("*", block("cols").alias("j"), every("rows").alias("i"))
+    visits = [
+        frame.select(F.col("host").alias("label"), (-1 - sub).alias("sub"), "cid", "comp", F.lit(guest).alias("guest"))
+        for frame, guest in ((at_home, False), (visiting, True))
+    ]
+    # the others of a group among themselves; of groups with the same sets one is enough
+    rest = groups.where("host is null or comp <> host").select("gid", "cid", "n", "comp")
+    many = (
+        rest.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"),
+                                F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s"), F.sum("n").alias("mass"))
+        .where("lo < hi").groupBy("k", "s").agg(F.min("gid").alias("gid"), F.min("mass").alias("mass"))
+        .select("gid", blocks_of("mass").alias("blocks"))
     )
-    return links.unionByName(stored(in_units(hosts.unionByName(guests)), "links"))
+    dealt = rest.join(many, "gid").withColumn("i", block("blocks"))
+    whole = dealt.where("blocks = 1").withColumn("sub", F.lit(0))
+    pairs = dealt.where("blocks > 1").withColumn("j", every("blocks")).where("i <> j")
+    pairs = pairs.withColumn("sub", (F.least("i", "j") * F.col("blocks") + F.greatest("i", "j")).cast("int"))
+    visits += [frame.select(F.col("gid").alias("label"), "sub", "cid", "comp", F.lit(False).alias("guest")) for frame in (whole, pairs)]
+    routes = visits[0]
+    for more in visits[1:]:
+        routes = routes.unionByName(more)
+    links = stored(in_units(routes.join(sets.select("cid", "shingles"), "cid")), "links")
+    discard(groups)
+    return links
 
 
 def classified(docs: DataFrame, key: str, text: str) -> DataFrame:
     """doc_id, n_shingles, component_id, cid (id of the set, null if empty), comp, tkey (hash of the text) per row."""
-    meta, edges = linked_sets(docs, key, text)
-    groups = components(edges)
+    meta, groups = linked_sets(docs, key, text)
     per_set = meta.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
-    named = per_set.join(groups, F.col("cid") == F.col("node"), "left").select(
-        "cid", "least", F.coalesce("component", "cid").alias("comp")
-    )
+    named = per_set.join(groups, "cid", "left").select("cid", "least", F.coalesce("comp", "cid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     ids = named.join(least, "comp").select("cid", "comp", "component_id")
     return meta.select("doc_id", F.col("n").alias("n_shingles"), "cid", "tkey").join(ids, "cid", "left").withColumn(
@@ -586,9 +680,10 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     its component, if any; an empty table gives no rows; other columns are ignored.
 
     Shingles and sets are known by 64-bit hashes.  Equal sets are joined as one.  A first pass keeps only
-    sets that share enough of their prefix with any other set (an exact condition); the surviving sets meet
-    in work units of bounded mass; what links across units is found by sending the smaller component's
-    sets to the units that hold one of their prefix shingles.
+    sets that share enough of their prefix with any other set (an exact condition).  The surviving sets meet
+    in work units of bounded mass, by a least hash that most partners share, for a few rounds; sets whose
+    prefix shingles no other component holds are settled and stay away from then on.  What is left meets by
+    prefix shingle, rare ones first in the global order, until every pair that could link was searched.
     """
     return classified(docs, key, text).select("doc_id", "n_shingles", "component_id")
 

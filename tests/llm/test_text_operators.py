@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import docs, long_text, texts
 from pyspark.sql import functions as F
@@ -80,6 +81,75 @@ def test_join_over_split_units(spark, monkeypatch):
     assert same(ngram_join.similarity_classes(docs(spark, rows)).collect(), brute_classes(rows))
 
 
+@pytest.mark.parametrize("mass, dominant", [(300, 2), (1 << 21, 2), (300, 10**6)])
+def test_last_look_alone_finds_all_links(spark, monkeypatch, mass, dominant):
+    """One turn with a label that is the same for next to no two sets: prefix shingles must bring the rest together."""
+    import random
+
+    random.seed(11)
+    rows = []
+    for family in range(4):
+        words = long_text(70 + 30 * family, 300 + family).split(" ")
+        for _ in range(25):
+            copy = words[:]
+            for _ in range(random.randint(0, 4)):
+                copy[random.randrange(len(copy))] = f"edit{random.randrange(30)}"
+            rows.append((len(rows), " ".join(copy)))
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "UNIT_MASS", mass)
+    monkeypatch.setattr(ngram_join, "DOMINANT", dominant)
+    monkeypatch.setattr(ngram_join, "set_task", unlike_labels(ngram_join.set_task))
+    assert same(ngram_join.similarity_classes(docs(spark, rows)).collect(), brute_classes(rows))
+
+
+def unlike_labels(task):
+    def run(batches):
+        for batch in task(batches):
+            own = [[cid] for cid in batch.column(0).to_pylist()]
+            columns = [*batch.columns[:2], pa.array(own, pa.list_(pa.int64())), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return run
+
+
+def test_family_of_copies_that_do_not_link_moves_few_rows(spark, monkeypatch):
+    """2000 copies with so many edits that hardly any two link: sets travel a bounded number of times."""
+    import random
+
+    random.seed(3)
+    words = long_text(60, 8).split(" ")
+    rows = []
+    for i in range(2000):
+        copy = words[:]
+        for at in random.sample(range(len(copy)), 3):
+            copy[at] = f"edit{random.randrange(40)}"
+        rows.append((i, " ".join(copy)))
+    moved, first = [], ngram_join.in_units
+    monkeypatch.setattr(ngram_join, "in_units", lambda frame: moved.append(frame.count()) or first(frame))
+    got = ngram_join.similarity_classes(docs(spark, rows)).collect()
+    assert same(got, brute_classes_fast(rows))
+    assert sum(moved) < 12 * len(rows)
+
+
+def brute_classes_fast(rows):
+    sets = [shingles(t) for _, t in rows]
+    known = {}
+    for s in sets:
+        for g in s:
+            known.setdefault(g, len(known))
+    grid = np.zeros((len(sets), len(known)), np.float32)
+    for i, s in enumerate(sets):
+        grid[i, [known[g] for g in s]] = 1
+    size, shared = grid.sum(1), grid @ grid.T
+    linked = 100 * shared >= 80 * (size[:, None] + size[None] - shared)
+    comp = np.arange(len(sets))
+    while True:
+        least = np.where(linked, comp[None], len(sets)).min(1)
+        if (least >= comp).all():
+            return [(rows[i][0], len(s), rows[int(comp[i])][0]) for i, s in enumerate(sets)]
+        comp = np.minimum(comp, least)
+
+
 def test_divide_skip_finds_what_counting_finds():
     rng = np.random.default_rng(3)
     core = rng.integers(0, 10**9, 60)
