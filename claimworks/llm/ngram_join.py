@@ -20,6 +20,7 @@ SLAB_BYTES = 2 << 20
 UNIT_MASS = 1 << 21  # shingles of one work unit; a larger group is split over several units
 LEADERS = 8  # sets of a split group that every one of its units sees
 ROUNDS = 5  # rounds in which sets meet by a least hash, before the exact pass over what they leave open
+STILL_MOVING = 0.8  # a round that leaves more than this of the open sets open is the last
 COMMON_HOLDERS = 8  # sets that make a shingle a common one
 COMMON = 1 << 20  # the most common shingles, put last in the global order; an order, not a filter
 DOMINANT = 16  # members from which the largest component of a group is visited instead of sent along
@@ -297,11 +298,14 @@ def set_task(batches):
 
 
 def prefix_task(common, buckets):
-    """Sets -> cid, n, token: the prefix in the global order, common shingles last and the most common at the end."""
+    """Sets -> cid, n, token, near: the prefix in the global order, common shingles last and the most common at the end.
+
+    Partners share ``needed`` shingles of this prefix, and one of its first part (``near``).
+    """
     def run(batches):
         names, rank = (np.frombuffer(part, np.int64) for part in common.value)
         for batch in batches:
-            owners, sizes, tokens = [], [], []
+            owners, sizes, tokens, near = [], [], [], []
             for cid, n, shingles in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 hashes = np.frombuffer(shingles, np.uint64)
                 late = np.zeros(n, np.int64)
@@ -309,12 +313,14 @@ def prefix_task(common, buckets):
                     keys = short_key(hashes, buckets)
                     at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
                     late = np.where(names[at] == keys, rank[at], 0)
-                prefix = hashes[np.argsort(late, kind="stable")[:n - least_overlap(n) + 1]]
+                prefix = hashes[np.argsort(late, kind="stable")[:prefix_size(n)]]
                 owners.append(np.full(len(prefix), cid))
                 sizes.append(np.full(len(prefix), n))
                 tokens.append(prefix.view(np.int64))
+                near.append(np.arange(len(prefix)) <= n - least_overlap(n))
             if owners:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (owners, sizes, tokens)], ["cid", "n", "token"])
+                columns = [pa.array(np.concatenate(c)) for c in (owners, sizes, tokens, near)]
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "token", "near"])
 
     return run
 
@@ -543,18 +549,18 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     common = spark.sparkContext.broadcast(common_shingles(shares))
     discard(shares)
     comps = merged(sets.select("cid", F.col("cid").alias("comp")), meetings(sets.withColumn("comp", F.col("cid")), 0))
-    prefixes = stored(sets.select("cid", "n", "shingles").mapInArrow(tidy(prefix_task(common, buckets)), "cid long, n long, token long"), "prefixes")
-    open_ = still_open(prefixes, comps)
-    for turn in range(1, ROUNDS + 1):
-        if open_.isEmpty():
+    prefix_rows_of = sets.select("cid", "n", "shingles").mapInArrow(tidy(prefix_task(common, buckets)), "cid long, n long, token long, near boolean")
+    open_ = still_open(stored(prefix_rows_of, "prefixes"), comps)
+    turn, before = 1, math.inf
+    while not open_.isEmpty():
+        now = open_.select("cid", "comp").distinct()
+        left = now.count()
+        if turn == ROUNDS or left > STILL_MOVING * before:
+            comps = merged(comps, last_look(sets, open_))
             break
-        if turn < ROUNDS:
-            now = open_.select("cid", "comp").distinct()
-            links = meetings(sets.join(now, "cid"), turn)
-        else:
-            links = last_look(sets, open_)
-        comps = merged(comps, links)
-        open_ = still_open(open_.drop("comp"), comps)
+        comps = merged(comps, meetings(sets.join(now, "cid"), turn))
+        open_ = still_open(open_, comps)
+        turn, before = turn + 1, left
     discard(open_, sets)
     return meta, comps
 
@@ -567,13 +573,18 @@ def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def still_open(prefixes: DataFrame, comps: DataFrame) -> DataFrame:
-    """cid, n, token, comp of the prefix shingles that sets of several components hold."""
-    held = prefixes.join(comps, "cid")
+    """cid, n, token, near, comp of the prefix shingles that sets of several components hold.
+
+    Sets with fewer of them than a pair of partners shares have no partner outside their component.
+    """
+    held = prefixes.select("cid", "n", "token", "near").join(comps, "cid")
     mixed = held.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    found = stored(held.join(mixed, "token").select("cid", "n", "token", "comp"), "open")
-    if hasattr(prefixes, "scratch_path"):
-        discard(prefixes)
-    return found
+    found = stored(held.join(mixed, "token").select("cid", "n", "token", "near", "comp"), "open")
+    need = F.greatest(F.lit(1), F.floor(least() / 10))
+    able = found.groupBy("cid", "n").agg(F.count("*").alias("k")).where(F.col("k") >= need).select("cid")
+    kept = stored(found.join(able, "cid"), "open")
+    discard(prefixes, found)
+    return kept
 
 
 def meetings(sets: DataFrame, turn: int) -> DataFrame:
@@ -609,15 +620,37 @@ def every(count: str):
 def last_look(sets: DataFrame, open_: DataFrame) -> DataFrame:
     """Links among sets of different components that hold an open prefix shingle: all that the turns missed.
 
-    Sets meet by shingle and size (partners differ by less than a step of the scale).  Where one component
-    has most members of such a group, the others visit that component's sets, which travel once however
-    many groups they are in; the others of a group meet in a unit of their own.  Groups too large for a
-    unit are cut into blocks that meet in pairs, so a set is copied once per block and never per partner.
+    Sets meet by shingle and size (partners differ by less than a step of the scale).  Sets that such
+    meetings connect, however indirectly, travel once and are searched as one unit if their mass allows.
     """
     scale = F.floor(F.log(F.col("n").cast("double")) / math.log(SCALE_STEP)).cast("int")
-    held = open_.select("cid", "n", "comp", "token", F.explode(F.array(scale, scale + 1)).alias("s")).select(
+    held = open_.where("near").select("cid", "n", "comp", "token", F.explode(F.array(scale, scale + 1)).alias("s")).select(
         "cid", "n", "comp", F.xxhash64("token", "s").alias("gid")
     )
+    mixed = held.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cid").alias("first")).where("lo < hi")
+    met = stored(held.join(mixed.select("gid", "first"), "gid"), "groups")
+    clusters = components(met.select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct())
+    named = met.select("cid", "n", "comp").distinct().join(clusters, F.col("cid") == F.col("node")).select("cid", "n", "comp", "component")
+    mass = named.groupBy("component").agg(F.sum("n").alias("mass"))
+    placed = stored(named.join(mass, "component"), "clusters")
+    whole = placed.where(F.col("mass") <= UNIT_MASS).select(
+        F.col("component").alias("label"), F.lit(0).alias("sub"), "cid", "comp", F.lit(False).alias("guest")
+    )
+    links = stored(in_units(whole.join(sets.select("cid", "shingles"), "cid")), "links")
+    large = placed.where(F.col("mass") > UNIT_MASS).select("cid")
+    if not large.isEmpty():
+        links = links.unionByName(in_blocks(sets, met.drop("first").join(large, "cid")))
+    discard(placed)
+    return links
+
+
+def in_blocks(sets: DataFrame, held: DataFrame) -> DataFrame:
+    """Links among sets that share a group (cid, n, comp, gid), for sets too many for one unit.
+
+    Where one component has most members of a group, the others visit that component's sets, which travel
+    once however many groups they are in; the others of a group meet in a unit of their own.  Groups too large
+    for a unit are cut into blocks that meet in pairs, so a set is copied once per block and never per partner.
+    """
     per_comp = held.groupBy("gid", "comp").agg(F.count("*").alias("members"))
     tops = per_comp.groupBy("gid").agg(
         F.sum("members").alias("total"), F.max(F.struct("members", "comp")).alias("top"), F.count("*").alias("comps")
@@ -653,9 +686,7 @@ def last_look(sets: DataFrame, open_: DataFrame) -> DataFrame:
     routes = visits[0]
     for more in visits[1:]:
         routes = routes.unionByName(more)
-    links = stored(in_units(routes.join(sets.select("cid", "shingles"), "cid")), "links")
-    discard(groups)
-    return links
+    return stored(in_units(routes.join(sets.select("cid", "shingles"), "cid")), "links")
 
 
 def classified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -682,8 +713,8 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Shingles and sets are known by 64-bit hashes.  Equal sets are joined as one.  A first pass keeps only
     sets that share enough of their prefix with any other set (an exact condition).  The surviving sets meet
     in work units of bounded mass, by a least hash that most partners share, for a few rounds; sets whose
-    prefix shingles no other component holds are settled and stay away from then on.  What is left meets by
-    prefix shingle, rare ones first in the global order, until every pair that could link was searched.
+    prefix shingles no other component holds are settled and stay away from then on.  What is left meets once
+    more by prefix shingles, rare ones first in the global order: every pair that could link is searched.
     """
     return classified(docs, key, text).select("doc_id", "n_shingles", "component_id")
 

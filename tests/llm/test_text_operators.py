@@ -128,7 +128,7 @@ def test_family_of_copies_that_do_not_link_moves_few_rows(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "in_units", lambda frame: moved.append(frame.count()) or first(frame))
     got = ngram_join.similarity_classes(docs(spark, rows)).collect()
     assert same(got, brute_classes_fast(rows))
-    assert sum(moved) < 12 * len(rows)
+    assert sum(moved) < 8 * len(rows)
 
 
 def brute_classes_fast(rows):
