@@ -35,8 +35,8 @@ def byte_symbols() -> dict[str, int]:
 class Vocabulary:
     """A byte-level BPE vocabulary file: ids of bytes, merges as arrays, bytes of ids."""
 
-    def __init__(self, text: str):
-        model = json.loads(text)
+    def __init__(self, source: str | dict):
+        model = json.loads(source) if isinstance(source, str) else source
         bytes_of = byte_symbols()
         ids = model["model"]["vocab"]
         self.tokens = {i: bytes(bytes_of[c] for c in t) for t, i in ids.items() if all(c in bytes_of for c in t)}

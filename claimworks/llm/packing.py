@@ -259,7 +259,7 @@ class Ranked:
         model = json.loads(vocabulary)
         bytes_of = byte_symbols()
         special = {a["content"] for a in model["added_tokens"]}
-        self.vocab = Vocabulary(vocabulary)
+        self.vocab = Vocabulary(model)
         ids = {bytes(bytes_of[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
         # byte-pair ranks may stand for merge order only if ids grow with the merges
         self.fast = None
@@ -350,7 +350,8 @@ def pieces(
 def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their places and the checksum of their ids."""
     found = pieces(docs, vocabulary_path, capacity=capacity)
-    rows = found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    # written first, so that a task of the next step does not keep a second Python worker beside the encoder
+    rows = stored(found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(rows, "length", capacity)
 
 
