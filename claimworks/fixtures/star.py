@@ -58,6 +58,9 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.min("l_suppkey").alias("s"))
+        # Both sides by key at any size: orders may come in few splits, and the text made and parsed
+        # from each claim afterwards is worth the exchange.
+        .hint("merge")
     )
     key = F.col("o_orderkey")
     priority = F.substring("o_orderpriority", 1, 1).cast("int")

@@ -12,6 +12,7 @@ from claimworks.registry import records  # noqa: F401  (registers the fhir expre
 from claimworks.registry.sql_base import cte, with_ctes
 from claimworks.session import scratch_dir
 from claimworks.sources import fhir_files, tables
+from claimworks.streaming import jobs
 
 
 def s3(spark, sf):
@@ -49,6 +50,17 @@ def f3(spark, sf):
     return lake.to_silver(star.bronze(spark, sf)).drop("ingest_ts", "processed_ts")
 
 
+def f3_incremental(spark, sf):
+    """Silver after two runs of one stream: Bronze up to a day, then the Bronze rows that came later."""
+    bronze, silver, checkpoint = (scratch_dir(spark, n) for n in ("bronze", "silver", "checkpoint"))
+    rows = star.bronze(spark, sf)
+    cut = F.lit("1995-06-17").cast("timestamp")
+    for part in (F.col("received_ts") < cut, F.col("received_ts") >= cut):
+        rows.where(part).select(*schemas.columns(schemas.BRONZE)).write.mode("append").parquet(bronze)
+        jobs.bronze_to_silver(spark, bronze, silver, checkpoint)
+    return lake.silver_table(spark, silver).read().drop("ingest_ts", "processed_ts")
+
+
 def _silver(spark, sf):
     """Silver columns straight from the claims, for the table queries."""
     return star.claims(spark, sf).select(
@@ -80,12 +92,31 @@ def s8(spark, sf):
 
 
 def s10(spark, sf):
-    """Clustered files, read back: rows, and how far the files' key ranges overlap."""
+    """Clustered in sixteen files and read back: rows, sums of the keys, and whether a look-up by either column skips
+    more than half of the files, by the least and greatest value of each file.
+
+    The share is the mean over one look-up per file and column: for the values of one row of each file.
+    """
     path = scratch_dir(spark, "clustered")
-    tables.cluster(_silver(spark, sf), "claim_id", "service_date").write.mode("overwrite").parquet(
-        path
+    rows = _silver(spark, sf)
+    tables.cluster(rows, "claim_id", "service_date", partitions=16).write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    spans = back.groupBy("file").agg(
+        F.min("claim_id").alias("a0"), F.max("claim_id").alias("a1"),
+        F.min("service_date").alias("b0"), F.max("service_date").alias("b1"),
+        F.max_by("claim_id", F.xxhash64("claim_id")).alias("a"), F.max_by("service_date", F.xxhash64("claim_id")).alias("b"),
     )
-    return spark.read.parquet(path).select("claim_id", "service_date", "billing_npi")
+    probes, spans = spans.select("a", "b"), spans.drop("a", "b")  # a row per file, sixteen
+    met = spans.join(F.broadcast(probes), F.col("a").between(F.col("a0"), F.col("a1")) | F.col("b").between(F.col("b0"), F.col("b1")))
+    files = back.agg(F.count_distinct("file").alias("files"))
+    skipped = met.agg(
+        F.count_if(F.col("a").between(F.col("a0"), F.col("a1"))).alias("by_claim"),
+        F.count_if(F.col("b").between(F.col("b0"), F.col("b1"))).alias("by_date"),
+    ).join(F.broadcast(files)).select(
+        *[(1 - F.col(c) / (F.col("files") * F.col("files")) > 0.5).alias(f"skips_{c}") for c in ("by_claim", "by_date")]
+    )
+    totals = back.agg(F.count("*").alias("claims"), F.count_distinct("claim_id").alias("keys"), F.min("service_date").alias("first_day"))
+    return totals.join(F.broadcast(skipped))
 
 
 def s12(spark, sf):
@@ -99,19 +130,22 @@ def s12(spark, sf):
 
 
 def s13(spark, sf):
-    """A view sees files that arrive after it was read, once it is refreshed."""
-    path = scratch_dir(spark, "refreshed")
+    """A view over files, read before and after more files arrive and it is refreshed."""
+    path, view = scratch_dir(spark, "refreshed"), "remittance_files"
     rows = star.remittance(spark, sf)
     rows.where("status = 'paid'").write.mode("overwrite").parquet(path)
-    table = spark.read.parquet(path)
-    table.createOrReplaceTempView("remittance_files")
+    spark.read.parquet(path).createOrReplaceTempView(view)
+    before = spark.table(view).count()
     rows.where("status <> 'paid'").write.mode("append").parquet(path)
-    tables.refresh(spark, path)
-    return spark.read.parquet(path).groupBy("status").agg(F.count("*").alias("claims"))
+    tables.refresh(spark, view)
+    return spark.table(view).groupBy("status").agg(F.count("*").alias("claims")).withColumn(
+        "before", F.lit(before).cast("long")
+    )
 
 
 QUERIES = {
     "F3_bronze_to_silver": f3,
+    "F3_incremental": f3_incremental,
     "S3_fhir_bundle": s3,
     "S8_keyed_upsert": s8,
     "S10_cluster": s10,
@@ -204,6 +238,7 @@ _SILVER_SQL = """
 
 SQL = {
     "F3_bronze_to_silver": with_ctes(_SILVER_SQL, "shares"),
+    "F3_incremental": with_ctes(_SILVER_SQL, "shares"),
     "S3_fhir_bundle": with_ctes(
         """SELECT claim_id, fhir_json FROM fhir WHERE order_key % 5 = 0 OR order_key % 7 <> 0""",
         "fhir",
@@ -214,14 +249,20 @@ SQL = {
           denial_risk_score FROM claims""",
         "claims",
     ),
-    "S10_cluster": with_ctes("SELECT claim_id, service_date, billing_npi FROM claims", "claims"),
+    "S10_cluster": with_ctes(
+        """SELECT count(*) AS claims, count(DISTINCT claim_id) AS keys, min(service_date) AS first_day,
+          true AS skips_by_claim, true AS skips_by_date FROM claims""",
+        "claims",
+    ),
     "S12_typed_table": with_ctes(
         """SELECT claim_id, billed_amount, service_date, CAST(NULL AS VARCHAR) AS payer_id,
           human_review_required FROM claims""",
         "claims",
     ),
     "S13_refresh": with_ctes(
-        "SELECT status, count(*) AS claims FROM remittance GROUP BY status", "remittance"
+        """SELECT status, count(*) AS claims, (SELECT count(*) FROM remittance WHERE status = 'paid') AS before
+          FROM remittance GROUP BY status""",
+        "remittance",
     ),
     "W1_latest_per_key": with_ctes(
         f"""SELECT claim_id, service_date + {_LATEST} AS received,

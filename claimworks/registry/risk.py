@@ -143,7 +143,7 @@ def m11(spark, sf):
 
 
 def m12(spark, sf):
-    """Exact coalition values of the forest against the baseline."""
+    """Path-dependent values of the forest for every claim."""
     scorer = score.ModelScorer(_fitted(spark, sf, "v1"))
     out = scorer.attribute(claim_inputs(spark, sf))
     total = F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
@@ -153,6 +153,18 @@ def m12(spark, sf):
     )
 
 
+def m12_additivity(spark, sf):
+    """Per claim whether its six contributions and the forest's mean add up to its probability."""
+    scorer = score.ModelScorer(_fitted(spark, sf, "v1"))
+    out = scorer.attribute(claim_inputs(spark, sf))
+    total = F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x) + F.lit(scorer.explainer(spark).mean)
+    return out.select(
+        "claim_id", F.size("contributions").alias("features"),
+        (F.abs(total - F.col("probability")) < 1e-9).alias("adds_up"),
+        F.col("probability").between(0, 1).alias("is_probability"),
+    )
+
+
 def _explained(spark, sf):
     inputs = (
         claim_inputs(spark, sf)
@@ -231,6 +243,7 @@ QUERIES = {
     "M10_forest_score": m10_forest,
     "M11_version_switch": m11,
     "M12_attribution": m12,
+    "M12_additivity": m12_additivity,
     "M13_normalize_percent": m13,
     "M14_primary_driver": m14,
     "M15_explanation_text": m15,
@@ -333,6 +346,9 @@ _AUC_SQL = """
 """
 
 SQL = {
+    "M12_additivity": with_ctes(
+        "SELECT claim_id, 6 AS features, true AS adds_up, true AS is_probability FROM claims", "claims"
+    ),
     "A9_array_totals": "SELECT 100.0::DOUBLE AS total, count(*) AS claims FROM orders",
     "A10_auc": with_ctes(_AUC_SQL, "training"),
     "M1_batch_features": with_ctes(

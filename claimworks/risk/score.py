@@ -6,12 +6,14 @@ import re
 from math import factorial, inf
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import Bucketizer, StandardScalerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
+from claimworks.risk.trees import TreeExplainer
 
 # --- fixed values: the label formula, in percent points ---
 ADDITIVE_POINTS = {
@@ -94,24 +96,44 @@ def split_points(model: PipelineModel) -> list[list[float]]:
 
 
 class ModelScorer:
-    """A fitted pipeline over the six feature columns."""
+    """A fitted pipeline over the six feature columns.
+
+    A forest is explained by the paths of its trees; boosted trees, whose probability is not a sum over trees,
+    and any model given a ``baseline`` claim, by the game against that claim.
+    """
 
     def __init__(
         self, model: PipelineModel, version: str = "v1", baseline: list[float] | None = None
     ) -> None:
         self.model, self.version = model, version
+        self.by_paths = baseline is None and isinstance(model.stages[-1], RandomForestClassificationModel)
         self.baseline = BASELINE if baseline is None else baseline
+        self._explainer = None
+
+    def explainer(self, spark: SparkSession) -> TreeExplainer:
+        if self._explainer is None:
+            self._explainer = TreeExplainer(spark, self.model)
+        return self._explainer
 
     def score(self, df: DataFrame) -> DataFrame:
         return probability_of(self.model, df)
 
     def attribute(self, df: DataFrame, key: str = "claim_id") -> DataFrame:
-        """Exact Shapley values of the game that swaps features for the baseline's.
+        """``df``, probability and contributions: Shapley values, exact for either game.
+
+        By paths they add up to probability minus the mean over the training rows; against a baseline to
+        f(x) - f(baseline).
+        """
+        if self.by_paths:
+            return self.explainer(df.sparkSession).contributions(self.score(df))
+        return self._against_baseline(df)
+
+    def _against_baseline(self, df: DataFrame) -> DataFrame:
+        """The game that swaps features for the baseline's.
 
         Trees do not change between their split points, so rows whose features fall into the same
         intervals have the same values: the game is played once per distinct tuple of intervals,
-        and the result joined back.  These values add up to f(x) - f(baseline); they are not the
-        path-dependent values of a tree explainer.
+        and the result joined back.
         """
         rows = self._intervals(df)
         tuples = rows.groupBy("_tuple").agg(F.first(F.struct(*fv.FEATURES)).alias("_x"))

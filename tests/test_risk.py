@@ -1,11 +1,12 @@
 import json
+import math
 from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
-from claimworks.risk import explain, score, train, versions
+from claimworks.risk import explain, score, train, trees, versions
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +42,56 @@ def test_attribution_matches_all_orderings(spark, model):
     assert row.probability == pytest.approx(f[(1 << n) - 1])
 
 
+def brute_paths(spark, model, x):
+    """Shapley values over all subsets; an absent feature takes both ways of a split by the training rows' weight."""
+    scaler = model.stages[1]
+    scaled = [(v - m) * (1 / s if s else 0) for v, m, s in zip(x, scaler.mean, scaler.std)]
+    forest = {}
+    for row in trees.node_table(spark, model).collect():
+        forest.setdefault(row.tree, {})[row.id] = row
+
+    def value(tree, node, known):
+        if node.left < 0:
+            return node.value
+        left, right = tree[node.left], tree[node.right]
+        if node.feature in known:
+            return value(tree, left if scaled[node.feature] <= node.threshold else right, known)
+        return (left.cover * value(tree, left, known) + right.cover * value(tree, right, known)) / node.cover
+
+    n = len(x)
+    subsets = [{i for i in range(n) if m >> i & 1} for m in range(1 << n)]
+    f = [sum(value(t, t[0], s) for t in forest.values()) / len(forest) for s in subsets]
+    want = []
+    for i in range(n):
+        total = 0.0
+        for m, s in enumerate(subsets):
+            if i not in s:
+                total += math.factorial(len(s)) * math.factorial(n - len(s) - 1) / math.factorial(n) * (f[m | 1 << i] - f[m])
+        want.append(total)
+    return want, f[0], f[-1]
+
+
+def test_tree_attribution_equals_all_subsets(spark, model):
+    rows = [[1500.0, 0.0, 7.0, 2.0, 11.0, 120.0], [300.0, 1.0, 2.0, 2.0, 5.0, 10.0], [799.9, 0.0, 6.0, 4.9, 20.0, 91.0]]
+    scorer = score.ModelScorer(model)
+    extra = inputs(spark, *rows).withColumn("c0", F.lit("clash")).withColumn("x0", F.lit(1))
+    got = {r.claim_id: r for r in scorer.attribute(extra).collect()}
+    for i, x in enumerate(rows):
+        want, mean, full = brute_paths(spark, model, x)
+        row = got[f"C{i}"]
+        assert row.contributions == pytest.approx(want, abs=1e-9) and row.c0 == "clash" and row.x0 == 1
+        assert row.probability == pytest.approx(full, abs=1e-9)
+        assert scorer.explainer(spark).mean == pytest.approx(mean, abs=1e-9)
+
+
+def test_tree_attribution_of_nulls_and_empty_frames(spark, model):
+    scorer = score.ModelScorer(model)
+    ddl = "claim_id string, " + ", ".join(f"{f} double" for f in fv.FEATURES)
+    frame = spark.createDataFrame([("a", None, 1.0, 1.0, 1.0, 1.0, 1.0)], ddl)
+    assert scorer.explainer(spark).contributions(frame).first().contributions is None
+    assert scorer.attribute(inputs(spark, [1, 1, 1, 1, 1, 1]).limit(0)).count() == 0
+
+
 @pytest.mark.parametrize(
     "values,expected",
     [

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from test_claims import ENROLLMENT, ENROLLMENT_DDL, claim
 
 from claimworks import fixed_values as fv
+from claimworks import schemas
 from claimworks.risk.score import AdditiveScorer
 from claimworks.risk.versions import FixedModel
 from claimworks.sources import topics
@@ -133,3 +134,21 @@ def test_stream_result_is_batch_result(spark, tmp_path):
     jobs.score_and_route(spark, root, enrolled(spark), FixedModel(), str(tmp_path / "c"), day)
     got = [(t, k) for t in {t for t, _ in want} for k in keys(spark, root, t)]
     assert sorted(got) == want
+
+
+def test_silver_follows_bronze_by_new_rows_only(spark, tmp_path):
+    from claimworks.fixtures import star
+    from claimworks.plans import lake
+
+    bronze, silver, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "checkpoint"))
+    rows = star.bronze(spark, "/root/testdata/sf0.001").select(*schemas.columns(schemas.BRONZE)).orderBy("claim_id").limit(60)
+    ids = [r[0] for r in rows.select("claim_id").collect()]
+    read = []
+    for part in (F.col("claim_id") <= ids[40], F.col("claim_id") > ids[40], F.lit(False)):
+        rows.where(part).write.mode("append").parquet(bronze)
+        query = jobs.bronze_to_silver(spark, bronze, silver, checkpoint)
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+    assert read[0] + read[1] == 60 and 0 < read[1] < 30 and read[2] == 0
+    drop = ["ingest_ts", "processed_ts"]
+    got, want = lake.silver_table(spark, silver).read().drop(*drop), lake.to_silver(rows).drop(*drop)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -105,6 +105,41 @@ def test_cluster_gives_disjoint_sorted_ranges(spark, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_clustering_on_two_columns_prunes_on_both(spark, tmp_path):
+    df = spark.range(4000).selectExpr("lpad(cast(id * 7 % 4000 as string), 4, '0') k", "cast(id * 13 % 4000 as int) d", "id")
+    spans = {}
+    for name, frame_ in (("z", cluster(df, "k", "d", partitions=16)), ("flat", df.repartitionByRange(16, "k", "d"))):
+        frame_.write.parquet(str(tmp_path / name))
+        back = spark.read.parquet(str(tmp_path / name)).withColumn("f", F.col("_metadata.file_path"))
+        spans[name] = back.groupBy("f").agg(F.min("k"), F.max("k"), F.min("d"), F.max("d")).collect()
+        assert back.count() == 4000
+
+    def skipped(files, low, high, text):
+        probes = [f"{p:04d}" if text else p for p in range(100, 4000, 100)]
+        return sum(not r[low] <= p <= r[high] for r in files for p in probes) / len(files) / len(probes)
+
+    assert skipped(spans["z"], 1, 2, True) > 0.6 and skipped(spans["z"], 3, 4, False) > 0.6
+    assert skipped(spans["flat"], 3, 4, False) < 0.2
+
+
+def test_clustering_takes_nulls_and_empty_frames(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None), (None, None), ("b", 2)], "k string, d int")
+    assert sorted(cluster(df, "k", "d").collect(), key=repr) == sorted(df.collect(), key=repr)
+    assert cluster(df.limit(0), "k", "d").count() == 0
+
+
+def test_order_of_upserts_needs_no_clock_and_origins_are_applied_once(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    assert t.upsert(frame(spark, ("a", 1)), "stream-0") == 1
+    assert t.upsert(frame(spark, ("a", 2), ("b", 2)), "stream-1") == 2
+    assert t.upsert(frame(spark, ("a", 9)), "stream-0") == 1  # tried again: its place stays before the second
+    assert rows(t.read()) == [("a", 2), ("b", 2)]
+    assert rows(t.read(until=1)) == [("a", 9)]
+    t.compact()
+    assert t.upsert(frame(spark, ("a", 3))) == 3
+    assert rows(t.read()) == [("a", 3), ("b", 2)]
+
+
 def test_typed_table(spark, tmp_path):
     spark.createDataFrame(
         [("a", "12.345", "2026-01-01"), ("b", "x", "bad")], "k string, m string, d string"
