@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import components, discard, stored, table, tidy, width
+from claimworks.llm.common import discard, stored, table, tidy, width
 from claimworks.llm.words import STEP, mix, slab_ranges, text_bytes, word_hashes, word_places
 
 WORDS = 5
@@ -19,8 +19,7 @@ NUMERATOR, DENOMINATOR = 4, 5  # sets link at this Jaccard similarity or more
 SLAB_BYTES = 2 << 20
 UNIT_MASS = 1 << 21  # shingles of one work unit; a larger group is split over several units
 LEADERS = 8  # sets of a split group that every one of its units sees
-ROUNDS = 5  # rounds in which sets meet by a least hash, before the exact pass over what they leave open
-STILL_MOVING = 0.8  # a round that leaves more than this of the open sets open is the last
+ROUNDS = 3  # least hashes by which sets meet, before the exact pass over what these meetings leave open
 COMMON_HOLDERS = 8  # sets that make a shingle a common one
 COMMON = 1 << 20  # the most common shingles, put last in the global order; an order, not a filter
 DOMINANT = 16  # members from which the largest component of a group is visited instead of sent along
@@ -278,7 +277,7 @@ SETS = "cid long, n long, labels array<long>, shingles binary"
 
 
 def set_task(batches):
-    """Sets with the labels by which they meet: the least hash of their shingles, another hash each round."""
+    """Sets with the labels by which they meet: the least hash of their shingles, under several hashes."""
     seeds = mix(np.arange(1, ROUNDS, dtype=np.uint64) * STEP)
     for batch in batches:
         data, offsets = text_bytes(batch.column(0))
@@ -548,27 +547,42 @@ def linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     discard(first_sets, alive, close)
     common = spark.sparkContext.broadcast(common_shingles(shares))
     discard(shares)
-    comps = merged(sets.select("cid", F.col("cid").alias("comp")), meetings(sets.withColumn("comp", F.col("cid")), 0))
+    comps = merged(sets.select("cid", F.col("cid").alias("comp")), meetings(sets))
     prefix_rows_of = sets.select("cid", "n", "shingles").mapInArrow(tidy(prefix_task(common, buckets)), "cid long, n long, token long, near boolean")
     open_ = still_open(stored(prefix_rows_of, "prefixes"), comps)
-    turn, before = 1, math.inf
-    while not open_.isEmpty():
-        now = open_.select("cid", "comp").distinct()
-        left = now.count()
-        if turn == ROUNDS or left > STILL_MOVING * before:
-            comps = merged(comps, last_look(sets, open_))
-            break
-        comps = merged(comps, meetings(sets.join(now, "cid"), turn))
-        open_ = still_open(open_, comps)
-        turn, before = turn + 1, left
+    if not open_.isEmpty():
+        comps = merged(comps, last_look(sets, open_))
     discard(open_, sets)
     return meta, comps
 
 
+def roots_of(links: DataFrame) -> DataFrame:
+    """node, root: nodes of an edge list (a, b) have the same root if they are connected, only then.
+
+    Every round each node joins the neighbour of the least hash, if that is less than its own, and edges are
+    redrawn between what remains; a hash order leaves a share of the nodes at most, whatever the shape.
+    """
+    edges = stored(links.where("a <> b").distinct(), "edges")
+    roots = None
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ordered = F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("x"))
+        own = F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("x"))
+        up = stored(both.groupBy("a").agg(F.min(ordered).alias("m")).select(F.col("a").alias("n"), F.least("m", own)["x"].alias("up")), "parents")
+        to = up.select(F.col("n").alias("b"), F.col("up").alias("to"))
+        redrawn = edges.join(up.withColumnRenamed("n", "a"), "a").join(to, "b").select(F.col("up").alias("a"), F.col("to").alias("b"))
+        if roots is None:
+            roots = up.select(F.col("n").alias("node"), F.col("up").alias("root"))
+        else:
+            moved = roots.join(up, F.col("root") == F.col("n"), "left")
+            roots = stored(moved.select("node", F.coalesce("up", "root").alias("root")), "roots")
+        edges = stored(redrawn.where("a <> b").distinct(), "edges")
+    return roots if roots is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
 def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     """``comps`` (cid, comp) after links between components."""
-    groups = components(links)
-    found = comps.join(groups, F.col("comp") == F.col("node"), "left").select("cid", F.coalesce("component", "comp").alias("comp"))
+    found = comps.join(roots_of(links), F.col("comp") == F.col("node"), "left").select("cid", F.coalesce("root", "comp").alias("comp"))
     return stored(found, "components")
 
 
@@ -587,20 +601,22 @@ def still_open(prefixes: DataFrame, comps: DataFrame) -> DataFrame:
     return kept
 
 
-def meetings(sets: DataFrame, turn: int) -> DataFrame:
-    """Links between sets (cid, n, comp, labels, shingles) with the same label of this turn.
+def meetings(sets: DataFrame) -> DataFrame:
+    """Links between sets (cid, n, labels, shingles) that have a label in common.
 
-    A set is in one unit; a group of too large a mass is split over several, which all see the same few
-    leaders.  What this misses is found by later turns and the last look.
+    A set is in one unit per label; a group of too large a mass is split over several, which all see the same
+    few leaders.  What this misses the last look finds.
     """
-    named = sets.withColumn("label", F.col("labels")[turn])
+    named = sets.select("cid", "n", "shingles", F.posexplode("labels").alias("turn", "hash")).withColumn("label", F.xxhash64("turn", "hash"))
     leaders = [F.min(F.struct(F.xxhash64("cid", F.lit(j)).alias("h"), F.col("cid").alias("c")))["c"] for j in range(LEADERS)]
     big = named.groupBy("label").agg(F.sum("n").alias("mass"), F.array(*leaders).alias("leaders")).where(F.col("mass") > UNIT_MASS)
     placed = named.join(big.withColumn("subs", F.ceil(F.col("mass") / UNIT_MASS).cast("int")), "label", "left")
     sub = F.pmod(F.xxhash64("cid"), F.coalesce("subs", F.lit(1))).cast("int")
     leads = F.coalesce(F.array_contains("leaders", F.col("cid")), F.lit(False))
     visits = F.when(leads, F.sequence(F.lit(0), F.col("subs") - 1)).otherwise(F.array(sub))
-    rows = placed.select("label", F.explode(visits).alias("sub"), "cid", "comp", F.lit(False).alias("guest"), "shingles")
+    rows = placed.select(
+        "label", F.explode(visits).alias("sub"), "cid", F.col("cid").alias("comp"), F.lit(False).alias("guest"), "shingles"
+    )
     return stored(in_units(rows), "links")
 
 
@@ -629,12 +645,12 @@ def last_look(sets: DataFrame, open_: DataFrame) -> DataFrame:
     )
     mixed = held.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cid").alias("first")).where("lo < hi")
     met = stored(held.join(mixed.select("gid", "first"), "gid"), "groups")
-    clusters = components(met.select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct())
-    named = met.select("cid", "n", "comp").distinct().join(clusters, F.col("cid") == F.col("node")).select("cid", "n", "comp", "component")
-    mass = named.groupBy("component").agg(F.sum("n").alias("mass"))
-    placed = stored(named.join(mass, "component"), "clusters")
+    clusters = roots_of(met.select(F.col("cid").alias("a"), F.col("first").alias("b")))
+    named = met.select("cid", "n", "comp").distinct().join(clusters, F.col("cid") == F.col("node")).select("cid", "n", "comp", "root")
+    mass = named.groupBy("root").agg(F.sum("n").alias("mass"))
+    placed = stored(named.join(mass, "root"), "clusters")
     whole = placed.where(F.col("mass") <= UNIT_MASS).select(
-        F.col("component").alias("label"), F.lit(0).alias("sub"), "cid", "comp", F.lit(False).alias("guest")
+        F.col("root").alias("label"), F.lit(0).alias("sub"), "cid", "comp", F.lit(False).alias("guest")
     )
     links = stored(in_units(whole.join(sets.select("cid", "shingles"), "cid")), "links")
     large = placed.where(F.col("mass") > UNIT_MASS).select("cid")
@@ -712,9 +728,9 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     Shingles and sets are known by 64-bit hashes.  Equal sets are joined as one.  A first pass keeps only
     sets that share enough of their prefix with any other set (an exact condition).  The surviving sets meet
-    in work units of bounded mass, by a least hash that most partners share, for a few rounds; sets whose
-    prefix shingles no other component holds are settled and stay away from then on.  What is left meets once
-    more by prefix shingles, rare ones first in the global order: every pair that could link is searched.
+    in work units of bounded mass, by three least hashes that most partners share; sets whose prefix
+    shingles no other component holds are settled then.  What is left meets once more by prefix shingles,
+    rare ones first in the global order: every pair that could link is searched.
     """
     return classified(docs, key, text).select("doc_id", "n_shingles", "component_id")
 

@@ -112,6 +112,15 @@ def unlike_labels(task):
     return run
 
 
+def test_roots_of_paths_stars_and_cycles(spark):
+    edges = [(i, i + 1) for i in range(150)] + [(500, i) for i in range(501, 560)] + [(700, 701), (701, 702), (702, 700), (9, 9), (700, 701)]
+    got = {r.node: r.root for r in ngram_join.roots_of(spark.createDataFrame(edges, "a long, b long")).collect()}
+    groups = [range(151), range(500, 560), (700, 701, 702)]
+    assert set(got) == {n for g in groups for n in g}
+    assert [len({got[n] for n in g}) for g in groups] == [1, 1, 1] and len(set(got.values())) == 3
+    assert ngram_join.roots_of(spark.createDataFrame([(9, 9)], "a long, b long")).count() == 0
+
+
 def test_family_of_copies_that_do_not_link_moves_few_rows(spark, monkeypatch):
     """2000 copies with so many edits that hardly any two link: sets travel a bounded number of times."""
     import random
