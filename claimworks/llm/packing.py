@@ -15,8 +15,7 @@ from claimworks.llm.bpe import WORD, Encoder, Vocabulary, byte_symbols, public_v
 from claimworks.llm.common import stored, table, tidy
 
 CAPACITY = 2048
-SEARCH_WORK = 40_000  # distinct lengths looked at by branch-and-bound steps that try to beat best fit
-FILLINGS = 8  # fillings tried for one bin, least waste first
+SEARCH_WORK = 200_000  # distinct lengths looked at, and steps of the walks, to beat best fit or prove it
 
 
 # ---- the plan: patterns (times, [(length, count), ...]) from a histogram of lengths
@@ -57,42 +56,71 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
     return [(t, c) for entries in [closed, *open_bins.values()] for t, c in entries]
 
 
-def fillings(size: int, counts: dict[int, int], capacity: int, most_waste: int, limit: int) -> list[dict[int, int]]:
-    """Undominated ways to fill a bin that holds one item of ``size``, least waste first.
+class Budget:
+    """Work that the search may still do."""
 
-    A filling is dominated if an item left out still fits, or fits in place of a smaller one that is in.
+    def __init__(self, work: int):
+        self.left = work
+
+    def spend(self, work: int) -> bool:
+        self.left -= work
+        return self.left >= 0
+
+
+def reachable(sizes: list[int], counts: dict[int, int], room: int) -> list[int]:
+    """For each i the sums up to ``room`` that items of ``sizes[i:]`` make, as bits of an integer."""
+    full = (1 << (room + 1)) - 1
+    sums = [1]
+    for s in reversed(sizes):
+        bits, left, step = sums[-1], min(counts[s], room // s), 1
+        while left:
+            take = min(step, left)
+            bits |= (bits << (take * s)) & full
+            left, step = left - take, step * 2
+        sums.append(bits)
+    return sums[::-1]
+
+
+def fillings(size: int, counts: dict[int, int], capacity: int, most_waste: int, budget: Budget):
+    """All undominated ways to fill a bin that holds one item of ``size``, least waste first, one by one.
+
+    A filling is dominated if an item left out still fits, or fits in place of a smaller one that is in.  Sums
+    that can be reached tell which branches end in a filling, so none is walked in vain.  Ends early when the
+    budget is used up.
     """
-    sizes = [s for s in sorted(counts, reverse=True) if counts[s] and s <= capacity]
+    others = {s: n - (s == size) for s, n in counts.items()}
     room = capacity - size
-    found, steps = [], [0]
+    sizes = [s for s in sorted(others, reverse=True) if others[s] and s <= room]
+    sums = reachable(sizes, others, room)
+    budget.spend(len(sizes))
 
     def undominated(content, free):
-        for s in sizes:
-            if counts[s] - content.get(s, 0) - (s == size) > 0:
-                if s <= free or any(t < s <= t + free for t in content):
-                    return False
-        return True
-
-    def walk(i, content, free):
-        steps[0] += 1
-        if steps[0] > 60 * limit or len(found) >= 4 * limit:
-            return
-        while i < len(sizes) and sizes[i] > free:
-            i += 1
-        if free == 0 or i == len(sizes):
-            if free <= most_waste and undominated(content, free):
-                found.append((free, dict(content)))
-            return
-        s = sizes[i]
-        for n in range(min(counts[s] - (s == size), free // s), -1, -1):
-            if n:
-                content[s] = n
-            walk(i + 1, content, free - n * s)
-            content.pop(s, None)
-
-    walk(0, {}, room)
-    found.sort(key=lambda f: f[0])
-    return [{**c, size: c.get(size, 0) + 1} for _, c in found[:limit]]
+        return not any(
+            others[s] > content.get(s, 0) and (s <= free or any(t < s <= t + free for t in content)) for s in sizes
+        )
+
+    for free in range(min(most_waste, room) + 1):
+        if not sums[0] >> (room - free) & 1:
+            continue
+        walk = [(0, room - free, ())]
+        while walk:
+            i, target, chosen = walk.pop()
+            if not budget.spend(1):
+                return
+            if not target:
+                content = dict(chosen)
+                if free and not budget.spend(len(sizes)):
+                    return
+                if not free or undominated(content, free):
+                    yield {**content, size: content.get(size, 0) + 1}
+                continue
+            while not (sizes[i] <= target and sums[i] >> target & 1):
+                i += 1
+            s = sizes[i]
+            # many of the largest size first: pushed last
+            for n in range(min(others[s], target // s) + 1):
+                if sums[i + 1] >> (target - n * s) & 1:
+                    walk.append((i + 1, target - n * s, (*chosen, (s, n)) if n else chosen))
 
 
 def bound(counts: dict[int, int], capacity: int) -> int:
@@ -117,46 +145,56 @@ def bound(counts: dict[int, int], capacity: int) -> int:
     return int(max(-(-mass[-1] // capacity), need.max()))
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = SEARCH_WORK):
-    """Patterns that hold all items: best fit as incumbent, then bin completion while it can be beaten."""
+def search(counts: dict[int, int], capacity: int = CAPACITY, work: int = SEARCH_WORK):
+    """(patterns that hold all items, proven): best fit as incumbent, then bin completion while it can be beaten.
+
+    ``proven`` says that no packing needs fewer bins: the lower bound is met, or the tree was searched to its
+    end.  Only ``work`` ends the search before that; then the best packing found stands.
+    """
     counts = {s: n for s, n in counts.items() if n}
     incumbent = best_fit(counts, capacity)
     used = sum(t for t, _ in incumbent)
     least, mass = bound(counts, capacity), sum(s * n for s, n in counts.items())
-    spent_work = 0
-
-    def times_of(content, left):
-        return min(left[s] // n for s, n in content.items())
-
-    # depth-first: (items left, patterns so far, bins so far)
-    stack = [(counts, [], 0)]
-    while stack and used > least and spent_work < work:
-        left, done, bins = stack.pop()
-        spent_work += 20 + len(left)
-        if not left:
-            if bins < used:
-                incumbent, used = done, bins
+    budget = Budget(work)
+
+    def branches(left, done, bins, waste):
+        """What is left after each filling of the bin of the largest item, taken as often as it can be, and once."""
+        for content in fillings(max(left), left, capacity, waste, budget):
+            times = min(left[s] // n for s, n in content.items())
+            free = capacity - sum(s * n for s, n in content.items())
+            if free:
+                times = min(times, waste // free)
+            for n in dict.fromkeys((times, 1)):
+                after = {s: c - n * content.get(s, 0) for s, c in left.items()}
+                yield {s: c for s, c in after.items() if c}, done + [(n, content)], bins + n
+
+    # depth-first over what is still to be tried at each level
+    levels = [iter([(counts, [], 0)])]
+    while levels and used > least and budget.left > 0:
+        node = next(levels[-1], None)
+        if node is None:
+            levels.pop()
             continue
-        rest = sum(s * n for s, n in left.items())
+        left, done, bins = node
+        budget.spend(20 + len(left))
         # waste bound: all bins of a better packing together may waste no more than this
-        waste = (used - 1) * capacity - mass
-        spent = bins * capacity - (mass - rest)
-        if spent > waste or bins + bound(left, capacity) >= used:
+        rest = sum(s * n for s, n in left.items())
+        waste = (used - 1 - bins) * capacity - rest
+        if waste < 0 or bins + bound(left, capacity) >= used:
             continue
         closing = best_fit(left, capacity)
         total = bins + sum(t for t, _ in closing)
         if total < used:
             incumbent, used = done + closing, total
-            continue
-        options = fillings(max(left), left, capacity, waste - spent, FILLINGS)
-        for content in reversed(options):
-            times = times_of(content, left)
-            free = capacity - sum(s * n for s, n in content.items())
-            if free:
-                times = min(times, max(1, (waste - spent) // free))
-            after = {s: n - times * content.get(s, 0) for s, n in left.items()}
-            stack.append(({s: n for s, n in after.items() if n}, done + [(times, content)], bins + times))
-    return incumbent
+            waste -= capacity
+        if left and waste >= 0 and bins + bound(left, capacity) < used:
+            levels.append(branches(left, done, bins, waste))
+    return incumbent, used <= least or budget.left > 0
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, work: int = SEARCH_WORK):
+    """The patterns that ``search`` found."""
+    return search(counts, capacity, work)[0]
 
 
 def layout(patterns) -> dict[int, tuple]:
@@ -186,7 +224,10 @@ def place(rows, size: int, ranks: np.ndarray):
 
 
 def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
-    """The items with ``sequence_id`` and ``offset``: as few sequences of ``capacity`` as the search finds.
+    """The items with ``sequence_id``, ``offset`` and ``fewest``: as few sequences of ``capacity`` as the search finds.
+
+    ``fewest`` is true on all rows if it is proven that no packing needs fewer sequences, and false on all if the
+    search ended because its work was used up.
 
     Lengths must lie between 1 and ``capacity``; others, and null lengths, raise.  Equal items may repeat, an
     empty frame stays empty, and other columns are passed through.  Only the histogram of lengths, at most
@@ -202,17 +243,18 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     counts = {r[0]: r[1] for r in numbered.groupBy("__size").count().collect()}
     if any(s is None or not 1 <= s <= capacity for s in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    places = items.sparkSession.sparkContext.broadcast(layout(plan(counts, capacity)))
+    patterns, proven = search(counts, capacity)
+    places = items.sparkSession.sparkContext.broadcast(layout(patterns))
     before = Window.partitionBy("__size").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     base = (
         numbered.groupBy("__task", "__size").agg(F.count("*").alias("n"))
         .withColumn("__base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     )
     ranked = numbered.join(base, ["__task", "__size"]).withColumn("__rank", F.col("__rank") + F.col("__base"))
-    names = [c for c in items.columns if c not in ("sequence_id", "offset")]
+    names = [c for c in items.columns if c not in ("sequence_id", "offset", "fewest")]
     out = ranked.select(*names, "__size", "__rank")
     schema = items.select(*names).schema.add("sequence_id", "long").add("offset", "long")
-    return out.mapInArrow(place_rows(places, len(names)), schema)
+    return out.mapInArrow(place_rows(places, len(names)), schema).withColumn("fewest", F.lit(proven))
 
 
 def rank_in_task(names):

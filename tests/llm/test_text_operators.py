@@ -239,7 +239,8 @@ def test_plans_hold_all_items_and_small_ones_are_best(seed):
     random.seed(seed)
     capacity = random.choice([10, 17, 30])
     counts = Counter(random.randint(1, capacity) for _ in range(random.randint(1, 9)))
-    patterns = packing.plan(dict(counts), capacity)
+    patterns, proven = packing.search(dict(counts), capacity)
+    assert proven
     held = Counter()
     for times, content in patterns:
         assert sum(s * n for s, n in content.items()) <= capacity
@@ -263,6 +264,44 @@ def test_plans_hold_all_items_and_small_ones_are_best(seed):
     assert used == 1 or not fits(items, [capacity] * (used - 1))
 
 
+def test_searches_beat_best_fit_and_say_when_work_is_used_up():
+    # best fit pairs 6 with 4 and leaves the threes; 6+3+1 and 4+4+2 waste nothing
+    counts = {6: 2, 4: 2, 3: 2, 2: 1, 1: 2}
+    assert sum(t for t, _ in packing.search(counts, 10)[0]) == packing.bound(counts, 10) == 3
+    rng = np.random.default_rng(5)
+    counts = Counter(rng.integers(300, 1100, 150).tolist())
+    patterns, proven = packing.search(counts, 2048, work=1)
+    assert not proven and sum(t for t, _ in patterns) == sum(t for t, _ in packing.best_fit(counts, 2048))
+    beaten = 0
+    for seed in range(40):
+        counts = Counter(np.random.default_rng(seed).integers(5, 60, 25).tolist())
+        plain = sum(t for t, _ in packing.best_fit(counts, 100))
+        patterns, proven = packing.search(counts, 100)
+        used = sum(t for t, _ in patterns)
+        beaten += used < plain
+        assert used <= plain and (proven or used > packing.bound(counts, 100))
+    assert beaten
+
+
+def test_all_undominated_fillings_come_least_waste_first():
+    from itertools import product
+
+    counts = {9: 1, 7: 3, 4: 2, 3: 4, 2: 1}
+    got = [tuple(sorted(c.items())) for c in packing.fillings(9, counts, 23, 23, packing.Budget(10**6))]
+    want = []
+    for ns in product(*(range(n + 1) for n in counts.values())):
+        content = {s: n for s, n in zip(counts, ns) if n}
+        free = 23 - sum(s * n for s, n in content.items())
+        if content.get(9) != 1 or free < 0:
+            continue
+        out = [s for s in counts if counts[s] > content.get(s, 0)]
+        if not any(s <= free or any(t != 9 and t < s <= t + free for t in content) for s in out):
+            want.append((free, tuple(sorted(content.items()))))
+    assert sorted(got) == sorted(c for _, c in want) and len(set(got)) == len(got)
+    wastes = [23 - sum(s * n for s, n in c) for c in got]
+    assert wastes == sorted(wastes)
+
+
 def test_pack_keeps_other_columns_and_refuses_wrong_lengths(spark):
     items = spark.createDataFrame([(5, "a", 1), (5, "b", 2), (3, None, 3)], "length int, tag string, offset int")
     out = packing.pack(items, capacity=8).collect()
@@ -390,6 +429,59 @@ def test_syncmers_do_not_depend_on_what_stands_around():
         assert len(syncmers.anchors(window)[0]) == 1
 
 
+def mixed(z):
+    """The 64-bit finaliser, one number at a time."""
+    m = 2**64 - 1
+    z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & m
+    z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & m
+    return z ^ (z >> 31)
+
+
+def plain_anchor_places(text):
+    """Places of the closed syncmers by their definition: each k-mer with all its inner substrings."""
+    step, first, m = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 2**64 - 1
+    inner = []
+    for i in range(len(text) - syncmers.S + 1):
+        z = 0
+        for c in text[i:i + syncmers.S]:
+            z = (z * first + ord(c) * step) & m
+        inner.append(mixed(z))
+    out = []
+    for i in range(len(text) - syncmers.K + 1):
+        window = inner[i:i + syncmers.K - syncmers.S + 1]
+        if min(window) in (window[0], window[-1]):
+            out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_anchors_against_their_definition(seed):
+    text = long_text(300, seed) + "aaaaaaaaaaaaaaaaaaaa \u00e9\U0001f600 end of it"
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    at, hashes = syncmers.anchors(points)
+    assert at.tolist() == plain_anchor_places(text)
+    by_kmer = {}
+    for p, h in zip(at.tolist(), hashes.tolist()):
+        assert by_kmer.setdefault(text[p:p + syncmers.K], h) == h
+    assert len(set(by_kmer.values())) == len(by_kmer)
+
+
+def test_small_edits_of_very_long_texts_show_in_the_fingerprint():
+    import random
+
+    for seed in range(10):
+        random.seed(seed)
+        text = "".join(random.choice("abcdefgh ") for _ in range(100_000))
+        at = random.randrange(99_000)
+        other = text[:at] + "".join(random.choice("stuvwxyz ") for _ in range(300)) + text[at + 300:]
+        mine, theirs = syncmers.sketch(text), syncmers.sketch(other)
+        assert mine != theirs
+        # the share of all anchors that both texts have is what the fingerprints estimate
+        full = [set(syncmers.anchors(np.frombuffer(t.encode("utf-32-le"), np.uint32))[1].tolist()) for t in (text, other)]
+        share = 2 * len(full[0] & full[1]) / (len(full[0]) + len(full[1]))
+        assert abs(syncmers.likeness(mine, theirs) - share) < 0.01 and syncmers.likeness(mine, theirs) < 1.0
+
+
 def test_likeness_bounds():
     a = syncmers.sketch(long_text(500, 1))
     b = syncmers.sketch(long_text(500, 2))
