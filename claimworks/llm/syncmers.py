@@ -6,6 +6,7 @@ import hashlib
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from claimworks.llm.words import MIX1, STEP, mix
 
 K = 12  # code points of a k-mer
 S = 4  # code points of the inner substrings
-SIZE = 192  # anchors kept in a fingerprint: those with the smallest hashes, of the whole text
+SIZE = 192  # anchors kept of a text at least, those with the smallest hashes, or all if it has fewer
+BOUND = 2**64 // 8  # every anchor below this hash is kept as well, so that fingerprints grow with their texts
 EMPTY = "-"
 
 
@@ -59,20 +61,22 @@ def anchors(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(text: str) -> list[tuple[int, int]]:
-    """(hash, position) of the anchors with the smallest hashes; a repeated anchor counts at its first place."""
+    """(hash, position) of the anchors below ``BOUND``, at least the ``SIZE`` smallest ones or all there are.
+
+    A repeated anchor counts at its first place.
+    """
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     at, hashes = anchors(points)
     if not len(at):
         return []
-    if len(hashes) > 4 * SIZE:
-        # enough of the smallest hashes to hold SIZE distinct ones in all but odd texts
-        edge = np.partition(hashes, 4 * SIZE)[4 * SIZE]
-        few = hashes <= edge
-        values, first = np.unique(hashes[few], return_index=True)
-        if len(values) >= SIZE:
-            return list(zip(values[:SIZE].tolist(), at[few][first[:SIZE]].tolist()))
     values, first = np.unique(hashes, return_index=True)
-    return list(zip(values[:SIZE].tolist(), at[first[:SIZE]].tolist()))
+    n = max(SIZE, int(np.searchsorted(values, np.uint64(BOUND))))
+    return list(zip(values[:n].tolist(), at[first[:n]].tolist()))
+
+
+def complete_to(fingerprint: list[tuple[int, int]]) -> int:
+    """The hash below or at which a fingerprint holds every anchor of its text."""
+    return max(fingerprint[-1][0], BOUND - 1) if len(fingerprint) >= SIZE else 2**64
 
 
 def shown(fingerprint: list[tuple[int, int]]) -> str:
@@ -91,7 +95,7 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
         return 1.0
     if not a or not b:
         return 0.0
-    edge = min(x[-1][0] if len(x) >= SIZE else 2**64 for x in (a, b))
+    edge = min(complete_to(a), complete_to(b))
     left, right = {h: p for h, p in a if h <= edge}, {h: p for h, p in b if h <= edge}
     pairs = sorted((p, right[h]) for h, p in left.items() if h in right)
     tails: list[int] = []
@@ -167,14 +171,16 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_
     bounds = rows.agg(
         F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], 10 * parts).alias("b")
     ).first()["b"] or []
-    bounds = sorted(set(bounds))
-    cut = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else None
-    # part 0 holds the largest keys
-    part = F.lit(0)
-    if cut is not None:
-        part = F.size(F.filter(cut, lambda b: b >= F.col("k")))
-    part = F.when(F.col("k").isNull(), F.lit(len(bounds) + 1)).otherwise(part).cast("int")
-    placed = rows.withColumn("p", part)
+    bounds = spark.sparkContext.broadcast(np.array(sorted(set(bounds)), np.int64))  # one number per part
+
+    @F.pandas_udf("int")
+    def part_of(keys: pd.Series) -> pd.Series:
+        """Part 0 holds the largest keys; null keys come after all others."""
+        n = len(bounds.value)
+        known = n - np.searchsorted(bounds.value, keys.fillna(0).astype("int64"), "left")
+        return pd.Series(np.where(keys.isna(), n + 1, known).astype("int32"))
+
+    placed = rows.withColumn("p", part_of("k"))
     heads = [
         (r["p"], r["m"]) for r in placed.groupBy("p").agg(F.max("k").alias("m")).orderBy("p").collect()
     ]  # one row per part
@@ -196,7 +202,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", rows_
         )
         .select(F.col("v.p").alias("p"), "k", F.col("v.g").alias("g"), "t")
     )
-    ordered = visits.repartition(max(width(spark), min(len(heads), 4 * width(spark))), "p").sortWithinPartitions(
+    # tasks grow with the table: about one part each
+    ordered = visits.repartition(max(width(spark), len(heads)), "p").sortWithinPartitions(
         "p", "g", F.col("k").desc_nulls_last(), F.coalesce("t", F.lit(""))
     )
     types = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double"}
