@@ -54,6 +54,15 @@ def tidy(task):
     return run
 
 
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches of this session end at ``size`` bytes as well as at a count of rows.
+
+    Rows differ in length by orders of magnitude, so a count alone does not bound what the JVM and its Python
+    worker hold.  A longer row is a batch of its own.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from claimworks.llm.bpe import WORD, Encoder, Vocabulary, byte_symbols, public_vocabulary, slabs
-from claimworks.llm.common import stored, table, tidy
+from claimworks.llm.common import bounded_batches, stored, table, tidy
 
 CAPACITY = 2048
 SEARCH_WORK = 200_000  # distinct lengths looked at, and steps of the walks, to beat best fit or prove it
@@ -391,6 +391,7 @@ def pieces(
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their places and the checksum of their ids."""
+    bounded_batches(docs.sparkSession)
     found = pieces(docs, vocabulary_path, capacity=capacity)
     # written first, so that a task of the next step does not keep a second Python worker beside the encoder
     rows = stored(found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")

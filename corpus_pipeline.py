@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from claimworks.llm import ngram_join, packing, pii, toxicity
 from claimworks.llm.bpe import public_vocabulary
-from claimworks.llm.common import stored, table
+from claimworks.llm.common import bounded_batches, stored, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
+    bounded_batches(spark)
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of the shingle join."""
+    bounded_batches(spark)
     return ngram_join.one_per_class(docs)
 
 
