@@ -12,24 +12,28 @@ from claimworks.registry.lake import _SILVER_SQL
 from claimworks.registry import records  # noqa: F401  (registers the fhir expression)
 from claimworks.registry.sql_base import cte, with_ctes
 from claimworks.risk import explain, features, score, train, versions
+from claimworks.risk.auc import rank_sum_auc
 from claimworks.session import scratch_dir
 
 AS_OF = "2000-06-30"
+AUC_BAND = 0.78  # what both models must exceed on held-out claims
 
 
 def training(spark, sf):
-    """One training row per order, drawn from the order's key."""
-    orders = star.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return train.training_table(orders)
+    """Every claim's features with the outcome of its adjudication."""
+    claims = star.fhir_claims(star.claims(spark, sf)).withColumnRenamed("order_key", "id")
+    return train.claims_table(claims, star.enrollment(spark, sf), F.col("filed_date"), "id")
 
 
 def _weighted(spark, sf):
-    return train.with_class_weight(training(spark, sf))
+    """The training rows, made once: fit, class counts and evaluation read the same table."""
+    path = scratch_dir(spark, "training")
+    training(spark, sf).write.mode("overwrite").parquet(path)
+    return train.with_class_weight(spark.read.parquet(path))
 
 
-def _fitted(spark, sf, name: str):
-    """The forest (v1) or the boosted trees (v2), fitted on the tables at hand."""
-    fit_on, _ = train.stratified_split(_weighted(spark, sf))
+def _fit(fit_on, name: str):
+    """The forest (v1) or the boosted trees (v2)."""
     pipeline = train.forest() if name == "v1" else train.boosted()
     fit_on.persist()
     try:
@@ -38,6 +42,10 @@ def _fitted(spark, sf, name: str):
         fit_on.unpersist()
 
 
+def _fitted(spark, sf, name: str):
+    return _fit(train.stratified_split(_weighted(spark, sf))[0], name)
+
+
 def claim_inputs(spark, sf):
     """Batch features of every claim, as plain columns."""
     parsed = fhir.with_variant(star.fhir_claims(star.claims(spark, sf)))
@@ -59,16 +67,17 @@ def m3(spark, sf):
     return training(spark, sf)
 
 
+def _held_out_scores(spark, sf, name: str):
+    fit_on, held_out = train.stratified_split(_weighted(spark, sf))
+    return score.probability_of(_fit(fit_on, name), held_out).select("id", "label", "probability")
+
+
 def m4(spark, sf):
-    model = _fitted(spark, sf, "v1")
-    _, held_out = train.stratified_split(_weighted(spark, sf))
-    return score.probability_of(model, held_out).select("id", "label", "probability")
+    return _held_out_scores(spark, sf, "v1")
 
 
 def m5(spark, sf):
-    model = _fitted(spark, sf, "v2")
-    _, held_out = train.stratified_split(_weighted(spark, sf))
-    return score.probability_of(model, held_out).select("id", "label", "probability")
+    return _held_out_scores(spark, sf, "v2")
 
 
 def m6(spark, sf):
@@ -99,9 +108,35 @@ def m7(spark, sf):
 
 
 def m8(spark, sf):
-    _, held_out = train.stratified_split(_weighted(spark, sf))
-    first = train.auc(_fitted(spark, sf, "v1"), held_out)
-    return train.compare_models(spark, first, train.auc(_fitted(spark, sf, "v2"), held_out))
+    fit_on, held_out = train.stratified_split(_weighted(spark, sf))
+    first, second = (train.auc(_fit(fit_on, name), held_out) for name in versions.KNOWN)
+    return train.compare_models(spark, first, second)
+
+
+def m8_check(spark, sf):
+    """Both versions on the held-out claims: rows and positives, whether the stored model behind the pointer
+    answers as the fitted one, whether the rank sum is the evaluator's area, and whether it reaches the band."""
+    fit_on, held_out = train.stratified_split(_weighted(spark, sf))
+    store = versions.ModelStore(spark, scratch_dir(spark, "models"))
+    parts = []
+    for version in versions.KNOWN:
+        model = _fit(fit_on, version)
+        store.save(version, model)
+        store.activate(version)
+        direct = score.probability_of(model, held_out).withColumnRenamed("probability", "direct")
+        both = store.scorer().score(direct).select("label", "direct", "probability")
+        exact = train.evaluator().setRawPredictionCol("direct").setNumBins(0).evaluate(both)
+        same = both.where(~F.col("direct").eqNullSafe(F.col("probability"))).isEmpty()
+        parts.append(
+            rank_sum_auc(both).select(
+                F.lit(version).alias("model_version"),
+                (F.col("positives") + F.col("negatives")).alias("held_out"), "positives",
+                F.lit(same).alias("same_scores"),
+                (F.abs(F.col("auc") - exact) < 1e-9).alias("rank_sum_is_area"),
+                (F.col("auc") > AUC_BAND).alias("in_band"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
 
 
 def m9(spark, sf):
@@ -220,10 +255,9 @@ def m17(spark, sf):
 
 
 def a10(spark, sf):
-    """Area under ROC of the additive formula on the training rows."""
+    """Exact area under ROC of the additive formula against the adjudicated outcomes."""
     scored = score.AdditiveScorer().score(training(spark, sf))
-    value = train.evaluator().setRawPredictionCol("probability").evaluate(scored)
-    return spark.createDataFrame([(round(value, 6),)], "auc double")
+    return rank_sum_auc(scored).select(F.round("auc", 6).alias("auc"))
 
 
 QUERIES = {
@@ -238,6 +272,7 @@ QUERIES = {
     "M6_cross_validation": m6_cv,
     "M7_stratified_split": m7,
     "M8_model_comparison": m8,
+    "M8_model_check": m8_check,
     "M9_class_weights": m9,
     "M10_score": m10,
     "M10_forest_score": m10_forest,
@@ -252,35 +287,18 @@ QUERIES = {
 }
 
 
-def _u(draw: str) -> str:
-    digest = f"md5('42:{draw}:' || CAST(o_orderkey AS VARCHAR))"
-    return f"(CAST(('0x' || substr({digest}, 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
-
-
-cte(
-    "draws",
-    f"""
-    SELECT o_orderkey AS id, 50.0::DOUBLE + {_u('billed')} * 1950.0::DOUBLE AS billed_amount,
-      CASE WHEN {_u('auth')} < 0.3::DOUBLE THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prior_auth,
-      floor({_u('dx')} * 10) + 1 AS diagnosis_code_count,
-      1.0::DOUBLE + {_u('complexity')} * 4.0::DOUBLE AS procedure_complexity,
-      floor({_u('specialty')} * 20) + 1 AS provider_specialty_code,
-      floor({_u('days')} * 181) AS days_since_service, {_u('label')} AS u
-    FROM orders
-    """,
-)
 cte(
     "training",
     """
-    SELECT * EXCLUDE (u), CASE WHEN u <
-      CASE WHEN billed_amount > 800 THEN 0.50::DOUBLE ELSE 0 END
-      + CASE WHEN prior_auth = 0 THEN 0.35::DOUBLE ELSE 0 END
-      + CASE WHEN diagnosis_code_count > 5 THEN 0.10::DOUBLE ELSE 0 END
-      + CASE WHEN days_since_service > 90 THEN 0.05::DOUBLE ELSE 0 END
-      THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
-    FROM draws
+    SELECT order_key AS id, CAST(billed_amount AS DOUBLE) AS billed_amount,
+      CASE WHEN prior_auth_number IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prior_auth,
+      CAST(dx_count AS DOUBLE) AS diagnosis_code_count, 1.0::DOUBLE AS procedure_complexity,
+      11.0::DOUBLE AS provider_specialty_code,
+      CAST(filed_date - service_date AS DOUBLE) AS days_since_service,
+      CASE WHEN denial_reason = '' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label
+    FROM ruled
     """,
-    "draws",
+    "ruled",
 )
 cte(
     "folds",
@@ -387,6 +405,12 @@ SQL = {
           count(*) AS claims FROM folds GROUP BY 1, 2""",
         "folds",
     ),
+    "M8_model_check": with_ctes(
+        """SELECT v AS model_version, count(*) AS held_out, CAST(sum(label) AS BIGINT) AS positives,
+          true AS same_scores, true AS rank_sum_is_area, true AS in_band
+        FROM folds, (VALUES ('v1'), ('v2')) t(v) WHERE fold = 0 GROUP BY v""",
+        "folds",
+    ),
     "M9_class_weights": with_ctes(
         """SELECT label, count(*) AS claims,
           round((SELECT count(*) FROM training) / (2.0::DOUBLE * count(*)), 9) AS weight

@@ -1,4 +1,4 @@
-"""Training table, class weights, folds, the two tree models and their comparison."""
+"""Training tables, class weights, folds, the two tree models and their comparison."""
 
 from __future__ import annotations
 
@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
-from claimworks.risk.features import assembler
+from claimworks.operators import fhir
+from claimworks.operators.adjudicate import denial_reason
+from claimworks.operators.eligibility import check_eligibility
+from claimworks.risk.features import assembler, batch_features
 
 SEED = 42
 
@@ -68,6 +71,35 @@ def synthetic(spark: SparkSession, n: int = 500, seed: int = SEED) -> DataFrame:
     return training_table(spark.range(n), "id", seed)
 
 
+def claims_table(
+    claims: DataFrame, enrollment: DataFrame, as_of: Column, key: str = "claim_id", json: str = "fhir_json"
+) -> DataFrame:
+    """One training row per claim: ``key``, the six features and ``label``, 1 where adjudication denies it.
+
+    Features and what adjudication reads come from one parse of the claim. The first four features are those
+    the batch path scores on; ``days_since_service`` is the time to ``as_of``. A claim that is no JSON object has no
+    features to learn from and is left out.
+    """
+    inputs = {**batch_features(), "days_since_service": None}
+    facts = fhir.adjudication_columns(F.col("_as_of"))
+    rows = (
+        fhir.with_variant(claims.withColumn("_as_of", as_of), json)
+        .where("is_object")
+        .select(
+            F.col(key).alias("_key"), "_as_of",
+            *[c.alias(f"_f_{n}") for n, c in inputs.items() if c is not None],
+            *[c.alias(n) for n, c in facts.items()],
+        )
+        .withColumn("_f_days_since_service", F.datediff("_as_of", "dos").cast("double"))
+    )
+    denied = denial_reason(F.col("_as_of")) != ""
+    return check_eligibility(rows, enrollment).select(
+        F.col("_key").alias(key),
+        *[F.col(f"_f_{n}").alias(n) for n in fv.FEATURES],
+        F.when(denied, 1.0).otherwise(0.0).alias("label"),
+    )
+
+
 # --- weights and folds ---------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
 from claimworks.risk import explain, score, train, trees, versions
+from claimworks.risk.auc import rank_sum_auc
 
 
 @pytest.fixture(scope="module")
@@ -216,3 +217,61 @@ def test_model_comparison(spark):
     row = train.compare_models(spark, 0.81494, 0.80911).first()
     assert (row.v1_auc, row.v2_auc, row.delta) == (0.8149, 0.8091, -0.0058)
     assert train.compare_models(spark, None, 0.8).first().delta is None
+
+
+def pairs_auc(rows):
+    """Share of (positive, negative) pairs in the right order, ties one half."""
+    pos, neg = [s for s, y in rows if y == 1], [s for s, y in rows if y == 0]
+    return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("distinct", [2, 7, 1000])
+@pytest.mark.parametrize("parts", [2, 16])
+def test_rank_sum_auc_is_the_share_of_ordered_pairs(spark, distinct, parts):
+    rows = [(float(i * 7919 % distinct) / distinct - 0.5, float(i * 31 % 101 < 40 + i * 7919 % distinct * 30 / distinct))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "probability double, label double").repartition(5)
+    row = rank_sum_auc(df, parts=parts).first()
+    assert row.auc == pytest.approx(pairs_auc(rows), abs=1e-12)
+    exact = train.evaluator().setRawPredictionCol("probability").setNumBins(0).evaluate(df)
+    assert row.auc == pytest.approx(exact, abs=1e-9)
+    assert (row.positives, row.negatives) == (sum(y == 1 for _, y in rows), sum(y == 0 for _, y in rows))
+
+
+def test_rank_sum_auc_of_odd_rows(spark):
+    rows = [(0.1, 0.0), (0.9, 1.0), (None, 1.0), (float("nan"), 0.0), (0.2, None), (0.3, 2.0),
+            (0.0, 0.0), (-0.0, 1.0), (math.inf, 1.0), (-math.inf, 0.0)]
+    df = spark.createDataFrame(rows, "probability double, label double")
+    kept = [(s, y) for s, y in rows if s is not None and s == s and y in (0, 1)]
+    assert rank_sum_auc(df).first().auc == pytest.approx(pairs_auc(kept), abs=1e-12)
+    assert rank_sum_auc(df.where("label = 1")).first().auc is None
+    empty = rank_sum_auc(df.limit(0)).first()
+    assert (empty.positives, empty.negatives, empty.auc) == (0, 0, None)
+
+
+def test_training_rows_carry_the_adjudicated_outcome(spark):
+    from claimworks.operators import fhir
+
+    claims = [  # id, member, date, cpt, billed, authorization, label
+        ("paid", "M1", "20240101", "99213", 100.0, None, 0.0),
+        ("auth", "M1", "20240101", "99213", 1500.0, None, 1.0),
+        ("with", "M1", "20240101", "99213", 1500.0, "A1", 0.0),
+        ("late", "M1", "20230101", "99213", 100.0, None, 1.0),
+        ("none", "M2", "20240101", "99213", 100.0, None, 1.0),
+    ]
+    rows = spark.createDataFrame(
+        [(i, "1234567893", "", m, d, ["J06.9"] * 2, [c], b, a) for i, m, d, c, b, a, _ in claims],
+        "transaction_id string, billing_npi string, rendering_npi string, patient_member_id string, "
+        "date_of_service string, diagnosis_codes array<string>, procedure_codes array<string>, "
+        "billed_amount double, prior_auth_number string")
+    members = spark.createDataFrame([("M1", "2020-01-01", "2030-01-01", "PPO", "P", "G")],
+        "member_id string, s string, e string, plan_type string, payer_id string, group_number string").selectExpr(
+        "*", "date(s) AS coverage_start", "date(e) AS coverage_end")
+    json = fhir.map_to_fhir(rows, "P").select("claim_id", "fhir_json")
+    broken = spark.createDataFrame([("bad", "no json")], "claim_id string, fhir_json string")
+    got = {r.claim_id: r for r in train.claims_table(
+        json.unionByName(broken), members, F.lit("2024-02-01").cast("date")).collect()}
+    assert {k: r.label for k, r in got.items()} == {c[0]: c[-1] for c in claims}
+    assert got["with"].prior_auth == 1.0 and got["auth"].prior_auth == 0.0
+    assert got["late"].days_since_service == 396.0 and got["paid"].days_since_service == 31.0
+    assert got["paid"].diagnosis_code_count == 2.0 and got["auth"].billed_amount == 1500.0
