@@ -141,6 +141,25 @@ def enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def coverage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three coverage spans per enrolled customer, some with gaps between them, some overlapping."""
+    key, i = F.col("c_custkey"), F.col("i")
+    start = F.date_add(F.lit("1992-01-01").cast("date"), (i * 900 + key % 200).cast("int"))
+    return (
+        table(spark, sf_dir, "customer")
+        .where(key % 20 != 0)
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(2))))
+        .select(
+            _padded("MBR", key).alias("member_id"),
+            start.alias("coverage_start"),
+            F.date_add(start, (500 + key % 7 * 100).cast("int")).alias("coverage_end"),
+            _pick(["PPO", "HMO", "EPO", "POS"], (key + i) % 4).alias("plan_type"),
+            F.lit(PAYER).alias("payer_id"),
+            F.concat(F.lit("GRP"), F.col("c_nationkey").cast("string")).alias("group_number"),
+        )
+    )
+
+
 def adjudication_input(claims_df: DataFrame) -> DataFrame:
     """Claims under the column names adjudication reads."""
     return claims_df.select(

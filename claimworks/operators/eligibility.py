@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimworks.functions.scalars import as_column
@@ -58,5 +58,74 @@ def check_eligibility(
     )
 
 
+def _segments(spans: DataFrame) -> DataFrame:
+    """Disjoint segments of a member's time line, each decided by one span.
+
+    A span decides from its start until the next one of the member starts. Of spans that start on one day the
+    one that ends last counts, then the greater texts. The first segment also stands for the days before.
+    """
+    merged = (
+        spans.where(F.col("member_id").isNotNull() & F.col("coverage_start").isNotNull())
+        .groupBy(F.col("member_id").alias("_member"), F.col("coverage_start").alias("_start"))
+        .agg(
+            F.max(
+                F.struct(
+                    F.coalesce("coverage_end", F.lit("9999-12-31").cast("date")).alias("_end"),
+                    *[
+                        F.coalesce(c, F.lit("")).alias(f"_{c}")
+                        for c in ("plan_type", "payer_id", "group_number")
+                    ],
+                )
+            ).alias("_last")
+        )
+    )
+    line = Window.partitionBy("_member").orderBy("_start")
+    return merged.select(
+        "_member", "_start", "_last.*",
+        F.lead("_start").over(line).alias("_next"),
+        F.lag("_start").over(line).isNull().alias("_first"),
+    )
+
+
+def check_spans(
+    claims: DataFrame, spans: DataFrame, member: str = "member_id", dos: str = "dos"
+) -> DataFrame:
+    """``check_eligibility`` for members with any number of coverage spans: one row per claim stays.
+
+    The span with the latest start not after the day decides, so of overlapping spans the later enrolment
+    counts, also where it ends first. A day before the first span, in a gap, or unknown is not covered. Plan,
+    payer and group are the deciding span's, blank where there is none; a span without an end is open.
+
+    Segments are disjoint, so the join on the member with the day's range gives at most one match and its
+    output never grows beyond the claims; AQE splits the partition of a member that many claims name.
+    """
+    segments = _segments(spans)
+    day = F.coalesce(F.col(dos), F.lit("9999-12-31").cast("date"))
+    matches = (
+        (F.col(member) == F.col("_member"))
+        & (F.col("_first") | (day >= F.col("_start")))
+        & (F.col("_next").isNull() | (day < F.col("_next")))
+    )
+    decided = F.col(dos) >= F.col("_start")
+    active = F.col(dos).between(F.col("_start"), F.col("_end"))
+    reason = (
+        F.when(F.col("_member").isNull(), "member_not_found")
+        .when(active, "active_coverage")
+        .otherwise("coverage_not_active_on_dos")
+    )
+    return (
+        claims.join(segments, matches, "left")
+        .withColumn("eligibility_reason", reason)
+        .withColumn("eligible", F.col("eligibility_reason") == "active_coverage")
+        .withColumns(
+            {
+                c: F.when(decided, F.col(f"_{c}")).otherwise("")
+                for c in ("plan_type", "payer_id", "group_number")
+            }
+        )
+        .drop(*segments.columns)
+    )
+
+
 def today(as_of) -> Column:
     return F.current_date() if as_of is None else as_column(as_of)

@@ -151,14 +151,33 @@ def accepted_values_failures(df: DataFrame, column: str, values: list) -> DataFr
     )
 
 
+def _by_value(df: DataFrame, unique: list[str], bad: dict[str, Column]) -> DataFrame:
+    """Per grouping set and value: ``_set`` (place in ``unique``), ``_known`` (no null), ``_n`` rows, and ``bad``."""
+    counts = [F.count("*").alias("_n"), *[c.alias(name) for name, c in bad.items()]]
+    if len(unique) == 1:
+        grouped = df.groupBy(unique[0]).agg(*counts).withColumn("_set", F.lit(0))
+        return grouped.withColumn("_known", F.col(unique[0]).isNotNull())
+    grouped = df.groupingSets([[F.col(c)] for c in unique], *unique).agg(
+        F.grouping_id().alias("_id"), *counts
+    )
+    # The bit of a grouped column is 0, the first column has the highest.
+    full = 2 ** len(unique) - 1
+    place, known = F.lit(None).cast("int"), F.lit(None).cast("boolean")
+    for i, column in enumerate(unique):
+        mine = F.col("_id") == full - 2 ** (len(unique) - 1 - i)
+        place = F.when(mine, i).otherwise(place)
+        known = F.when(mine, F.col(column).isNotNull()).otherwise(known)
+    return grouped.withColumns({"_set": place, "_known": known})
+
+
 def run_model_tests(
     models: dict[str, DataFrame], tests=None, kinds: list[str] | None = None
 ) -> DataFrame:
     """One row per test: ``model, column_name, test, failures, passed``; ``kinds`` selects
     tests before anything is planned.
 
-    The null and accepted-value tests of a model share one aggregate; uniqueness needs
-    its own grouping.
+    A model is read once and shuffled once: its unique columns are grouping sets of one aggregate, in whose groups
+    the null and accepted-value tests are counted as well. Values are counted per task before they move.
     """
     by_model: dict[str, list] = {}
     for model, column, kind, values in tests or MART_TESTS:
@@ -166,30 +185,31 @@ def run_model_tests(
             by_model.setdefault(model, []).append((column, kind, values))
     parts = []
     for model, wanted in by_model.items():
-        df, simple = models[model], []
-        for column, kind, values in wanted:
+        unique = list(dict.fromkeys(c for c, kind, _ in wanted if kind == "unique"))
+        bad = {
+            f"_t{i}": F.count_if(
+                F.col(column).isNull() if kind == "not_null" else ~F.col(column).isin(values)
+            )
+            for i, (column, kind, values) in enumerate(wanted) if kind != "unique"
+        }
+        groups = _by_value(models[model], unique, bad) if unique else models[model]
+        failures = []
+        for i, (column, kind, _) in enumerate(wanted):
             if kind == "unique":
-                parts.append(
-                    unique_failures(df, column)
-                    .agg(F.count("*").alias("failures"))
-                    .select(
-                        F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                        F.lit(kind).alias("test"), "failures",
-                    )
-                )
-                continue
-            bad = F.col(column).isNull() if kind == "not_null" else ~F.col(column).isin(values)
-            simple.append((column, kind, F.count_if(bad)))
-        if simple:
-            totals = df.agg(*[c.alias(f"_t{i}") for i, (_, _, c) in enumerate(simple)])
-            rows = F.array(*[
-                F.struct(
-                    F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                    F.lit(kind).alias("test"), F.col(f"_t{i}").alias("failures"),
-                )
-                for i, (column, kind, _) in enumerate(simple)
-            ])
-            parts.append(totals.select(F.explode(rows).alias("r")).select("r.*"))
+                test = F.count_if((F.col("_set") == unique.index(column)) & F.col("_known") & (F.col("_n") > 1))
+            elif unique:  # every set holds all rows; the first one is counted
+                test = F.coalesce(F.sum(F.when(F.col("_set") == 0, F.col(f"_t{i}"))), F.lit(0))
+            else:
+                test = bad[f"_t{i}"]
+            failures.append(test.alias(f"_t{i}"))
+        rows = F.array(*[
+            F.struct(
+                F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+                F.lit(kind).alias("test"), F.col(f"_t{i}").alias("failures"),
+            )
+            for i, (column, kind, _) in enumerate(wanted)
+        ])
+        parts.append(groups.agg(*failures).select(F.explode(rows).alias("r")).select("r.*"))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("passed", F.col("failures") == 0)
 

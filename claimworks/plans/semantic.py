@@ -91,3 +91,53 @@ def metric_select(
     if limit is not None:
         out = out.limit(limit)
     return out.select(*names)
+
+
+# --- re-aggregation -----------------------------------------------------------------
+
+# What is kept per group: sums and counts, which add up to the same of any coarser group.
+STATES = {
+    "n": "count(*)",
+    "claims": "count(claim_id)",
+    "denied": "sum(is_denied)",
+    "billed": "sum(billed_amount)",
+    "paid": "sum(paid_amount)",
+    "scored": "count(denial_risk_score)",
+    "risk": "sum(denial_risk_score)",
+}
+# A measure is an expression over states, taken after they are added up.
+MEASURES = {
+    "claim_count": "claims",
+    "denied_claims": "denied",
+    "total_billed": "billed",
+    "total_paid": "paid",
+    "denial_rate": "round(cast(denied as double) * 100 / nullif(cast(n as double), 0), 2)",
+    "collection_rate_pct": "round(cast(paid as double) * 100 / nullif(cast(billed as double), 0), 2)",
+    "avg_denial_risk": "round(cast(risk as double) / nullif(scored, 0), 2)",
+}
+GRAINS = ("month", "quarter", "year")
+
+
+def measure_states(claims: DataFrame, by: list[str]) -> DataFrame:
+    """``by`` and the states of its groups, from one row per adjudicated claim."""
+    return claims.groupBy(*by).agg(*[F.expr(e).alias(name) for name, e in STATES.items()])
+
+
+def regroup(
+    states: DataFrame, measures: list[str], by: list[str] | None = None, grain: str | None = None,
+    month: str = "claim_month",
+) -> DataFrame:
+    """Measures at any grain coarser than the states'; claims are not read again.
+
+    ``grain`` adds ``period``, the first day of the month, quarter or year of ``month``. A ratio is that of the sums, not
+    a mean of ratios; it is null over nothing. Counts of distinct values do not add up and are no measures here.
+    """
+    unknown = [m for m in measures if m not in MEASURES]
+    if unknown or grain not in (None, *GRAINS):
+        raise KeyError(f"unknown measure or grain: {unknown or grain}")
+    keys = [F.col(c) for c in by or []]
+    if grain:
+        keys.append(F.trunc(month, grain).alias("period"))
+    added = states.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in STATES])
+    names = [*(by or []), *(["period"] if grain else [])]
+    return added.select(*names, *[F.expr(MEASURES[m]).alias(m) for m in measures])

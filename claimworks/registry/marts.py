@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimworks.fixtures import star
 from claimworks.functions.scalars import safe_divide
+from claimworks.operators.numbering import numbered
 from claimworks.plans import gold, marts, semantic
 from claimworks.registry.sql_base import MONEY, PCT, with_ctes
 from claimworks.session import scratch_dir
@@ -87,9 +88,10 @@ def a7(spark, sf):
 
 def r1(spark, sf):
     """Multi-key sort with mixed direction; the position proves the order."""
-    return marts.denial_rates(adjudication(spark, sf)).select(
+    ordered = marts.denial_rates(adjudication(spark, sf)).select(
         "claim_month", "denial_rate_pct", "billing_npi", "total_claims"
     )
+    return numbered(ordered)
 
 
 def r2(spark, sf):
@@ -100,11 +102,13 @@ def r2(spark, sf):
 
 
 def r3(spark, sf):
-    return marts.review_worklist(marts.denial_explanations(adjudication(spark, sf)))
+    """The worklist with each claim's place in it."""
+    return numbered(marts.review_worklist(marts.denial_explanations(adjudication(spark, sf))))
 
 
 def r4(spark, sf):
-    out = marts.revenue_by_month(marts.revenue_summary(adjudication(spark, sf)))
+    """Months with their place, latest first."""
+    out = numbered(marts.revenue_by_month(marts.revenue_summary(adjudication(spark, sf))))
     return _money(out, "total_billed", "total_paid")
 
 
@@ -156,6 +160,21 @@ def q1(spark, sf):
     return _money(out, "total_billed", "total_paid")
 
 
+def q1_regrouped(spark, sf):
+    """Measures of providers by quarter and of all claims by year, both from one table of monthly states."""
+    states = semantic.measure_states(adjudication(spark, sf), ["billing_npi", "claim_month"])
+    path = scratch_dir(spark, "states")
+    states.write.mode("overwrite").parquet(path)
+    states = spark.read.parquet(path)
+    names = ["claim_count", "denial_rate", "total_billed", "total_paid", "collection_rate_pct", "avg_denial_risk"]
+    by_quarter = semantic.regroup(states, names, ["billing_npi"], "quarter")
+    by_year = semantic.regroup(states, names, grain="year").withColumn("billing_npi", F.lit(None).cast("string"))
+    both = by_quarter.withColumn("grain", F.lit("quarter")).unionByName(
+        by_year.withColumn("grain", F.lit("year"))
+    )
+    return _money(both, "total_billed", "total_paid")
+
+
 QUERIES = {
     "A1_provider_summary": a1,
     "A2_denial_summary": a2,
@@ -171,6 +190,7 @@ QUERIES = {
     "F10_billed_tier": f10,
     "J1_claim_adjudication_join": j1,
     "Q1_metric_select": q1,
+    "Q1_regrouped_metrics": q1_regrouped,
     "R1_multi_key_sort": r1,
     "R2_top_denial_providers": r2,
     "R3_review_worklist": r3,
@@ -185,6 +205,12 @@ _GOLD = f"""count(claim_id) AS claim_count, {MONEY.format(x='sum(billed_amount)'
   count(prior_auth_number) AS prior_auth_count,
   round(CAST(count(prior_auth_number) AS DOUBLE) / count(claim_id), 2) AS denial_rate"""
 _REVENUE = with_ctes("SELECT * FROM revenue", "revenue")
+_REGROUPED = f"""count(claim_id) AS claim_count,
+  {PCT.format(n='sum(is_denied)', d='count(*)')} AS denial_rate,
+  {MONEY.format(x='sum(billed_amount)')} AS total_billed,
+  {MONEY.format(x='sum(paid_amount)')} AS total_paid,
+  {PCT.format(n='sum(paid_amount)', d='sum(billed_amount)')} AS collection_rate_pct,
+  round(avg(denial_risk_score), 2) AS avg_denial_risk"""
 _DENIAL_SUMMARY = with_ctes(
     f"SELECT primary_diagnosis_code, {_GOLD} FROM claims GROUP BY primary_diagnosis_code", "claims"
 )
@@ -255,14 +281,23 @@ SQL = {
           {MONEY.format(x='cas_amount')} AS cas_amount) FROM int_adj""",
         "int_adj",
     ),
+    "Q1_regrouped_metrics": with_ctes(
+        f"""SELECT 'quarter' AS grain, billing_npi,
+          CAST(date_trunc('quarter', claim_month) AS DATE) AS period, {_REGROUPED}
+        FROM int_adj GROUP BY billing_npi, period
+        UNION ALL SELECT 'year', NULL, CAST(date_trunc('year', claim_month) AS DATE) AS period, {_REGROUPED}
+        FROM int_adj GROUP BY period""",
+        "int_adj",
+    ),
     "Q1_metric_select": with_ctes(
         """SELECT billing_npi AS provider_npi, claim_count, denial_rate, total_billed, total_paid
         FROM by_provider WHERE claim_count > 1""",
         "by_provider",
     ),
     "R1_multi_key_sort": with_ctes(
-        """SELECT claim_month, denial_rate_pct, billing_npi, total_claims FROM rates
-        ORDER BY claim_month DESC, denial_rate_pct DESC, billing_npi""",
+        """SELECT claim_month, denial_rate_pct, billing_npi, total_claims, row_number() OVER (
+          ORDER BY claim_month DESC, denial_rate_pct DESC, billing_npi NULLS FIRST) AS position
+        FROM rates""",
         "rates",
     ),
     "R2_top_denial_providers": with_ctes(
@@ -273,14 +308,14 @@ SQL = {
     "R3_review_worklist": with_ctes(
         """SELECT claim_id, billing_npi, denial_risk_score,
           CAST(NULL AS VARCHAR) AS cortex_provider_explanation,
-          CAST(NULL AS VARCHAR) AS recommended_action
-        FROM int_adj WHERE human_review_required AND denial_risk_score >= 70
-        ORDER BY denial_risk_score DESC, claim_id""",
+          CAST(NULL AS VARCHAR) AS recommended_action,
+          row_number() OVER (ORDER BY denial_risk_score DESC, claim_id) AS position
+        FROM int_adj WHERE human_review_required AND denial_risk_score >= 70""",
         "int_adj",
     ),
     "R4_revenue_by_month": with_ctes(
-        """SELECT claim_month, total_billed, total_paid, collection_rate_pct, claim_count
-        FROM revenue ORDER BY claim_month DESC""",
+        """SELECT claim_month, total_billed, total_paid, collection_rate_pct, claim_count,
+          row_number() OVER (ORDER BY claim_month DESC) AS position FROM revenue""",
         "revenue",
     ),
     "R5_distinct": with_ctes(

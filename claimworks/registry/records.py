@@ -11,6 +11,7 @@ from claimworks.operators import adjudicate as adj
 from claimworks.operators import fhir, remit, validate
 from claimworks.plans import lake
 from claimworks.registry.sql_base import REMIT_COLUMNS, cte, with_ctes
+from claimworks.session import scratch_dir
 
 
 def f1(spark, sf):
@@ -120,6 +121,17 @@ def s15(spark, sf):
     )
 
 
+def s15_interchanges(spark, sf):
+    """Interchanges of seven claims, written as files, read back and cut at their first segment."""
+    stamp = F.to_timestamp(F.lit("2026-04-12 09:00:00"))
+    parties = remit.Parties(payer_id=star.PAYER, submitter_id="SUB0001")
+    path = scratch_dir(spark, "remittance")
+    remit.write_835(star.adjudicated(spark, sf), path, stamp, parties, per_file=7, first=101)
+    texts = spark.read.option("lineSep", "ISA*00*").text(path).where("value <> ''")
+    control = F.regexp_extract("value", r"IEA\*1\*(\d+)~", 1)
+    return texts.select(control.alias("control"), F.rtrim(F.col("value"), F.lit("\n")).alias("edi"))
+
+
 def p11(spark, sf):
     code = F.concat_ws("-", F.lit("PLN"), "c_mktsegment", star._pick(
         ["ppo", "HMO", "xEPOx", "POS", "ABC"], F.col("c_custkey") % 5))
@@ -162,6 +174,7 @@ QUERIES = {
     "P12_edi_date": p12,
     "P13_iso_date": p13,
     "S15_remittance_835": s15,
+    "S15_interchanges": s15_interchanges,
     "V1_npi_check": v1,
     "V2_claim_validation": v2,
     "V3_missing_fields": v3,
@@ -356,6 +369,32 @@ SQL = {
         FROM adjudicated""",
         "adjudicated",
     ),
+    "S15_interchanges": with_ctes(
+        """SELECT control,
+          '          *00*          *30*PYR0001        *30*SUB0001        *260412*0900*^*00501*' || control
+          || '*0*P*:~' || chr(10) || 'GS*HP*PYR0001*SUB0001*20260412*0900*' || control
+          || '*X*005010X221A1~' || chr(10) || string_agg(
+            'ST*835*' || st || '~' || chr(10)
+            || 'BPR*I*' || CAST(paid_amount AS VARCHAR) || '*C*CHK*01*000000000*DA*000000000*1*'
+            || 'PYR0001*01*000000000*DA*000000000*20260412~' || chr(10)
+            || 'TRN*1*' || control || st || '*PYR0001~' || chr(10)
+            || 'CLP*' || claim_id || '*' || CASE WHEN status = 'paid' THEN '1' ELSE '4' END || '*'
+            || CAST(billed_amount AS VARCHAR) || '*' || CAST(paid_amount AS VARCHAR)
+            || '**PYR0001*HC*' || claim_id || '*11~' || chr(10)
+            || 'NM1*QC*1*UNKNOWN*UNKNOWN****MI*' || member_id || '~' || chr(10)
+            || CASE WHEN cas_amount > 0 THEN 'CAS*' || split_part(cas_code, '-', 1) || '*'
+              || split_part(cas_code, '-', 2) || '*' || CAST(cas_amount AS VARCHAR) || '~' || chr(10)
+              ELSE '' END
+            || 'SVC*HC:' || procedure_code || '*' || CAST(allowed AS VARCHAR) || '*0~' || chr(10)
+            || 'SE*' || CASE WHEN cas_amount > 0 THEN '8' ELSE '7' END || '*' || st || '~' || chr(10),
+            '' ORDER BY claim_id)
+          || 'GE*' || CAST(count(*) AS VARCHAR) || '*' || control || '~' || chr(10)
+          || 'IEA*1*' || control || '~' AS edi
+        FROM (SELECT *, printf('%09d', (n // 7) + 101) AS control, printf('%04d', n % 7 + 1) AS st
+          FROM (SELECT *, row_number() OVER (ORDER BY claim_id) - 1 AS n FROM adjudicated))
+        GROUP BY control""",
+        "adjudicated",
+    ),
     "P11_plan_type": """SELECT c_custkey,
         CASE c_custkey % 5 WHEN 0 THEN 'PPO' WHEN 1 THEN 'HMO' WHEN 2 THEN 'EPO' WHEN 3 THEN 'POS'
           ELSE 'PLN-' || c_mktsegment || '-ABC' END AS plan_type,

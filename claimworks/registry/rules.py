@@ -40,6 +40,16 @@ def j3(spark, sf):
     )
 
 
+def j3_spans(spark, sf):
+    """Coverage in several spans; every third claim names one and the same member."""
+    hot = F.when(F.col("order_key") % 3 == 0, "MBR00000001").otherwise(F.col("member_id"))
+    claims = star.adjudication_input(star.claims(spark, sf)).withColumn("member_id", hot)
+    return eligibility.check_spans(claims, star.coverage_spans(spark, sf)).select(
+        "claim_id", "member_id", "dos", "eligible", "eligibility_reason", "plan_type",
+        "payer_id", "group_number",
+    )
+
+
 def j4(spark, sf):
     """Fee lookup of whole claims, each with the codes of all its order lines."""
     claims = rollup.roll_up_lines(_lines(spark, sf))
@@ -125,6 +135,7 @@ QUERIES = {
     "B5_route_topic": b5,
     "J2_orphan_anti_join": j2,
     "J3_eligibility": j3,
+    "J3_coverage_spans": j3_spans,
     "J4_fee_lookup": j4,
     "J4_fee_literal": j4_literal,
     "J5_code_sets": j5,
@@ -181,6 +192,33 @@ SQL = {
           payer_id, group_number FROM elig""",
         "elig",
     ),
+    "J3_coverage_spans": """
+        WITH spans AS (
+          SELECT 'MBR' || printf('%08d', c_custkey) AS member_id,
+            DATE '1992-01-01' + CAST(i * 900 + c_custkey % 200 AS INT) AS coverage_start,
+            DATE '1992-01-01' + CAST(i * 900 + c_custkey % 200 + 500 + c_custkey % 7 * 100 AS INT)
+              AS coverage_end,
+            ['PPO','HMO','EPO','POS'][(c_custkey + i) % 4 + 1] AS plan_type,
+            'GRP' || CAST(c_nationkey AS VARCHAR) AS group_number
+          FROM customer, range(3) AS r(i) WHERE c_custkey % 20 <> 0),
+        visits AS (
+          SELECT 'CLM-' || printf('%08d', o_orderkey) AS claim_id,
+            CASE WHEN o_orderkey % 3 = 0 THEN 'MBR00000001'
+              ELSE 'MBR' || printf('%08d', o_custkey) END AS member_id,
+            CAST(o_orderdate AS DATE) AS dos
+          FROM orders),
+        picked AS (
+          SELECT claim_id, arg_max(s, s.coverage_start) AS s FROM visits v JOIN spans s
+            ON v.member_id = s.member_id AND s.coverage_start <= v.dos GROUP BY claim_id)
+        SELECT v.claim_id, v.member_id, v.dos,
+          coalesce(v.dos <= s.coverage_end, false) AS eligible,
+          CASE WHEN v.member_id NOT IN (SELECT member_id FROM spans) THEN 'member_not_found'
+            WHEN v.dos <= s.coverage_end THEN 'active_coverage'
+            ELSE 'coverage_not_active_on_dos' END AS eligibility_reason,
+          coalesce(s.plan_type, '') AS plan_type,
+          CASE WHEN s IS NULL THEN '' ELSE 'PYR0001' END AS payer_id,
+          coalesce(s.group_number, '') AS group_number
+        FROM visits v LEFT JOIN picked p ON v.claim_id = p.claim_id""",
     "J4_fee_lookup": with_ctes(
         f"""SELECT claim_id, string_agg(cpt || '=' || CAST({_ALLOWED} AS VARCHAR), '|'
             ORDER BY ord, cpt) AS priced,

@@ -3,6 +3,7 @@
 import copy
 import datetime
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -314,3 +315,64 @@ def test_a_schedule_that_is_a_table_prices_like_a_constant_one(spark, tmp_path):
         )
 
     assert shown(adj.read_fee_schedule(spark, str(file))) == shown(fees)
+
+
+SPANS = [  # member, start, end, plan
+    ("M1", "2024-01-01", "2024-03-31", "A"), ("M1", "2024-06-01", "2024-12-31", "B"),
+    ("M1", "2024-10-01", "2024-10-31", "C"), ("M1", "2024-06-01", "2024-07-31", "Z"),
+    ("M2", "2024-01-01", None, "D"), ("M2", "2024-01-01", None, "D"), (None, "2024-01-01", "2024-12-31", "N"),
+    ("M3", None, "2024-12-31", "E"),
+]
+
+
+@pytest.mark.parametrize(
+    "member,day,reason,plan",
+    [
+        ("M1", "2023-12-31", "coverage_not_active_on_dos", ""),
+        ("M1", "2024-01-01", "active_coverage", "A"),
+        ("M1", "2024-04-15", "coverage_not_active_on_dos", "A"),  # gap
+        ("M1", "2024-08-15", "active_coverage", "B"),  # of two starts on one day the longer counts
+        ("M1", "2024-10-31", "active_coverage", "C"),
+        ("M1", "2024-11-15", "coverage_not_active_on_dos", "C"),  # the later enrolment ended first
+        ("M1", None, "coverage_not_active_on_dos", ""),
+        ("M2", "2099-01-01", "active_coverage", "D"),  # open end, given twice
+        ("M3", "2024-05-01", "member_not_found", ""),
+        (None, "2024-05-01", "member_not_found", ""),
+    ],
+)
+def test_coverage_spans(spark, member, day, reason, plan):
+    from claimworks.operators.eligibility import check_spans
+
+    spans = spark.createDataFrame(
+        [(*s, "P", "G") for s in SPANS],
+        "member_id string, s string, e string, plan_type string, payer_id string, group_number string",
+    ).selectExpr("member_id", "date(s) coverage_start", "date(e) coverage_end", "plan_type", "payer_id", "group_number")
+    claims = spark.createDataFrame([("c", member, day)] * 3, "claim_id string, member_id string, d string").selectExpr(
+        "claim_id", "member_id", "date(d) dos")
+    rows = check_spans(claims, spans).collect()
+    assert len(rows) == 3 and {(r.eligibility_reason, r.plan_type) for r in rows} == {(reason, plan)}
+    assert check_spans(claims, spans.limit(0)).where("eligibility_reason = 'member_not_found'").count() == 3
+
+
+def test_interchanges_number_claims_without_gaps(spark, tmp_path):
+    ddl = ("claim_id string, member_id string, status string, billed_amount decimal(12,2), paid_amount decimal(12,2), "
+           "cas_amount decimal(12,2), cas_code string, procedures array<struct<cpt:string,allowed:decimal(12,2)>>")
+    rows = [(f"C{i:03d}", "M", "paid", 10, 10, 0, "CO-45", [("99213", 10)]) for i in range(25)]
+    claims = spark.createDataFrame([(a, b, c, *map(Decimal, (d, e, f)), g, [(h[0][0], Decimal(h[0][1]))])
+                                    for a, b, c, d, e, f, g, h in rows], ddl).repartition(6)
+    got = remit.interchanges(claims, per_file=10, first=999_999_999).collect()
+    assert {(r.control, r.transactions) for r in got} == {("999999999", 10), ("000000000", 10), ("000000001", 5)}
+    for r in got:
+        segments = [s.rstrip("~").split("*") for s in r.edi.split("\n")]
+        assert segments[0][13] == r.control and segments[-2][1] == str(r.transactions)
+        numbers = [s[2] for s in segments if s[0] == "ST"]
+        assert numbers == [f"{i + 1:04d}" for i in range(r.transactions)] == [s[2] for s in segments if s[0] == "SE"]
+        starts = [i for i, s in enumerate(segments) if s[0] == "ST"]
+        ends = [i for i, s in enumerate(segments) if s[0] == "SE"]
+        assert all(int(segments[e][1]) == e - s + 1 for s, e in zip(starts, ends))
+        traces = [s[2] for s in segments if s[0] == "TRN"]
+        assert traces == [r.control + n for n in numbers]
+    order = sorted(got, key=lambda r: (r.control != "999999999", r.control))
+    claimed = [s.split("*")[1] for r in order for s in r.edi.split("\n") if s.startswith("CLP")]
+    assert claimed == [f"C{i:03d}" for i in range(25)]
+    assert remit.interchanges(claims.limit(0)).count() == 0

@@ -194,3 +194,56 @@ def test_metric_select(spark):
         semantic.metric_select({"CLAIMS_BY_PROVIDER": base}, "CLAIMS_BY_PROVIDER", ["zz"])
     with pytest.raises(ValueError):
         semantic.metric_select({"CLAIMS_BY_PROVIDER": base}, "CLAIMS_BY_PROVIDER")
+
+
+def test_uniqueness_of_several_columns_takes_one_scan_and_one_shuffle_of_rows(spark, tmp_path):
+    rows = [("a", 1, "x"), ("a", 2, None), (None, 2, "x"), (None, None, "y"), ("b", 3, "z")]
+    spark.createDataFrame(rows, "c string, n int, s string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    tests = [("m", "c", "unique", None), ("m", "n", "unique", None), ("m", "s", "unique", None),
+             ("m", "c", "not_null", None), ("m", "n", "not_null", None), ("m", "s", "accepted_values", ["x", "y"])]
+    out = quality.run_model_tests({"m": df}, tests)
+    got = {(r.column_name, r.test): r.failures for r in out.collect()}
+    assert got == {("c", "unique"): 1, ("n", "unique"): 1, ("s", "unique"): 1, ("c", "not_null"): 2,
+                   ("n", "not_null"): 1, ("s", "accepted_values"): 1}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+    executed = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert executed.count("Exchange hashpartitioning") == 1 and executed.count("Exchange SinglePartition") == 1
+    empty = quality.run_model_tests({"m": df.limit(0)}, tests)
+    assert {r.failures for r in empty.collect()} == {0}
+
+
+def test_numbers_have_no_gaps(spark):
+    from claimworks.operators.numbering import numbered
+
+    keys = [i * 7919 % 1000 for i in range(1000)]
+    df = spark.createDataFrame([(k, "p") for k in keys], "k int, position_of string").repartition(7)
+    got = {r.k: r.place for r in numbered(df.orderBy(F.col("k").desc()), "place", 5).collect()}
+    assert got == {k: 1004 - k for k in range(1000)}
+    assert numbered(df.limit(0).orderBy("k")).count() == 0
+
+
+def test_states_regroup_to_what_claims_give(spark):
+    import datetime
+
+    day = datetime.date
+    rows = [("c1", "p", day(2024, 1, 1), 1, 10, 0, 80), ("c2", "p", day(2024, 2, 1), 0, 30, 15, 20),
+            ("c3", "q", day(2024, 2, 1), 0, 0, 0, None), (None, "q", day(2024, 5, 1), 1, 5, 0, 60)]
+    claims = spark.createDataFrame(
+        rows, "claim_id string, billing_npi string, claim_month date, is_denied int, "
+        "billed_amount int, paid_amount int, denial_risk_score int").withColumns(
+        {c: F.col(c).cast("decimal(12,2)") for c in ("billed_amount", "paid_amount")})
+    states = semantic.measure_states(claims, ["billing_npi", "claim_month"])
+    names = ["claim_count", "denial_rate", "collection_rate_pct", "avg_denial_risk"]
+    whole = semantic.regroup(states, names).first()
+    assert tuple(whole) == (3, 50.0, 33.33, 53.33)  # ratios of sums, not means of ratios
+    quarters = {tuple(r)[:2]: tuple(r)[2:] for r in
+                semantic.regroup(states, names, ["billing_npi"], "quarter").collect()}
+    assert quarters[("p", day(2024, 1, 1))] == (2, 50.0, 37.5, 50.0)
+    assert quarters[("q", day(2024, 1, 1))] == (1, 0.0, None, None)
+    assert quarters[("q", day(2024, 4, 1))] == (0, 100.0, 0.0, 60.0)
+    with pytest.raises(KeyError):
+        semantic.regroup(states, ["unique_patients"])
+    with pytest.raises(KeyError):
+        semantic.regroup(states, names, grain="week")
