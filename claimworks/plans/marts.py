@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
 from claimworks.functions.scalars import percent, score_tier
+from claimworks.sources import catalog
 
 MONEY = "decimal(10,2)"
 
@@ -288,9 +289,13 @@ def materialize(
     silver: DataFrame,
     remittance: DataFrame,
     location: str,
+    schema: str | None = None,
 ) -> dict[str, DataFrame]:
     """Staging as temp views, everything else as Parquet tables below ``location``.
 
+    With ``schema`` (see ``schema_name``) the tables are also tables of that schema in the catalog, external ones,
+    so that a dropped schema leaves the files; a second run replaces them.
+
     The adjudication join is written once and the four marts read that table, so the
     join runs once and not per mart.
     """
@@ -300,9 +305,14 @@ def materialize(
         models[name].createOrReplaceTempView(name)
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{location}/{name}")
-        models[name] = spark.read.parquet(f"{location}/{name}")
-        models[name].createOrReplaceTempView(name)
+        if schema is None:
+            df.write.mode("overwrite").parquet(f"{location}/{name}")
+            models[name] = spark.read.parquet(f"{location}/{name}")
+            models[name].createOrReplaceTempView(name)
+        else:
+            full = catalog.quoted(catalog.ensure_schema(spark, schema), name)
+            df.write.mode("overwrite").option("path", f"{location}/{name}").format("parquet").saveAsTable(full)
+            models[name] = spark.table(full)
         return models[name]
 
     adjudication = write("int_claim_adjudication", int_claim_adjudication(staged, paid))

@@ -11,7 +11,7 @@ from claimworks.plans import lake
 from claimworks.registry import records  # noqa: F401  (registers the fhir expression)
 from claimworks.registry.sql_base import cte, with_ctes
 from claimworks.session import scratch_dir
-from claimworks.sources import fhir_files, tables
+from claimworks.sources import catalog, fhir_files, tables
 from claimworks.streaming import jobs
 
 
@@ -129,18 +129,37 @@ def s12(spark, sf):
     )
 
 
-def s13(spark, sf):
-    """A view over files, read before and after more files arrive and it is refreshed."""
-    path, view = scratch_dir(spark, "refreshed"), "remittance_files"
+def s12_remittance(spark, sf):
+    """Remittance whose files hold texts only, read under the types of its table."""
+    path = scratch_dir(spark, "typed")
     rows = star.remittance(spark, sf)
-    rows.where("status = 'paid'").write.mode("overwrite").parquet(path)
-    spark.read.parquet(path).createOrReplaceTempView(view)
-    before = spark.table(view).count()
-    rows.where("status <> 'paid'").write.mode("append").parquet(path)
-    tables.refresh(spark, view)
-    return spark.table(view).groupBy("status").agg(F.count("*").alias("claims")).withColumn(
-        "before", F.lit(before).cast("long")
-    )
+    rows.select(*[F.col(c).cast("string") for c in rows.columns]).write.mode("overwrite").parquet(path)
+    return tables.typed_table(spark, path, schemas.REMITTANCE_TYPED).select(*rows.columns)
+
+
+def s13(spark, sf):
+    """External tables, plain and partitioned, read after more files have come: ``before`` and ``unrefreshed`` count
+    what the table held and still shows before the refresh, ``claims`` what it shows after."""
+    rows = star.remittance(spark, sf).select("claim_id", "status")
+    parts = []
+    for kind, by in (("plain", ()), ("partitioned", ("status",))):
+        path = scratch_dir(spark, "refreshed")
+        rows.where("status = 'paid'").write.mode("overwrite").partitionBy(*by).parquet(path)
+        name = catalog.external_table(
+            spark, "remittance_" + path[-12:], "files", path, "claim_id STRING, status STRING", by
+        )
+        catalog.refresh_table(spark, name)
+        before = spark.table(name).count()
+        rows.where("status <> 'paid'").write.mode("append").partitionBy(*by).parquet(path)
+        unrefreshed = spark.table(name).count()
+        catalog.refresh_table(spark, name)
+        parts.append(
+            spark.table(name).groupBy("status").agg(F.count("*").alias("claims")).select(
+                F.lit(kind).alias("kind"), "status", "claims",
+                F.lit(before).cast("long").alias("before"), F.lit(unrefreshed).cast("long").alias("unrefreshed"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
 
 
 QUERIES = {
@@ -150,6 +169,7 @@ QUERIES = {
     "S8_keyed_upsert": s8,
     "S10_cluster": s10,
     "S12_typed_table": s12,
+    "S12_typed_remittance": s12_remittance,
     "S13_refresh": s13,
     "W1_latest_per_key": w1,
 }
@@ -259,9 +279,15 @@ SQL = {
           human_review_required FROM claims""",
         "claims",
     ),
+    "S12_typed_remittance": with_ctes(
+        "SELECT * REPLACE (CAST(date_of_service AS DATE) AS date_of_service) FROM remittance",
+        "remittance",
+    ),
     "S13_refresh": with_ctes(
-        """SELECT status, count(*) AS claims, (SELECT count(*) FROM remittance WHERE status = 'paid') AS before
-          FROM remittance GROUP BY status""",
+        """SELECT kind, status, count(*) AS claims, any_value(paid) AS before, any_value(paid) AS unrefreshed
+        FROM remittance, (SELECT count(*) AS paid FROM remittance WHERE status = 'paid'),
+          (VALUES ('plain'), ('partitioned')) t(kind)
+        GROUP BY kind, status""",
         "remittance",
     ),
     "W1_latest_per_key": with_ctes(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from claimworks.operators.numbering import numbered
 from claimworks.plans import gold, marts, semantic
 from claimworks.registry.sql_base import MONEY, PCT, with_ctes
 from claimworks.session import scratch_dir
+from claimworks.sources import catalog
 
 TOTAL = "decimal(18,2)"
 
@@ -148,6 +151,23 @@ def s16(spark, sf):
     return out
 
 
+def s16_catalog(spark, sf):
+    """The models of a schema of their own: kind in the catalog, and rows when read by name."""
+    location = scratch_dir(spark, "models")
+    schema = marts.schema_name("analytics", " claims_" + location[-12:] + " ")
+    for _ in range(2):  # the second run replaces the first one's tables
+        marts.materialize(spark, silver(spark, sf), star.remittance(spark, sf), location, schema)
+    tables = catalog.listed(spark, schema)
+    views = [(name, "TEMPORARY") for name in marts.VIEWS]
+    rows = [
+        spark.table(name if kind == "TEMPORARY" else catalog.quoted(schema, name))
+        .agg(F.count("*").alias("n_rows"))
+        .select(F.lit(name).alias("model"), F.lit(kind).alias("kind"), "n_rows")
+        for name, kind in views + tables
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def q1(spark, sf):
     out = semantic.metric_select(
         {"CLAIMS_BY_PROVIDER": marts.claims_by_provider(adjudication(spark, sf))},
@@ -198,6 +218,7 @@ QUERIES = {
     "R5_distinct": r5,
     "S9_gold_rebuild": s9,
     "S16_materialize_models": s16,
+    "S16_catalog_tables": s16_catalog,
 }
 
 _GOLD = f"""count(claim_id) AS claim_count, {MONEY.format(x='sum(billed_amount)')} AS total_billed,
@@ -323,4 +344,17 @@ SQL = {
     ),
     "S9_gold_rebuild": _DENIAL_SUMMARY,
     "S16_materialize_models": _REVENUE,
+    "S16_catalog_tables": with_ctes(
+        """SELECT 'stg_claims' AS model, 'TEMPORARY' AS kind, (SELECT count(*) FROM stg_claims) AS n_rows
+        UNION ALL SELECT 'stg_remittance', 'TEMPORARY', (SELECT count(*) FROM remittance)
+        UNION ALL SELECT 'stg_providers', 'TEMPORARY',
+          (SELECT count(DISTINCT billing_npi) FROM claims WHERE billing_npi IS NOT NULL)
+        UNION ALL SELECT 'int_claim_adjudication', 'EXTERNAL', (SELECT count(*) FROM int_adj)
+        UNION ALL SELECT 'claims_by_provider', 'EXTERNAL', (SELECT count(*) FROM by_provider)
+        UNION ALL SELECT 'denial_rates', 'EXTERNAL', (SELECT count(*) FROM rates)
+        UNION ALL SELECT 'revenue_summary', 'EXTERNAL', (SELECT count(*) FROM revenue)
+        UNION ALL SELECT 'denial_explanations', 'EXTERNAL',
+          (SELECT count(*) FROM int_adj WHERE human_review_required)""",
+        "int_adj", "by_provider", "rates", "revenue",
+    ),
 }

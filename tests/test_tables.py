@@ -247,3 +247,28 @@ def test_states_regroup_to_what_claims_give(spark):
         semantic.regroup(states, ["unique_patients"])
     with pytest.raises(KeyError):
         semantic.regroup(states, names, grain="week")
+
+
+def test_external_tables_show_new_files_after_a_refresh(spark, tmp_path):
+    from claimworks.sources import catalog
+
+    path = str(tmp_path / "it's")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, p string")
+    rows.where("p = 'a'").write.partitionBy("p").parquet(path)
+    name = catalog.external_table(spark, "odd-name", "t", path, "k INT, p STRING", ("p",))
+    assert spark.table(name).count() == 0
+    catalog.refresh_table(spark, name)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
+    rows.where("p <> 'a'").write.mode("append").partitionBy("p").parquet(path)
+    assert spark.table(name).count() == 1
+    catalog.refresh_table(spark, name)
+    assert spark.table(name).count() == 3
+    assert catalog.listed(spark, "odd-name") == [("t", "EXTERNAL")]
+    spark.sql(f"DROP TABLE {name}")
+    assert spark.read.parquet(path).count() == 3  # the files stay
+
+
+def test_a_custom_schema_replaces_the_default():
+    from claimworks.plans import marts
+
+    assert marts.schema_name("dev") == "dev" and marts.schema_name("dev", " gold ") == "gold"
