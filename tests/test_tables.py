@@ -255,7 +255,7 @@ def test_external_tables_show_new_files_after_a_refresh(spark, tmp_path):
     path = str(tmp_path / "it's")
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, p string")
     rows.where("p = 'a'").write.partitionBy("p").parquet(path)
-    name = catalog.external_table(spark, "odd-name", "t", path, "k INT, p STRING", ("p",))
+    name = catalog.external_table(spark, "order", "t", path, "k INT, p STRING", ("p",))
     assert spark.table(name).count() == 0
     catalog.refresh_table(spark, name)
     assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
@@ -263,7 +263,7 @@ def test_external_tables_show_new_files_after_a_refresh(spark, tmp_path):
     assert spark.table(name).count() == 1
     catalog.refresh_table(spark, name)
     assert spark.table(name).count() == 3
-    assert catalog.listed(spark, "odd-name") == [("t", "EXTERNAL")]
+    assert catalog.listed(spark, "order") == [("t", "EXTERNAL")]
     spark.sql(f"DROP TABLE {name}")
     assert spark.read.parquet(path).count() == 3  # the files stay
 
