@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimworks import fixed_values as fv
@@ -10,10 +13,14 @@ from claimworks.operators import fhir
 from claimworks.plans import lake
 from claimworks.registry.lake import _SILVER_SQL
 from claimworks.registry import records  # noqa: F401  (registers the fhir expression)
+from claimworks.registry import streams
 from claimworks.registry.sql_base import cte, with_ctes
 from claimworks.risk import explain, features, score, train, versions
 from claimworks.risk.auc import rank_sum_auc
+from claimworks.functions.scalars import route_topic
 from claimworks.session import scratch_dir
+from claimworks.sources import topics
+from claimworks.streaming import jobs
 
 AS_OF = "2000-06-30"
 AUC_BAND = 0.78  # what both models must exceed on held-out claims
@@ -254,6 +261,46 @@ def m17(spark, sf):
     )
 
 
+def _stored_forest(spark, sf):
+    """A model store whose active version is the forest trained on the claims."""
+    store = versions.ModelStore(spark, scratch_dir(spark, "models"))
+    store.save("v1", _fitted(spark, sf, "v1"))
+    store.activate("v1")
+    return store
+
+
+def f3_trained(spark, sf):
+    """Silver rows under the stored forest: what each score, review flag and basis has to satisfy."""
+    out = lake.to_silver(star.bronze(spark, sf), _stored_forest(spark, sf).scorer_or_fallback())
+    shares = F.map_values(F.from_json("decision_basis", "map<string,double>"))
+    total = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    return out.select(
+        "claim_id",
+        (F.col("primary_driver") == "failed FHIR validation").alias("failed"),
+        (F.col("primary_driver") != "model scoring error").alias("model_answered"),
+        F.col("denial_risk_score").between(0, 100).alias("in_range"),
+        (F.col("human_review_required") == (F.col("denial_risk_score") >= fv.REVIEW_SCORE)).alias("review_follows"),
+        (F.round(total, 6) == 100).alias("basis_adds_up"),
+    )
+
+
+def t1_trained(spark, sf):
+    """Every raw message routed once by the stream, to the topic of the stored forest's batch score."""
+    store, root = _stored_forest(spark, sf), streams.claim_topic(spark, sf)
+    members, day = star.enrollment(spark, sf), F.lit(AS_OF).cast("date")
+    jobs.score_and_route(spark, root, members, store, scratch_dir(spark, "checkpoint"), as_of=day)
+    raw = topics.read_topic(spark, root, fv.TOPIC_RAW)
+    scored = store.scorer().score(features.stream_features(raw, members, day))
+    expected = scored.select("key", route_topic(F.col("probability")).alias("expected"))
+    routed = reduce(DataFrame.unionByName, [
+        topics.read_topic(spark, root, t).select("key", F.lit(t).alias("topic"))
+        for t in (fv.TOPIC_VALIDATED, fv.TOPIC_REVIEW, fv.TOPIC_REJECTED)
+    ])
+    return routed.join(expected, "key", "full").select(
+        "key", F.col("topic").eqNullSafe(F.col("expected")).alias("as_scored")
+    )
+
+
 def a10(spark, sf):
     """Exact area under ROC of the additive formula against the adjudicated outcomes."""
     scored = score.AdditiveScorer().score(training(spark, sf))
@@ -263,6 +310,8 @@ def a10(spark, sf):
 QUERIES = {
     "A9_array_totals": a9,
     "A10_auc": a10,
+    "F3_trained_model": f3_trained,
+    "T1_trained_model": t1_trained,
     "M1_batch_features": m1,
     "M2_stream_features": m2,
     "M3_training_table": m3,
@@ -394,6 +443,12 @@ SQL = {
         FROM way c LEFT JOIN enrollment e ON e.member_id = c.patient_id""",
         "way", "enrollment",
     ),
+    "F3_trained_model": with_ctes(
+        """SELECT claim_id, coalesce(supplier % 10 = 7, false) AS failed, true AS model_answered,
+          true AS in_range, true AS review_follows, true AS basis_adds_up FROM claims""",
+        "claims",
+    ),
+    "T1_trained_model": with_ctes("SELECT claim_id AS key, true AS as_scored FROM claims", "claims"),
     "M3_training_table": with_ctes("SELECT * FROM training", "training"),
     "M6_stratified_folds": with_ctes(
         """SELECT fold, count(*) AS claims, CAST(sum(label) AS BIGINT) AS positives FROM folds
