@@ -36,6 +36,15 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     assert topics.topic_counts(spark, root).first().messages == 3
 
 
+def test_topic_files_are_compressed_and_end_after_a_number_of_messages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topics, "MESSAGES_PER_FILE", 100)
+    rows = spark.range(0, 1000, 1, 1).selectExpr("'t' topic", "cast(id as string) key", "repeat('claim ', 500) value")
+    topics.write_messages(rows, str(tmp_path), "test", 0)
+    files = list(tmp_path.rglob("part-*"))
+    assert len(files) == 10 and sum(f.stat().st_size for f in files) < 1000 * 3000 / 20
+    assert keys(spark, str(tmp_path), "t") == sorted(str(i) for i in range(1000))
+
+
 class Switch:
     """Answers with another scorer from the second micro-batch on."""
 
