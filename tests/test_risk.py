@@ -275,3 +275,40 @@ def test_training_rows_carry_the_adjudicated_outcome(spark):
     assert got["with"].prior_auth == 1.0 and got["auth"].prior_auth == 0.0
     assert got["late"].days_since_service == 396.0 and got["paid"].days_since_service == 31.0
     assert got["paid"].diagnosis_code_count == 2.0 and got["auth"].billed_amount == 1500.0
+
+
+def test_boosting_on_added_up_rows_is_boosting_on_all_rows(spark, monkeypatch):
+    """Few rows reach the trees, and the model answers as one fitted on every row."""
+    once = train.synthetic(spark, 300).drop("id")
+    data = train.with_class_weight(once.crossJoin(spark.range(20).select("id"))).repartition(3)
+    pipeline = train.boosted(rounds=4, depth=3)
+    kept = []
+    spread = train.spread
+    monkeypatch.setattr(train, "spread", lambda df: kept.append(df.count()) or spread(df))
+    fewer = train.fit_boosted(data, pipeline)
+    assert kept and kept[0] <= 300
+    want, got = (score.probability_of(m, once).collect() for m in (pipeline.fit(data), fewer))
+    key = lambda r: r[:-1]
+    for a, b in zip(sorted(want, key=key), sorted(got, key=key)):
+        assert a.probability == pytest.approx(b.probability, abs=1e-9)
+
+
+def test_attribution_of_boosted_trees_adds_up(spark):
+    data = train.with_class_weight(train.synthetic(spark, 300))
+    fitted = train.fit_boosted(data, train.boosted(rounds=4, depth=3))
+    base = [300.0, 1.0, 2.0, 2.0, 5.0, 10.0]
+    rows = inputs(spark, [1500.0, 0.0, 7.0, 2.0, 11.0, 120.0], [900.0, 1.0, 2.0, 4.0, 5.0, 10.0], base)
+    out = {r.claim_id: r for r in score.ModelScorer(fitted, baseline=base).attribute(rows).collect()}
+    start = out["C2"].probability
+    for r in out.values():
+        assert sum(r.contributions) == pytest.approx(r.probability - start, abs=1e-9)
+    direct = {r.claim_id: r.probability for r in score.probability_of(fitted, rows).collect()}
+    assert direct == pytest.approx({k: r.probability for k, r in out.items()})
+
+
+def test_narrow_training_rows_are_spread(spark):
+    rows = train.synthetic(spark, 100).coalesce(1)
+    with train.spread(rows, rows_per_task=4) as many:
+        assert many.rdd.getNumPartitions() == 25 and many.count() == 100
+    with train.spread(rows) as few:
+        assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
