@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from claimworks.llm.common import stored, table
 
-STRATUM = 1250  # candidates per kind, pattern set and label that the trees see: 20,000 at most
+STRATUM = 1250  # weight at most of all candidates of one kind, pattern set and label together, in the trees
 CONTEXT = 24  # code points kept on either side of a candidate
 PRECISION = 0.95  # asked of added spans on the calibrating part of the sample
 PRIOR_LIMIT, PRIOR_WEIGHT = 0.8, 20  # threshold that holds without calibrating candidates, and for how many it counts
@@ -144,7 +144,10 @@ FORMAT = ["n_chars", "n_marks", "n_letters", "digit_share", "distinct_chars", "g
 CONTEXTS = ["hint", "before_letter", "before_digit", "before_mark", "after_letter", "after_digit", "after_mark"]
 
 
-def described(rows: DataFrame) -> DataFrame:
+INPUTS = FORMAT + CONTEXTS + [f"is_{k}" for k in KINDS]
+
+
+def measured(rows: DataFrame) -> DataFrame:
     """Format and context features of candidates; no count of digits and no check sum is among them."""
     value = F.col("value")
     n = F.length("value")
@@ -165,8 +168,11 @@ def described(rows: DataFrame) -> DataFrame:
           for name, p in (("letter", r"\p{L}"), ("digit", "[0-9]"), ("mark", r"[^\p{L}0-9\s]"))),
         *((F.col("kind") == k).cast("int").alias(f"is_{k}") for k in KINDS),
     )
-    names = FORMAT + CONTEXTS + [f"is_{k}" for k in KINDS]
-    return VectorAssembler(inputCols=names, outputCol="features").transform(out.fillna(0, names))
+    return out.fillna(0, INPUTS)
+
+
+def assembled(rows: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=INPUTS, outputCol="features").transform(rows)
 
 
 def evidence() -> Column:
@@ -196,45 +202,49 @@ def evidence() -> Column:
     )
 
 
-def sampled(rows: DataFrame) -> DataFrame:
-    """Labelled distinct candidates, at most ``STRATUM`` per kind, pattern set and label: those with the smallest hashes."""
+def labelled(rows: DataFrame) -> DataFrame:
+    """All distinct labelled candidates; of a value that comes in several contexts the least one counts."""
     label = F.when(~F.col("loose"), F.col("base").cast("int")).otherwise(evidence())
-    known = rows.withColumn("label", label.cast("double")).where("label is not null").withColumn("h", F.xxhash64("kind", "value"))
-    strata = ["kind", "loose", "label"]
-    # only a share of each stratum, given by the hash, is ordered at all: about twice as many as wanted
-    shares = known.groupBy(*strata).agg(F.approx_count_distinct("h").alias("n")).select(
-        *strata, F.least(F.lit(1.0), 2.0 * STRATUM / F.greatest(F.col("n"), F.lit(1))).alias("share")
-    )  # at most 16 rows
-    place = F.row_number().over(Window.partitionBy(*strata).orderBy("h"))
-    return (
-        known.join(F.broadcast(shares), strata).where(F.pmod("h", F.lit(2**30)) < F.col("share") * 2**30)
-        .dropDuplicates(["kind", "loose", "value"]).withColumn("place", place).where(F.col("place") <= STRATUM)
-        .select("kind", "loose", "value", "before", "after", "label", "h")
+    known = rows.withColumn("label", label.cast("double")).where("label is not null")
+    return known.groupBy("kind", "loose", "value").agg(F.min(F.struct("before", "after", "label")).alias("m")).select(
+        "kind", "loose", "value", "m.*", F.xxhash64("kind", "value").alias("h")
     )
 
 
+def added_up(rows: DataFrame) -> DataFrame:
+    """One row per features, label and part (calibrating or not), with the number of candidates and their weight.
+
+    Every candidate counts; those of a stratum with more than ``STRATUM`` weigh less each, so no stratum drowns another.
+    """
+    strata = ["kind", "loose", "label"]
+    part = (F.col("loose") & (F.pmod("h", F.lit(5)) == 0)).alias("calibrating")
+    alike = stored(measured(rows).groupBy(*strata, part, *INPUTS).agg(F.count("*").alias("n")), "pii-learned")
+    sizes = alike.groupBy(*strata).agg(F.sum("n").alias("of"))  # at most 16 rows
+    weight = F.col("n") * F.least(F.lit(1.0), STRATUM / F.col("of"))
+    return assembled(alike.join(F.broadcast(sizes), strata).withColumn("weight", weight))
+
+
 def learned(rows: DataFrame):
-    """Trees and a threshold per kind, from bounded samples labelled by independent evidence, at every size of table.
+    """Trees and a threshold per kind, from all distinct candidates labelled by independent evidence.
 
     Base matches are labelled by the base rules' own checks, loose ones by ``evidence``; ``EXAMPLES`` are added, so
-    every kind has both labels.  One fifth of the loose sample calibrates, each kind by itself: the lowest score at which
-    the share of positives above it is ``PRECISION`` (1 if there is none), averaged with ``PRIOR_LIMIT``, which counts
-    as ``PRIOR_WEIGHT`` candidates.
+    every kind has both labels.  One fifth of the loose ones calibrates, each kind by itself, the others are learned from:
+    the lowest score at which the share of positives above it is ``PRECISION`` (1 if there is none), averaged with
+    ``PRIOR_LIMIT``, which counts as ``PRIOR_WEIGHT`` candidates.
     """
     fixed = rows.sparkSession.createDataFrame(EXAMPLES, "kind string, value string, before string, label int").select(
         "kind", F.lit(True).alias("loose"), "value", "before", F.lit(" ").alias("after"), F.col("label").cast("double").alias("label"),
         F.lit(1).cast("long").alias("h"),
     )
-    sample = stored(
-        described(sampled(rows).unionByName(fixed)).select("kind", "loose", "label", "h", "features"), "pii-sample"
-    )
-    calibrating = F.col("loose") & (F.pmod("h", F.lit(5)) == 0)
-    model = GBTClassifier(labelCol="label", maxIter=12, maxDepth=3, stepSize=0.3, seed=7).fit(sample.where(~calibrating))
-    scored = model.transform(sample.where(calibrating)).withColumn("p", vector_to_array("probability")[1])
-    above = Window.partitionBy("kind").orderBy(F.desc("p")).rangeBetween(Window.unboundedPreceding, 0)
-    share = scored.select("kind", "p", F.avg("label").over(above).alias("share"))
+    alike = added_up(labelled(rows).unionByName(fixed))
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=12, maxDepth=3, stepSize=0.3, seed=7)
+    model = trees.fit(alike.where("not calibrating"))
+    scored = model.transform(alike.where("calibrating")).withColumn("p", vector_to_array("probability")[1])
+    by_score = scored.groupBy("kind", "p").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("positives"))
+    above = Window.partitionBy("kind").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
+    share = by_score.select("kind", "p", "n", (F.sum("positives").over(above) / F.sum("n").over(above)).alias("share"))
     rule = share.groupBy("kind").agg(
-        F.count("*"), F.coalesce(F.min(F.when(F.col("share") >= PRECISION, F.col("p"))), F.lit(1.0))
+        F.sum("n"), F.coalesce(F.min(F.when(F.col("share") >= PRECISION, F.col("p"))), F.lit(1.0))
     )
     limits = dict.fromkeys(KINDS, PRIOR_LIMIT)
     for kind, n, limit in rule.collect():  # at most one row per kind
@@ -257,7 +267,7 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     if not rows.where("loose").isEmpty():
         model, limits = learned(rows.where("kind is not null"))
         limit = F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("kind"))
-        scored = model.transform(described(rows.where("loose"))).withColumn("p", vector_to_array("probability")[1])
+        scored = model.transform(assembled(measured(rows.where("loose")))).withColumn("p", vector_to_array("probability")[1])
         extra = scored.where(F.col("p") >= limit).select(*shape)
         taken = kept.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("taken"))
         clash = F.exists(

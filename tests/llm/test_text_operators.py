@@ -395,6 +395,20 @@ def test_redaction(spark):
 # ---- fingerprints
 
 
+def test_every_labelled_candidate_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(pii, "STRATUM", 5)
+    rows = [(i, f"mail a{i}@example.org and 4111.1111.1111.{i:04d}") for i in range(40)]
+    found = pii.candidates(docs(spark, rows), "doc_id", "text").where("kind is not null")
+    known = pii.labelled(found.withColumn("base", ~F.col("loose") & pii.sound()))
+    alike = pii.added_up(known).collect()
+    assert sum(r.n for r in alike) == known.count() >= 80
+    weights = {}
+    for r in alike:
+        key = r.kind, r.loose, r.label
+        weights[key] = weights.get(key, 0) + r.weight
+    assert weights["email", False, 1.0] == pytest.approx(5) and max(weights.values()) <= 5 + 1e-9
+
+
 @pytest.mark.parametrize("part", [3, 4096])
 def test_fingerprints(spark, part):
     rows = [(k, t) for k, t in texts() if k is not None and k != 13]
