@@ -376,3 +376,48 @@ def test_interchanges_number_claims_without_gaps(spark, tmp_path):
     claimed = [s.split("*")[1] for r in order for s in r.edi.split("\n") if s.startswith("CLP")]
     assert claimed == [f"C{i:03d}" for i in range(25)]
     assert remit.interchanges(claims.limit(0)).count() == 0
+
+
+def test_a_search_does_not_read_the_rest_of_the_line_from_every_start():
+    from claimworks.plans import quality
+
+    assert quality.searched(".*resourceType.*Claim.*") == "resourceType.*Claim"
+    for kept in (r"a\.*", ".*?a", "[.*", "(?s)a.*", r"\Qa.*", "^a$"):
+        assert quality.searched(kept) == kept
+
+
+def test_validation_and_shares_are_compiled(spark):
+    """No rule stands inside a function over an array, which Spark interprets row by row."""
+    from claimworks.operators import validate
+    from claimworks.risk import explain
+
+    def shape(*columns):
+        return "\n".join(str(c) for c in columns)
+
+    assert "filter" not in shape(validate.error_list(), validate.first_error())
+    rows = spark.createDataFrame([([1.0, -1.0, 1.0, 0.0, 0.0, 0.0],), (None,)], "contributions array<double>")
+    plan = explain.percentages(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    assert [r.percent for r in explain.percentages(rows).collect()] == [[33.4, 33.3, 33.3, 0.0, 0.0, 0.0], None]
+
+
+def test_damage_does_not_compile_a_pattern_per_row(spark):
+    from claimworks.fixtures import star
+
+    plan = star.spoiled(star.claims(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == len(star.DAMAGE)
+
+
+def test_checked_claims_are_both_sides_of_the_split(spark):
+    from claimworks.fixtures import star
+    from claimworks.operators import validate
+
+    rows = star.spoiled(star.claims(spark, "/root/testdata/sf0.001")).select("claim_id", "fhir_json").persist()
+    valid, rejected = validate.split_valid(rows)
+    want = valid.selectExpr("claim_id", "'valid' AS reason", "CAST(array() AS array<string>) AS errors").unionByName(rejected)
+    got = validate.checked_claims(rows)
+    assert want.count() > 0 and rejected.count() > 0 and valid.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    rows.unpersist()
