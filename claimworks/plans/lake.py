@@ -44,13 +44,16 @@ def silver_candidates(bronze: DataFrame) -> DataFrame:
             *[c.alias(n) for n, c in typed.items()],
             *[c.alias(n) for n, c in inputs.items()],
             "can_validate",
-            F.when(F.col("can_validate"), F.slice(validate.error_list(), 1, 1))
-            .otherwise(F.array().cast("array<string>"))
-            .alias("errors"),
+            F.when(F.col("can_validate"), validate.first_error()).alias("_error"),
             "ingest_ts",
             "received_ts",
             F.xxhash64("fhir_json").alias("_text_hash"),
         )
+        .withColumn(
+            "errors",
+            F.when(F.col("_error").isNotNull(), F.array("_error")).otherwise(F.array().cast("array<string>")),
+        )
+        .drop("_error")
     )
 
 
