@@ -312,3 +312,30 @@ def test_narrow_training_rows_are_spread(spark):
         assert many.rdd.getNumPartitions() == 25 and many.count() == 100
     with train.spread(rows) as few:
         assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_forest_draws_from_a_bounded_number_of_rows(spark, monkeypatch):
+    """Few rows reach the trees, all weight does, and the model is as good as one fitted on every row."""
+    data = train.with_class_weight(train.synthetic(spark, 6000)).persist()
+    fit_on, held_out = train.stratified_split(data)
+    once = fit_on.drop("id").withColumn("billed_amount", F.ceil(F.col("billed_amount") / 400) * 400.0)
+    few_cells = once.withColumns({f: F.lit(1.0) for f in ("procedure_complexity", "provider_specialty_code")})
+    kept, spread = [], train.spread
+    monkeypatch.setattr(
+        train, "spread", lambda df: kept.append(df.agg(F.count("*"), F.sum("weight")).first()) or spread(df)
+    )
+    train.fit_forest(few_cells.drop("days_since_service").withColumn("days_since_service", F.lit(1.0)),
+                     train.binned_forest(trees=2), rows=300)
+    total = few_cells.agg(F.sum("weight")).first()[0]
+    assert kept[0][0] <= 300 and kept[0][1] == pytest.approx(total)
+    assert train.auc(train.fit_forest(fit_on, train.binned_forest(trees=20)), held_out) > 0.78
+    data.unpersist()
+
+
+def test_attribution_of_a_binned_forest_adds_up(spark):
+    fitted = train.fit_forest(train.with_class_weight(train.synthetic(spark, 600)), train.binned_forest(10, 4))
+    scorer = score.ModelScorer(fitted)
+    out = scorer.attribute(inputs(spark, [1500, 0, 7, 2, 11, 120], [300, 1, 2, 2, 5, 10])).collect()
+    for r in out:
+        assert sum(r.contributions) + scorer.explainer(spark).mean == pytest.approx(r.probability, abs=1e-9)
+    assert out[0].contributions != out[1].contributions
