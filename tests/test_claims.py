@@ -8,6 +8,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from claimworks.fixtures import star
+from claimworks.functions import variants as vj
 from claimworks.operators import adjudicate as adj
 from claimworks.operators import fhir, remit, validate
 from claimworks.operators.eligibility import check_eligibility
@@ -421,3 +423,44 @@ def test_checked_claims_are_both_sides_of_the_split(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan
     rows.unpersist()
+
+
+ODD_CLAIMS = [
+    claim(), claim(_prior_auth=""), claim(_prior_auth="0"), claim(_prior_auth=0), claim(_prior_auth=[1]),
+    claim(_prior_auth={}), claim(_prior_auth="false"), claim(patient={"reference": 5}), claim(patient={"reference": ""}),
+    claim(patient={"reference": None}), claim(patient=[{"reference": "x"}]), claim(provider={"identifier": {"value": None}}),
+    claim(provider={"identifier": {"value": 1234567893}}), claim(provider={"identifier": {"value": [1]}}),
+    claim(insurer={"identifier": {"value": ""}, "reference": "Org/1"}), claim(insurer={"identifier": "x"}),
+    claim(total={"value": True}), claim(total={"value": "350"}), claim(total={"value": {}}), claim(total=[]),
+    claim(diagnosis={}), claim(diagnosis={"a": 1}), claim(diagnosis="x"), claim(diagnosis=[None, 1]), claim(item=None),
+    claim(item=[{"productOrService": {"coding": {}}}]), claim(id=7), claim(id=None), claim(id=...), claim(status="-0.0"),
+    claim(resourceType=["Claim"]), claim(created=20260101), "[]", "5", "null", "not json", '{"id":1,"id":2}',
+]
+
+
+def test_parts_of_a_claim_settle_what_look_ups_do(spark):
+    """Every test gives the same from the parts read at once as from the variant by path."""
+    v, paths = fhir.CLAIM, [p for p in fhir.CLAIM.known if not p.endswith("]")]
+    df = fhir.with_variant(text_df(spark, *ODD_CLAIMS))
+    tests = {}
+    for path in paths:
+        for how, name in (("parts", v), ("path", "v")):
+            tests[f"{path}|{how}"] = F.struct(
+                vj.text(name, path), vj.text(name, path, "?"), vj.truthy(name, path), vj.kind(name, path),
+                vj.present(name, path), vj.length(name, path), vj.get(name, path, "double"),
+                vj.is_object_or_absent(name, path, "reference"), vj.kind_not_in(name, path, ["STRING", "ARRAY"]),
+            )
+    for row in df.select("n", *[c.alias(f"c{i}") for i, c in enumerate(tests.values())]).collect():
+        for i, name in enumerate(tests):
+            if i % 2 == 0:
+                assert row[f"c{i}"] == row[f"c{i + 1}"], (name, ODD_CLAIMS[row.n])
+
+
+def test_leaves_of_a_claim_are_found_without_a_look_up(spark):
+    for path in ("status", "patient.reference", "total.value", "provider.identifier.value"):
+        assert "'$." not in str(vj.get(fhir.CLAIM, path, "string"))
+
+
+def test_bronze_reads_its_tables_once(spark):
+    plan = star.bronze(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # orders and lineitem
