@@ -128,7 +128,8 @@ def run_suite(
             )
         )
     if not results:
-        return df.sparkSession.createDataFrame([], SUITE_RESULT)
+        empty = [F.lit(None).cast(t).alias(n) for n, t in (f.split() for f in SUITE_RESULT.split(", "))]
+        return df.sparkSession.range(0).select(*empty)
     totals = df.agg(*measures) if measures else df.sparkSession.range(1)
     return totals.select(F.explode(F.array(*results)).alias("r")).select(
         F.lit(name).alias("suite"), "r.*"

@@ -464,3 +464,10 @@ def test_leaves_of_a_claim_are_found_without_a_look_up(spark):
 def test_bronze_reads_its_tables_once(spark):
     plan = star.bronze(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 2  # orders and lineitem
+
+
+def test_a_claim_is_cast_without_its_list_of_codes(spark):
+    assert "diagnosisCodeableConcept" not in fhir.CLAIM.type
+    code = "diagnosis[0].diagnosisCodeableConcept.coding[0].code"
+    row = fhir.with_variant(text_df(spark, claim())).select(vj.text(fhir.CLAIM, code).alias("c")).first()
+    assert row.c == "Z00.00" and "'$." not in str(vj.text(fhir.CLAIM, code))
