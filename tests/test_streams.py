@@ -161,3 +161,57 @@ def test_silver_follows_bronze_by_new_rows_only(spark, tmp_path):
     drop = ["ingest_ts", "processed_ts"]
     got, want = lake.silver_table(spark, silver).read().drop(*drop), lake.to_silver(rows).drop(*drop)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_only_failed_messages_keep_their_text_beyond_the_parse(spark):
+    """Messages that can be read are joined and stored without their text."""
+    from claimworks.operators import validate
+
+    rows = spark.createDataFrame([("C1", json.dumps(claim())), ("x", "junk")], "_key string, value string")
+    out = validate.process_messages(
+        rows.withColumn("_raw", F.col("value")), enrolled(spark), F.lit(DAY).cast("date"), keep_failed=["_key", "_raw"]
+    )
+    assert {(r.outcome, r._key, r._raw) for r in out.collect()} == {("paid", None, None), ("failed", "x", "junk")}
+
+
+def test_processing_stores_no_message_in_memory_or_cache(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    kept = []
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: kept.append(df) or df)
+    test_processing_keeps_failed_messages(spark, tmp_path)
+    assert not kept
+
+
+def test_silver_and_quarantine_come_from_one_parse(spark, tmp_path):
+    from claimworks.fixtures import star
+    from claimworks.plans import lake
+
+    damaged = star.spoiled(star.claims(spark, "/root/testdata/sf0.001")).select("claim_id", "fhir_json")
+    bronze, silver, dropped = (str(tmp_path / n) for n in ("bronze", "silver", "quarantine"))
+    stamp = F.lit("2026-01-01").cast("timestamp")
+    damaged.select("*", stamp.alias("ingest_ts"), stamp.alias("received_ts")).write.parquet(bronze)
+    rows = spark.read.schema(schemas.BRONZE).parquet(bronze)
+    jobs.bronze_to_silver(spark, bronze, silver, str(tmp_path / "c"), quarantine=dropped)
+    got, want = spark.read.parquet(dropped).drop("batch"), lake.quarantine(rows)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 0
+    got, want = (t.drop("processed_ts") for t in (lake.silver_table(spark, silver).read(), lake.to_silver(rows)))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = lake.sorted_out(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_parse_json") <= lake.parse_bronze(rows)._jdf.queryExecution().executedPlan().toString().count("try_parse_json")
+
+
+def test_gold_looks_for_the_latest_silver_rows_once(spark, tmp_path):
+    from claimworks.fixtures import star
+    from claimworks.plans import lake
+
+    bronze = star.bronze(spark, "/root/testdata/sf0.001")
+    table = lake.silver_table(spark, str(tmp_path / "silver"))
+    table.upsert(lake.to_silver(bronze))
+    short = table.read(columns=lake.gold.READ)
+    whole = table.read().select(*lake.gold.READ)
+    assert sorted(map(repr, short.collect())) == sorted(map(repr, whole.collect()))
+    assert "provider_explanation" not in short._jdf.queryExecution().optimizedPlan().toString().split("Project")[0]
+    seen = lake.silver_to_gold(spark, short, str(tmp_path / "gold"))
+    assert seen["claims_summary"] == whole.count()
+    assert seen["provider_summary"] == spark.read.parquet(str(tmp_path / "gold/provider_summary")).count()
