@@ -339,3 +339,38 @@ def test_attribution_of_a_binned_forest_adds_up(spark):
     for r in out:
         assert sum(r.contributions) + scorer.explainer(spark).mean == pytest.approx(r.probability, abs=1e-9)
     assert out[0].contributions != out[1].contributions
+
+
+def test_versions_learn_and_score_from_one_parse_of_the_claims(spark, monkeypatch):
+    """The stored claims hold the training rows and the batch inputs; no second parse makes either."""
+    from claimworks.operators import fhir
+    from claimworks.registry import risk
+
+    sf = "/root/testdata/sf0.001"
+    claims = risk._stored_claims(spark, sf)
+    for got, want in (
+        (train.learnable(claims, "id"), risk.training(spark, sf)),
+        (claims.select("claim_id", "batch.*"), risk.claim_inputs(spark, sf)),
+    ):
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    parses, read = [], fhir.with_variant
+    monkeypatch.setattr(fhir, "with_variant", lambda *a, **k: parses.append(1) or read(*a, **k))
+    monkeypatch.setattr(train, "boosted", lambda: boosted_of_few(2))
+    out = risk.m11(spark, sf)
+    assert len(parses) == 1 and out.count() == 2 * claims.count()
+
+
+def boosted_of_few(rounds, real=train.boosted):
+    return real(rounds=rounds)
+
+
+def test_claims_that_are_no_objects_are_scored_but_not_learned_from(spark):
+    from claimworks.fixtures import star
+
+    damaged = star.spoiled(star.claims(spark, "/root/testdata/sf0.001")).withColumnRenamed("order_key", "id")
+    members, filed = star.enrollment(spark, "/root/testdata/sf0.001"), F.col("filed_date")
+    rows = train.claims_and_inputs(damaged, members, filed, "id")
+    assert rows.count() == damaged.count() > rows.where("is_object").count()
+    got, want = train.learnable(rows, "id"), train.claims_table(damaged, members, filed, "id")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
